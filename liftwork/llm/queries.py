@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op2_best_fit_packing": "packing",
     "op6_quality_rules": "quality_rules",
     "op7_suffix_dedup": "suffix_dedup",
     "op10_near_dedup": "near_dedup",
