@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
     "op2_best_fit_packing": "packing",
+    "op4_secret_ledger": "secret_ledger",
     "op6_quality_rules": "quality_rules",
     "op7_suffix_dedup": "suffix_dedup",
     "op10_near_dedup": "near_dedup",
