@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op1_language_id": "language_id",
     "op2_best_fit_packing": "packing",
     "op4_secret_ledger": "secret_ledger",
     "op6_quality_rules": "quality_rules",
