@@ -13,6 +13,8 @@ MODULES = {
     "op4_secret_ledger": "secret_ledger",
     "op6_quality_rules": "quality_rules",
     "op7_suffix_dedup": "suffix_dedup",
+    "op8_ann_scan": "ann_scan",
+    "op9_chat_format": "chat_format",
     "op10_near_dedup": "near_dedup",
 }
 
