@@ -11,6 +11,7 @@ MODULES = {
     "op1_language_id": "language_id",
     "op2_best_fit_packing": "packing",
     "op4_secret_ledger": "secret_ledger",
+    "op5_sentencepiece": "sentencepiece_unigram",
     "op6_quality_rules": "quality_rules",
     "op7_suffix_dedup": "suffix_dedup",
     "op8_ann_scan": "ann_scan",
