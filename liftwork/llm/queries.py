@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_language_id": "language_id",
     "op2_best_fit_packing": "packing",
+    "op3_license_scan": "license_scan",
     "op4_secret_ledger": "secret_ledger",
     "op5_sentencepiece": "sentencepiece_unigram",
     "op6_quality_rules": "quality_rules",

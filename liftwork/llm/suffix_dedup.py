@@ -25,8 +25,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwork.llm import staging
@@ -400,3 +401,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(staging.documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def whole_characters(kept: str) -> Column:
+    """The text of a column of bytes, without bytes that are no whole UTF-8 character."""
+
+    @F.pandas_udf("string")
+    def text(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return text(kept)
