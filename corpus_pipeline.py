@@ -5,19 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftwork.llm import quality_rules, staging
+from liftwork.llm import near_dedup, packing, quality_rules, secret_ledger, staging, suffix_dedup
 
 #: The columns of documents that every stage but the last returns.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near duplicates: shingles of five words, similarity in per cent.
+WORDS, PERCENT = 5, 80
+
+
+def _same(docs: DataFrame, verdict: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The rows of ``docs`` whose keys ``verdict`` holds; null equals null."""
+    there = verdict.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    on = F.lit(True)
+    for k in keys:
+        on = on & docs[k].eqNullSafe(there[f"_{k}"])
+    return docs.join(there, on, "left_semi").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = quality_rules.judge(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return _same(docs, quality_rules.judge(docs).where("kept"), ("doc_id", "lang", "source"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return _same(docs, near_dedup.linked(docs, PERCENT, WORDS).where("kept"), ("doc_id",))
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand earlier too. Bytes of characters that a cut breaks go as well."""
+    out = suffix_dedup.without_repeats(docs, carry=("lang", "source", "n_chars", "text"))
+    cut = F.when(F.col("n_removed") > 0, suffix_dedup.whole_characters("kept")).otherwise(F.col("text"))
+    return out.withColumn("text", cut).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret replaced by a mark."""
+    found = secret_ledger.located(docs.select(*COLUMNS), secret_ledger.scan(docs))
+    some = F.size("spans") > 0
+    marked = secret_ledger.redacted(found.withColumn("_some", some))
+    return marked.withColumn("n_chars", F.when(F.col("_some"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document, with its sequence and place."""
+    return packing.pack(docs)
 
 
-STAGES = [("quality_rules", quality_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", repeated_passage_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
+]
+#: Not expressible in SQL: the stages after the first are tested against brute force.
 ORACLE_SQL = None
 
 
