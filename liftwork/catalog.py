@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLANS = ("features",)
+PLANS = ("features", "splits", "metrics")
 
 
 def _all(name: str) -> dict:
