@@ -1,16 +1,19 @@
 """Near duplicates by the chosen-path similarity join over minwise tokens.
 
 Documents with equal shingle sets form a class; classes are joined, not copies. In each of ``TREES``
-independent trees the classes of a node branch on a few coordinates of their minwise signature, the
-same for the whole node: classes with equal values go down together. A node of at most ``LEAF``
-classes is compared exhaustively. A larger node branches again, unless most of it resembles its first
-member: such a dense node is compared with pivots, a few at a time, until every member outside its
-main component has been a pivot itself, so that no link of the node can be lost. Pairs whose
-signatures differ too much are dropped (5 sigma under the wanted similarity); all others are
-confirmed on full shingle sets. Components of the confirmed links follow.
+independent trees the classes of a node branch by pairs of coordinates of their minwise signature, the
+same pairs for the whole node: classes with equal tokens go down together. A node of at most ``LEAF``
+classes is compared exhaustively by signatures, a larger one branches again. Pairs whose signatures
+differ too much are dropped (4.5 sigma under the wanted similarity); the others are confirmed on full
+shingle sets.
 
-A pair at the similarity limit survives a tree with probability over 0.93, and all ``TREES`` trees
-miss it with a chance below 1e-5.
+A node of over ``DENSE`` classes most of which resemble its first member is dense, as is one with over
+``MANY`` candidate pairs a member: its number of links can be the square of its size. Its members come together with their full sets, in blocks where there
+are very many, and only links that join two components are looked for and returned; every pair of
+members that is not in one component is compared. Components of all links follow.
+
+A pair at the similarity limit survives a tree with a probability of about 0.93, and all ``TREES``
+trees miss it with a chance below 1e-4.
 
 Null or blank texts have an empty set and are linked with nothing. Rows with a null doc_id are kept,
 with a null component, and take no part. Rows that repeat a doc_id share one component entry. Other
@@ -23,20 +26,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwork.llm import staging
 from liftwork.llm.components import connected
+from liftwork.llm.groups import batched, grouped
 from liftwork.llm.textbuf import LOWER, RollingHash, mix, slices, text_bytes, word_spans
 
-COORDINATES = 32
-TREES = 5
-BRANCHES = 3
-DEEPER = 2
-LEAF = 48
-PIVOTS = 8
-DEPTH = 24
+COORDINATES = 64
+TREES = 4
+BRANCHES = 4
+DEEPER = 3
+LEAF = 512
+DENSE = 24
+#: Members of a dense node that one task holds; of a larger node every pair of blocks is a task.
+NODE = 4096
+DEPTH = 16
+#: Coordinates of the signatures that members of a dense node are told apart by.
+FINE = 128
+#: Candidate pairs a member beyond which a small node counts as dense.
+MANY = 3
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -73,18 +83,18 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray,
     return value[new], of[new], rows
 
 
-_SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, 2 * FINE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def minwise(value: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
-    """rows x COORDINATES least 32-bit hash values; rows without shingles hold the largest value."""
-    out = np.full((rows, COORDINATES), 0xFFFFFFFF, np.uint32)
+def minwise(value: np.ndarray, of: np.ndarray, rows: int, coordinates: int = COORDINATES) -> np.ndarray:
+    """rows x coordinates: 16 bits of the least 32-bit hash; rows without shingles hold zeros."""
+    out = np.zeros((rows, coordinates), np.uint16)
     if len(value):
         there, first = np.unique(of, return_index=True)
         with np.errstate(over="ignore"):
-            for c in range(COORDINATES):
+            for c in range(coordinates):
                 hashed = ((value * (_SEEDS[2 * c] | np.uint64(1)) + _SEEDS[2 * c + 1]) >> np.uint64(32)).astype(np.uint32)
-                out[there, c] = np.minimum.reduceat(hashed, first)
+                out[there, c] = np.minimum.reduceat(hashed, first) & 0xFFFF
     return out
 
 
@@ -106,7 +116,7 @@ def signatures(docs: DataFrame, width: int = 2) -> DataFrame:
             np.add.at(sums[1], of, mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
             sig = minwise(value, of, rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), _binary(sig, (np.arange(rows) + 1) * sig.shape[1] * 4)],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), _binary(sig, (np.arange(rows) + 1) * sig.shape[1] * 2)],
                 names=["doc_id", "n_shingles", "h1", "h2", "sig"],
             )
 
@@ -124,7 +134,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binary(value, ends)], names=["doc_id", "shingles"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+    return given.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,21 +155,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _least_agreement(percent: int) -> int:
+def _least_agreement(percent: int, coordinates: int = COORDINATES) -> int:
     j = percent / 100
-    return max(1, int(COORDINATES * j - 5 * (COORDINATES * j * (1 - j)) ** 0.5))
+    return max(1, int(coordinates * j - 4.5 * (coordinates * j * (1 - j)) ** 0.5))
 
 
 def _at(sig: Column, coordinate: Column) -> Column:
-    """One 32-bit coordinate of a binary signature."""
-    return F.substring(sig, coordinate * 4 + 1, F.lit(4))
+    """One coordinate of a binary signature."""
+    return F.substring(sig, coordinate * 2 + 1, F.lit(2))
 
 
 def _branch(nodes: DataFrame, count: int) -> DataFrame:
-    """The children of all members: one row a chosen coordinate."""
+    """The children of all members: one row a chosen pair of coordinates."""
     chosen = nodes.withColumn("k", F.explode(F.array(*(F.lit(k) for k in range(count)))))
-    coordinate = F.pmod(F.xxhash64("path", "k"), F.lit(COORDINATES)).cast("int")
-    return chosen.select(F.xxhash64("path", "k", _at(F.col("sig"), coordinate)).alias("path"), "id", "n", "sig")
+    first = F.pmod(F.xxhash64("path", "k"), F.lit(COORDINATES)).cast("int")
+    second = F.pmod(first + 1 + F.pmod(F.xxhash64("k", "path"), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
+    return chosen.select(F.xxhash64("path", "k", _at(F.col("sig"), first), _at(F.col("sig"), second)).alias("path"), "id", "n", "sig")
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
@@ -169,7 +180,7 @@ def _alike(a: str, b: str, percent: int) -> Column:
 
 def _agreement(x: Column, y: Column) -> Column:
     """Number of equal coordinates."""
-    return sum((F.substring(x, 4 * c + 1, 4) == F.substring(y, 4 * c + 1, 4)).cast("int") for c in range(COORDINATES))
+    return sum((F.substring(x, 2 * c + 1, 2) == F.substring(y, 2 * c + 1, 2)).cast("int") for c in range(COORDINATES))
 
 
 def _with_sizes(nodes: DataFrame) -> DataFrame:
@@ -178,7 +189,10 @@ def _with_sizes(nodes: DataFrame) -> DataFrame:
 
 
 def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of small nodes: all pairs of a node that sizes and signatures allow."""
+    """Candidate pairs (a, b) of small nodes: all pairs of a node that sizes and signatures allow.
+
+    Of a node with over MANY pairs a member only its path is returned.
+    """
     least = _least_agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +211,9 @@ def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
         if batch.num_rows < 2:
             return
         path, ids, n = (batch.column(c).to_numpy() for c in ("path", "id", "n"))
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        found = []
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+        found, first = [], np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1])
+        node = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(path))))
         for step in range(1, LEAF):  # members of a node stand together: compare each with the one `step` rows on
             if step >= len(path):
                 break
@@ -209,21 +224,78 @@ def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
             fits = np.minimum(n[left], n[right]) * 100 >= np.maximum(n[left], n[right]) * percent
             left, right = left[fits], right[fits]
             close = (sig[left] == sig[right]).sum(axis=1) >= least
-            found.append(np.stack([ids[left[close]], ids[right[close]]]))
+            found.append(np.stack([ids[left[close]], ids[right[close]], node[left[close]]]))
         if found:
-            both = np.concatenate(found, axis=1)
-            both = np.unique(np.sort(both, axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+            a, b, of = np.concatenate(found, axis=1)
+            many = np.bincount(of, minlength=len(first)) > MANY * np.bincount(node)
+            both = np.unique(np.sort(np.stack([a, b])[:, ~many[of]], axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), pa.nulls(both.shape[1], pa.int64())], names=["a", "b", "path"])
+            heavy = pa.array(path[first[many]])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(heavy), pa.int64()), pa.nulls(len(heavy), pa.int64()), heavy], names=["a", "b", "path"])
+
+    return leaves.select("path", "id", "n", "sig").repartition("path").sortWithinPartitions("path", "id").mapInArrow(run, "a long, b long, path long")
+
+
+def spanning(ids: np.ndarray, sets: list[np.ndarray], blocks: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Links that join the members into the components of all their links.
+
+    Every pair of members not joined yet is compared, with signatures of FINE coordinates first. With
+    ``blocks`` (0 or 1 for each member) only pairs across the two blocks are.
+    """
+    size = np.array([len(s) for s in sets])
+    sig = minwise(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), len(sets), FINE)
+    least = _least_agreement(percent, FINE)
+    group = np.arange(len(ids))
+    links = []
+    big = 0  # the label of a large component: a few of its members are tried first
+
+    def join(i: int, there: np.ndarray, most: int | None = None) -> None:
+        if blocks is not None:
+            there = there[blocks[there] != blocks[i]]
+        there = there[np.minimum(size[there], size[i]) * 100 >= np.maximum(size[there], size[i]) * percent]
+        agreement = np.concatenate([(sig[part] == sig[i]).sum(axis=1) for part in np.array_split(there, len(there) // 4096 + 1)])
+        order = np.argsort(-agreement, kind="stable")
+        there = there[order[agreement[order] >= least]][:most]
+        while len(there):
+            j = there[0]
+            both = np.concatenate([sets[i], sets[j]])
+            both.sort(kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            if 100 * common >= percent * (len(both) - common):
+                links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+                group[group == group[i]] = group[j]
+                there = there[group[there] != group[i]]
+            else:
+                there = there[1:]
+
+    for i in range(1, len(ids)):
+        if i > 64:
+            some = np.flatnonzero(group[:i] == big)
+            join(i, some[:: max(1, len(some) // 32)], 4)
+        join(i, np.flatnonzero(group[:i] != group[i]))
+        big = group[i] if (group[: i + 1] == group[i]).sum() * 2 > i else big
+    return links
+
+
+def _dense_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the members of each dense node (path, id, size)."""
+    parts = F.ceil(F.col("size") / NODE).cast("int")
+    own = F.pmod(F.xxhash64("id"), parts).cast("int")
+    dealt = members.select("path", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = dealt.select("path", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "own")
+    whole = dealt.join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id").select("path", "low", "high", "id", "own", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    return leaves.select("path", "id", "n", "sig").repartition("path").sortWithinPartitions("path", "id").mapInArrow(run, "a long, b long")
+        def found() -> Iterator[tuple]:
+            for (_, low, high), rows in grouped(batches, 3):
+                blocks = None if low == high else (np.array([r[4] for r in rows]) == high).astype(int)
+                yield from spanning(np.array([r[3] for r in rows]), [np.frombuffer(r[5], np.uint64) for r in rows], blocks, percent)
 
+        yield from batched(found(), schema)
 
-def _pivot_pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of the pivots (path, id, n, sig) with all members of their nodes."""
-    chosen = pivots.select("path", F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("sig").alias("psig"))
-    met = members.join(chosen, "path").where((F.col("id") != F.col("pid")) & _alike("n", "pn", percent))
-    met = met.where(_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent))
-    return met.select(F.least("id", "pid").alias("a"), F.greatest("id", "pid").alias("b"))
+    return whole.repartition("path", "low", "high").sortWithinPartitions("path", "low", "high", "id").mapInArrow(run, "a long, b long")
 
 
 def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
@@ -236,58 +308,36 @@ def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
     candidates, dense = [], []
     for depth in range(DEPTH):
         nodes = staging.stored(_with_sizes(level), "near-nodes")
-        candidates.append(staging.stored(_leaf_pairs(nodes.where(F.col("size") <= LEAF), percent).distinct(), "near-leaf-pairs"))
-        large = nodes.where(F.col("size") > LEAF)
-        if large.isEmpty():
-            break
+        large = nodes.where(F.col("size") > DENSE)
         pivot = large.where("id = first").select("path", F.col("n").alias("pn"), F.col("sig").alias("psig"))
         near = large.join(pivot, "path").withColumn("close", (_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent)) & _alike("n", "pn", percent))
-        share = near.groupBy("path").agg((F.avg(F.col("close").cast("int"))).alias("share")).where(F.col("share") > 0.5)
-        if depth < DEPTH - 1:
-            thick, thin = large.join(share, "path", "left_semi"), large.join(share, "path", "left_anti")
-            level = _branch(thin.select("path", "id", "n", "sig"), DEEPER)
-        else:
-            thick = large
-        dense.append(staging.stored(thick.select("path", "id", "n", "sig", F.lit(depth).alias("depth")), "near-dense"))
+        thick = near.groupBy("path").agg(F.avg(F.col("close").cast("int")).alias("share")).where("share > 0.5").select("path", F.lit(True).alias("thick"))
+        thick = staging.stored(thick, "near-thick")
+        told = nodes.join(thick, "path", "left").withColumn("thick", F.coalesce("thick", F.lit(False)))
+        last = depth == DEPTH - 1
+        dense.append(told.where(F.col("thick") | (F.lit(last) & (F.col("size") > LEAF))).select("path", "id", "size"))
+        small = told.where(~F.col("thick") & (F.col("size") <= LEAF))
+        told_pairs = staging.stored(_leaf_pairs(small, percent).distinct(), "near-leaf-pairs")
+        candidates.append(told_pairs.where("path is null").select("a", "b"))
+        dense.append(small.join(told_pairs.where("path is not null").select("path"), "path", "left_semi").select("path", "id", "size"))
+        thin = staging.stored(told.where(~F.col("thick") & (F.col("size") > LEAF)).select("path", "id", "n", "sig"), "near-thin")
+        if thin.isEmpty() or last:
+            break
+        level = _branch(thin, DEEPER)
     pairs = candidates[0]
     for more in candidates[1:]:
         pairs = pairs.unionByName(more)
-    if not dense:
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        links = confirmed(pairs.distinct(), sets_of(docs, needed, width), percent)
-        components = connected(links)
-    else:
-        members = dense[0]
-        for more in dense[1:]:
-            members = members.unionByName(more)
-        components = _joined_dense(docs, pairs, members, percent, width)
-    return _labelled(table, classes, components)
-
-
-def _joined_dense(docs: DataFrame, pairs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Components of the links among ``pairs`` and within the dense nodes."""
+    members = dense[0]
+    for more in dense[1:]:
+        members = members.unionByName(more)
+    pairs, members = staging.stored(pairs.distinct(), "near-pairs"), staging.stored(members, "near-dense")
+    # nodes with the same members are looked at once
+    prints = members.groupBy("path", "size").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).groupBy("size", "h").agg(F.min("path").alias("path"))
+    members = members.join(prints.select("path"), "path", "left_semi")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(members.select(F.col("id").alias("doc_id"))).distinct()
     sets = staging.stored(sets_of(docs, needed, width), "near-sets")
-    done = staging.stored(members.groupBy("path").agg(F.min("id").alias("id")), "near-pivots")
-    pivots = members.join(done, ["path", "id"], "left_semi")
-    links, new = None, pairs.unionByName(_pivot_pairs(members, pivots, percent))
-    while True:
-        found = staging.stored(confirmed(new.distinct(), sets, percent), "near-links")
-        links = found if links is None else staging.stored(links.unionByName(found), "near-links")
-        components = connected(links)
-        # what is outside the component of its node's first pivot, and has been no pivot yet
-        placed = members.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        first = members.groupBy("path").agg(F.min("id").alias("id")).join(placed.select("path", "id", "component"), ["path", "id"]).select("path", F.col("component").alias("main"))
-        outside = placed.join(first, "path").where("component != main").join(done, ["path", "id"], "left_anti")
-        # the least member of each outside component stands for it first
-        heads = outside.withColumn("lead", F.pmod(F.xxhash64("id"), F.lit(64)))
-        some = heads.groupBy("path", "lead").agg(F.min_by(F.struct("id", "n", "sig"), F.col("id")).alias("p")).select("path", "p.*")
-        order = Window.partitionBy("path").orderBy("id")
-        some = staging.stored(some.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PIVOTS).drop("r"), "near-next")
-        if some.isEmpty():
-            return components
-        done = staging.stored(done.unionByName(some.select("path", "id")), "near-pivots")
-        new = _pivot_pairs(members, some, percent)
+    components = connected(confirmed(pairs, sets, percent).unionByName(_dense_links(members, sets, percent)).distinct())
+    return _labelled(table, classes, components)
 
 
 def _labelled(table: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
