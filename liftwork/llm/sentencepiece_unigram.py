@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from liftwork.llm import staging
 from liftwork.llm.textbuf import slices, text_bytes
@@ -261,7 +262,7 @@ def encoded(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -
         for batch in slices(batches, text, 4 << 20):
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), model.encode(batch.column(text))], names=[*names, "ids"])
 
-    return given.mapInArrow(run, given.drop(text).schema.add("ids", "array<int>"))
+    return given.mapInArrow(run, given.drop(text).schema.add("ids", ArrayType(IntegerType())))
 
 
 def decoded(docs: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -276,7 +277,7 @@ def decoded(docs: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) ->
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), model.decode(part.column(ids))], names=[*names, "decoded"])
 
     given = docs.select(*names)
-    return given.mapInArrow(run, given.schema.add("decoded", "string"))
+    return given.mapInArrow(run, StructType([*given.schema.fields, StructField("decoded", StringType())]))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
