@@ -35,6 +35,8 @@ from liftwork.llm.textbuf import RollingHash, mix, slices, text_bytes
 
 LENGTH = 100
 GRAM = 32
+#: Bytes of text that a task works on at a time, about: some 100 bytes of arrays for each.
+SLICE = 1 << 20
 _POSITION_BITS = 28
 
 
@@ -92,7 +94,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """A row per anchor run; dup: an equal run stands earlier in the same batch, so this one is resolved already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", SLICE):
             data, at = text_bytes(batch.column("text"))
             begin, count, off, kh, sh = anchor_runs(data, at, length, gram)
             row = np.searchsorted(at, begin, "right") - 1
@@ -209,7 +211,7 @@ def _contexts(given: DataFrame, open_runs: DataFrame, length: int) -> DataFrame:
     """The bytes of open runs; for hot anchors a row for each window, with its hash as key and no bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", SLICE):
             data, at = text_bytes(batch.column("text"))
             lists = batch.column("runs")
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -375,7 +377,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...
     names = ["doc_id", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 4 << 20):
+        for batch in slices(batches, "_text", SLICE):
             data, at = text_bytes(batch.column("_text"))
             lists = batch.column("_runs").fill_null([]) if batch.column("_runs").null_count else batch.column("_runs")
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
