@@ -34,8 +34,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand earlier too. Bytes of characters that a cut breaks go as well."""
-    out = suffix_dedup.without_repeats(docs, carry=("lang", "source", "n_chars", "text"))
-    cut = F.when(F.col("n_removed") > 0, suffix_dedup.whole_characters("kept")).otherwise(F.col("text"))
+    out = suffix_dedup.without_repeats(docs, carry=("lang", "source", "n_chars", "text"), as_text=True)
+    cut = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return out.withColumn("text", cut).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

@@ -99,7 +99,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.get(vocabulary)
         tail = np.array([end_token], np.uint32)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.batch(batch.column("text")), strict=True):
                 ids = np.concatenate([ids, tail])

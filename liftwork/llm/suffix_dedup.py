@@ -25,9 +25,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwork.llm import staging
@@ -36,7 +35,7 @@ from liftwork.llm.textbuf import RollingHash, mix, slices, text_bytes
 LENGTH = 100
 GRAM = 32
 #: Bytes of text that a task works on at a time, about: some 100 bytes of arrays for each.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _POSITION_BITS = 28
 
 
@@ -366,14 +365,17 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.hash(text).alias("th"), text.alias("text"))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``carry``, n_bytes, n_removed, n_spans and kept (binary) of every row."""
+def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """doc_id, the columns ``carry``, n_bytes, n_removed, n_spans and kept (binary) of every row.
+
+    With ``as_text`` kept is a string, without the bytes of characters that a cut breaks.
+    """
     runs = repeated_runs(_identified(docs), length)
     per_doc = runs.groupBy(F.col("did").alias("_rd"), F.col("th").alias("_rt")).agg(F.collect_list(F.struct("p", "n")).alias("_runs"))
     given = docs.select("doc_id", *carry, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     given = given.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_th": F.hash("_text")})
     joined = given.join(per_doc, (F.col("_did") == F.col("_rd")) & (F.col("_th") == F.col("_rt")), "left").select("doc_id", *carry, "_text", "_runs")
-    schema = joined.drop("_text", "_runs").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    schema = joined.drop("_text", "_runs").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "string" if as_text else "binary")
     names = ["doc_id", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,6 +398,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...
             removed = count(gone)
             ends = np.cumsum(np.diff(at) - removed).astype(np.int32)
             kept = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data[~gone].tobytes())])
+            if as_text:
+                kept = pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.diff(at)), pa.array(removed), pa.array(count(heads)), kept], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
     return joined.mapInArrow(run, schema)
@@ -403,13 +407,3 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(staging.documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-def whole_characters(kept: str) -> Column:
-    """The text of a column of bytes, without bytes that are no whole UTF-8 character."""
-
-    @F.pandas_udf("string")
-    def text(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return text(kept)

@@ -40,7 +40,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` of text; a longer row is a batch of its own."""
     for batch in batches:
         _, at = text_bytes(batch.column(column))
@@ -49,6 +49,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 <
             end = max(begin + 1, int(np.searchsorted(at, at[begin] + most_bytes, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
+        pa.default_memory_pool().release_unused()
 
 
 class RollingHash:
