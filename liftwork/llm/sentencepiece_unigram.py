@@ -33,6 +33,8 @@ from liftwork.llm.textbuf import slices, text_bytes
 
 VOCABULARY = "piece_bpe_32k.model"
 PENALTY = 10.0
+#: Bytes of distinct parts that are searched at a time.
+BLOCK = 1 << 17
 MARKER = "▁"
 
 
@@ -202,6 +204,17 @@ class Unigram:
         out = np.where(piece[spread] >= 0, piece[spread], self.raw[data[np.minimum(start[spread] + inner, n - 1)]])
         return out, np.bincount(np.repeat(owner, width), minlength=parts)
 
+    def segmented(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``segment`` over blocks of about BLOCK bytes, so that the tables of a search stay small."""
+        found, begin = [], 0
+        while begin < len(at) - 1:
+            end = max(begin + 1, int(np.searchsorted(at, at[begin] + BLOCK, "right")) - 1)
+            found.append(self.segment(data[at[begin] : at[end]], at[begin : end + 1] - at[begin]))
+            begin = end
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """list<int32> of each text; null stays null."""
         given = pc.fill_null(texts, "")
@@ -226,7 +239,7 @@ class Unigram:
         entries = coded.dictionary.take(pa.array(used % (len(coded.dictionary) + 1))).to_pylist()
         parts = pa.array([" " * int(b) + e for b, e in zip(used // (len(coded.dictionary) + 1), entries, strict=True)], pa.string())
         data, at = text_bytes(parts)
-        ids, n = self.segment(data, at)
+        ids, n = self.segmented(data, at)
         begin = np.cumsum(n) - n
         take = n[back]
         take = np.where(empty[row], 0, take)
