@@ -1,8 +1,9 @@
 """Quality rules whose cutoffs adapt to each language and source.
 
 Every document gets a few integer signals. Fixed-width histogram sketches of the signals (per
-language, source and signal; they merge by adding counts) give medians and low quantiles, and from
-these one limit per group. A document is kept if the base rule holds and no signal passes the limit
+language, source and signal; they merge by adding counts) give the median and the 10 and 90 per cent
+quantiles, and from these a lower and an upper limit per group: the median minus or plus a multiple of
+the distance to the quantile on that side, one bucket at least. A document is kept if the base rule holds and no signal passes the limit
 of its group. Groups with fewer than ``min_group`` documents take the limits of their language, and
 those of the whole table where the language is small too.
 
@@ -28,12 +29,12 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-#: signal -> (SQL integer expression, least spread used for the limit). Shares are per mille.
+#: signal -> SQL integer expression, the bucket of the sketch. Shares are per mille, the word length is in tenths of a character.
 SIGNALS = {
-    "symbol_share": ("n_symbols * 1000 div greatest(word_chars, 1)", 15),
-    "repeat_share": ("n_repeat_words * 1000 div greatest(n_words, 1)", 60),
-    "dup_line_share": ("n_dup_lines * 1000 div greatest(n_words, 1)", 8),
-    "word_length": ("least(word_chars * 10 div greatest(n_words, 1), 2000)", 15),
+    "symbol_share": "n_symbols * 1000 div greatest(word_chars, 1)",
+    "repeat_share": "n_repeat_words * 1000 div greatest(n_words, 1)",
+    "dup_line_share": "n_dup_lines * 1000 div greatest(n_words, 1)",
+    "word_length": "least(word_chars * 10 div greatest(n_words, 1), 2000)",
 }
 SPREADS = 6
 MIN_GROUP = 100
@@ -126,7 +127,7 @@ def base_failed() -> Column:
 
 def sketch(counted: DataFrame, keys: list[str]) -> DataFrame:
     """Histogram sketches: a row (keys, signal, bucket, n). Only rows that pass the base rule are taken."""
-    signals = F.array(*(F.struct(F.lit(s).alias("signal"), F.expr(e).cast("long").alias("bucket")) for s, (e, _) in SIGNALS.items()))
+    signals = F.array(*(F.struct(F.lit(s).alias("signal"), F.expr(e).cast("long").alias("bucket")) for s, e in SIGNALS.items()))
     rows = counted.where(~base_failed()).select(*keys, F.explode(signals).alias("s"))
     return rows.groupBy(*keys, "s.signal", "s.bucket").agg(F.count(F.lit(1)).alias("n"))
 
@@ -137,17 +138,17 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def limits(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: n, and a struct low/high for each signal, median +- SPREADS times the spread below the median."""
+    """Per group: n, and a struct low/high for each signal, SPREADS times the spread on that side of the median."""
     group = Window.partitionBy(*keys, "signal")
     summed = sketches.select(
         *keys, "signal", "bucket", F.sum("n").over(group).alias("total"),
         F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("up_to"),
     )
     at = lambda q: F.min(F.when(F.col("up_to") * 100 >= F.col("total") * q, F.col("bucket")))
-    quantiles = summed.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(50).alias("mid"), at(10).alias("low"))
-    least = reduce(lambda c, s: c.when(F.col("signal") == s, F.lit(SIGNALS[s][1])), SIGNALS, F)
-    spread = F.greatest(F.col("mid") - F.col("low"), least) * SPREADS
-    edges = quantiles.select(*keys, "signal", "n", (F.col("mid") - spread).alias("lo"), (F.col("mid") + spread).alias("hi"))
+    quantiles = summed.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(50).alias("mid"), at(10).alias("low"), at(90).alias("high"))
+    spread = lambda distance: F.greatest(distance, F.lit(1)) * SPREADS
+    below, above = spread(F.col("mid") - F.col("low")), spread(F.col("high") - F.col("mid"))
+    edges = quantiles.select(*keys, "signal", "n", (F.col("mid") - below).alias("lo"), (F.col("mid") + above).alias("hi"))
     return edges.groupBy(*keys).agg(
         F.max("n").alias("n"),
         *(f(F.when(F.col("signal") == s, F.col(c))).alias(f"{s}_{c}") for s in SIGNALS for c, f in (("lo", F.max), ("hi", F.max))),
@@ -172,7 +173,7 @@ def apply_rules(counted: DataFrame, lang: str = "lang", source: str = "source",
         .join(F.broadcast(c), F.lit(True), "left")  # one row
         .select(F.col("_lang").alias("g_lang"), F.col("_source").alias("g_source"), *(F.coalesce(f"a{e}", f"b{e}", f"c{e}").alias(e) for e in edges))
     )
-    passed = reduce(lambda x, y: x & y, (F.expr(f"{e} between {s}_lo and {s}_hi") for s, (e, _) in SIGNALS.items()))
+    passed = reduce(lambda x, y: x & y, (F.expr(f"{e} between {s}_lo and {s}_hi") for s, e in SIGNALS.items()))
     return (
         own.join(limit, own["_lang"].eqNullSafe(limit["g_lang"]) & own["_source"].eqNullSafe(limit["g_source"]), "left")
         .withColumn("base_failed", base_failed())

@@ -150,6 +150,27 @@ def test_quality_limits_follow_their_group(spark):
     assert all(got[i] == bool(i % 50) for i in range(400))
 
 
+def test_every_quality_signal_rejects_outliers(spark):
+    plain = lambda i, width=5: [f"{k * 7 + i % 3:0{width}d}" for k in range(100)]
+    tight = [(i, " ".join(plain(i)), "en", "web", 0) for i in range(300)]  # all alike
+    words = plain(1)
+    again = words[:12] + words[:12] + words[24:]
+    odd = {
+        "symbols": " ".join(w + "#" * (k % 10 == 0) for k, w in enumerate(words)),
+        "repeats": " ".join(again),
+        "lines": " ".join(words[:90]) + "\nx\n" + "x\n" * 3,
+        "long words": " ".join(plain(1, 7)),
+        "short words": " ".join(plain(1, 3)),
+    }
+    rows = tight + [(1000 + k, text, "en", "web", 0) for k, text in enumerate(odd.values())]
+    wide = [(2000 + i, " ".join(plain(i, 3 + i % 6)), "en", "code", 0) for i in range(300)]  # word lengths that differ more
+    rows += wide + [(3000, odd["long words"], "en", "code", 0), (3001, odd["short words"], "en", "code", 0)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [name for k, name in enumerate(odd) if got[1000 + k].kept] == []
+    assert all(got[i].kept for i in got if i < 1000 or i >= 2000)
+
+
 BASE = {
     "assign": (r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
