@@ -33,6 +33,12 @@ RULES = {
 }
 #: What a blob must contain for a rule to be worth splitting by: a literal, or a pattern.
 HINTS = {"access": "AKIA", "hex": "[0-9a-f]{24}", "pem": "PRIVATE KEY-----", "github": "gh", "jwt": "eyJ"}
+#: A private key's last line, and the lines of one without it: base64, or the fields of an encrypted key.
+_PEM_END = r"^-----END [A-Z ]*PRIVATE KEY-----"
+_PEM_LINES = (
+    r"^(?:(?:[^\S\n]|\\[nr])*+\n?+[^\S\n]*+(?:[>#*]++[^\S\n]*+)?+"
+    r"(?:(?:Proc-Type|DEK-Info):[^\n\\]*+(?:\n(?=\r?\n))?+|[A-Za-z0-9+/]{20,}+={0,2}+|[A-Za-z0-9+/=]++(?=[^\S\n]*+(?:\n|\z|\\[nr]))))*+"
+)
 BASE = ("assign", "access", "hex")
 RULE_VERSION = "1"
 
@@ -103,12 +109,22 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _key_end(end: Column) -> Column:
+    """Where the private key ends whose first line ends at ``end``: after the END line, or its base64 lines if none follows."""
+    rest = F.substring(F.col("text"), end + 1, F.length("text"))
+    dashes = F.instr(rest, "-----")
+    last = F.when(dashes > 0, F.regexp_extract(F.substring(rest, dashes, F.lit(200)), _PEM_END, 0)).otherwise("")
+    return end + F.when(last != "", dashes - 1 + F.length(last)).otherwise(F.length(F.regexp_extract(rest, _PEM_LINES, 0)))
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` (with spans) in which every secret is replaced by ``mark``; overlapping spans get one mark.
 
-    Of an assignment only its value goes, the name before it stays.
+    Of an assignment only its value goes, the name before it stays. With a private key's first line, its
+    span in the ledger, its body and last line go.
     """
-    ranges = F.array_sort(F.transform("spans", lambda s: F.struct(s["from"].alias("a"), s["end"].alias("b"))))
+    end = lambda s: F.when(s["kind"] == "pem", _key_end(s["end"])).otherwise(s["end"])
+    ranges = F.array_sort(F.transform("spans", lambda s: F.struct(s["from"].alias("a"), end(s).alias("b"))))
     step = lambda acc, r: F.struct(
         F.when(
             r["a"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, r["a"] - acc["at"]), F.lit(mark))
