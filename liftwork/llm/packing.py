@@ -18,6 +18,8 @@ own. A null doc_id stays null. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -46,7 +48,8 @@ class Encoder:
 
     The vocabulary's pattern never joins a word with what stands before its single space, so a text is
     cut there, distinct words are encoded, and the ids put together again. Texts in which a space
-    stands between other white space are encoded as a whole.
+    stands between other white space are encoded as a whole. Texts that hold one of the vocabulary's
+    added tokens are cut at those, which get their own ids.
     """
 
     _loaded: dict[str, Encoder] = {}
@@ -58,6 +61,12 @@ class Encoder:
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as whole:
+            added = json.load(whole)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError(f"{vocabulary}: added tokens that take in or depend on what stands beside them")
+        self.added = {t["content"]: t["id"] for t in added}
+        self.marks = "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))
 
     @classmethod
     def get(cls, vocabulary: str) -> Encoder:
@@ -65,6 +74,14 @@ class Encoder:
             cls._loaded[vocabulary] = cls(vocabulary)
         return cls._loaded[vocabulary]
 
+    def whole(self, text: str) -> list[int]:
+        if not self.added:
+            return self.encode(text)
+        out: list[int] = []
+        for part in re.split(f"({self.marks})", text):
+            out += [self.added[part]] if part in self.added else self.encode(part)
+        return out
+
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """uint32 ids of each text."""
         texts = pc.fill_null(texts, "")
@@ -87,8 +104,11 @@ class Encoder:
         whole = pool[np.arange(total[-1] if len(total) else 0) + np.repeat(start[at] - (total - n), n)]
         edges = np.concatenate([[0], total])[np.concatenate([[0], ends])]
         out = [whole[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        for i in np.flatnonzero(pc.match_substring_regex(texts, _LOOSE).to_numpy(zero_copy_only=False)):
-            out[i] = np.array(self.encode(texts[int(i)].as_py()), np.uint32)
+        apart = pc.match_substring_regex(texts, _LOOSE)
+        for token in self.added:
+            apart = pc.or_(apart, pc.match_substring(texts, token))
+        for i in np.flatnonzero(apart.to_numpy(zero_copy_only=False)):
+            out[i] = np.array(self.whole(texts[int(i)].as_py()), np.uint32)
         return out
 
 

@@ -261,6 +261,17 @@ def test_packing_round_trip(docs, rows, reader):
     assert len(by_sequence) <= first_fit([p["length"] for p in pieces])
 
 
+def test_packing_knows_the_added_token(spark, reader):
+    mark = "<|endoftext|>"
+    texts = [f"hello {mark} world", mark, f"{mark}{mark}", f" a  {mark}  b ", f"a{mark}b", f"\n{mark} \n", f"<|endoftext| >{mark[:-1]}", f"<{mark}>", f"é  \u3000{mark}'s {mark}x " * 300]
+    docs = spark.createDataFrame([(k, text, None, None, 0) for k, text in enumerate(texts)], DOCUMENTS)
+    got = defaultdict(list)
+    for p in sorted(packing.pack(docs, with_ids=True).collect(), key=lambda p: p["piece"]):
+        got[p["doc_id"]] += p["ids"]
+    assert dict(got) == {k: reader.encode(text, add_special_tokens=False).ids + [2] for k, text in enumerate(texts)}
+    assert got[0] == [31373, 220, 50256, 995, 2]
+
+
 def first_fit(lengths: list[int], capacity: int = 1024) -> int:
     room: list[int] = []
     for n in sorted(lengths, reverse=True):
