@@ -7,6 +7,13 @@ file is a licence file of its directory if its base name says so, or if the foun
 least half of its terms. Files without a licence of their own get the one of the nearest directory
 above them that has a licence file: an equality join of ancestor paths.
 
+Passages don't find licences that wrap over lines or state their name only once for many lines. Of every
+text with a telling term, so are compared as well: whole paragraphs and their sentences with line ends
+and comment marks folded into blanks, comment blocks, and the whole text. They need no telling term of
+their own and are compared with the headers and licence texts of ``WHOLE`` too. What is found so counts
+where the passages give no licence, or where a text of ``WHOLE`` names another one. An SPDX identifier
+goes before all of these, with a score of 1.
+
 All work is done by DataFrame functions. Directories are joined by path with their licence, one row
 each, after the licence files of a directory have been aggregated; hot directories only repeat a row
 of one side.
@@ -51,6 +58,39 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+_GNU_VERSION = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation; either version {1} of the License, or (at your option) any later version."
+_GNU_ONLY = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {0}, version {1}, as published by the Free Software Foundation."
+_GNU_REST = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+_GNU = (("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"), ("LGPL-3.0", "Lesser General Public License", "3"), ("AGPL-3.0", "Affero General Public License", "3"))
+_APACHE = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+_BSD_REST = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_MIT_REST = " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+# Whole headers and licence texts; of the long licences their headers and titles.
+WHOLE = (
+    *((name, _GNU_VERSION.format(kind, version) + rest) for name, kind, version in _GNU for rest in ("", _GNU_REST.format(kind))),
+    *((name, _GNU_ONLY.format(kind, version)) for name, kind, version in _GNU),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", _APACHE + " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("BSD-2-Clause", _BSD + _BSD_REST),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_REST),
+    ("ISC", _ISC),
+    ("ISC", _ISC + " THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("MIT", _MIT),
+    ("MIT", _MIT + _MIT_REST),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+)
+
 #: A passage without any of these terms is not compared: they carry the templates' weight.
 TELLING = ("license", "licensed", "licence", "licenced", "copyright", "reserved", "permission", "redistribution", "unencumbered", "redistribute", "cc0")
 LEAST = 0.6
@@ -58,6 +98,14 @@ FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\..*)?$"
 
 _PASSAGES = r"\n|(?<=[.!?:;]) +"
 _WORDS = r"[^a-z0-9]+"
+#: Line ends with the comment marks beside them; those that part paragraphs; those that part comment blocks and other lines.
+_MARK = r"(?:(?://|/\*|<!--|--(?!>)|[#*;%>!])[/*#;%!]*+)"
+_FOLD = rf"(?<![ \t\r])[ \t\r]*+(?:\*/|-->)?+[ \t\r]*+\n[ \t]*+{_MARK}?+[ \t]*+"
+_PARAGRAPHS = rf"\n[ \t]*+{_MARK}?+[ \t]*+(?:/|-->)?+[ \t\r]*+(?=\n)"
+_BLOCKS = rf"\n(?![ \t]*+{_MARK})"
+_C_BLOCKS = r"/\*[^*]*+(?:\*(?!/)[^*]*+)*+(?:\*/|\z)"
+_SENTENCES = r"(?<=[.!?]) +"
+_SPDX = r"SPDX-License-Identifier:[ \t]*\(*([A-Za-z0-9.+-]*[A-Za-z0-9+])"
 _HINT = r"(?i)\b(" + "|".join(TELLING) + r")\b"
 
 
@@ -77,9 +125,12 @@ def _vector(table: DataFrame, key: list[str], frequencies: DataFrame, total: Col
 def own_licences(files: DataFrame) -> DataFrame:
     """(file, licence, score, is_file) of the files (file, path, text) with a licence of their own."""
     spark = files.sparkSession
+    wholes = spark.createDataFrame([(len(TEMPLATES) + i, name, text) for i, (name, text) in enumerate(WHOLE)], "template int, licence string, text string")
     templates = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(TEMPLATES)], "template int, licence string, text string")
     of_template = templates.select("template", F.explode(terms(F.col("text"))).alias("term"))
-    vocabulary = sorted({r["term"] for r in of_template.select("term").distinct().collect()})  # the templates' own words
+    of_whole = of_template.unionByName(wholes.select("template", F.explode(terms(F.col("text"))).alias("term")))
+    every = of_whole.groupBy("term").agg(F.min("template").alias("t")).collect()  # the templates' own words
+    vocabulary, short = sorted(r["term"] for r in every), [r["term"] for r in every if r["t"] < len(TEMPLATES)]
     text = F.coalesce(F.col("text"), F.lit(""))
     present = F.array_intersect(terms(text), F.array(*(F.lit(t) for t in vocabulary)))
     frequencies = files.select(F.explode(present).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -89,12 +140,39 @@ def own_licences(files: DataFrame) -> DataFrame:
     hinted = files.where(text.rlike(_HINT)).select("file", F.size(terms(text)).alias("of_file"), F.posexplode(F.split(text, _PASSAGES)).alias("at", "passage"))
     hinted = hinted.where(F.col("passage").rlike(_HINT))
     passages = staging.stored(hinted.select("file", "at", "of_file", F.explode(terms(F.col("passage"))).alias("term")), "licence-passages")
+    by_line = _best(passages, of_template, templates, frequencies.where(F.col("term").isin(short)), total)
+    by_whole = _best(staging.stored(_folded(files), "licence-wholes"), of_whole, templates.unionByName(wholes), frequencies, total)
+    identifier = F.regexp_replace(F.regexp_extract(text, _SPDX, 1), r"(-only|-or-later|\+)$", "")
+    spdx = files.select("file", identifier.alias("spdx"), F.size(F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")).alias("lines")).where("spdx <> ''")
+    a, b = F.col("line"), F.col("block")
+    other = a["licence"].isNull() | ((b["template"] >= len(TEMPLATES)) & (a["licence"] != b["licence"]))
+    found = by_line.select("file", F.col("b").alias("line")).join(by_whole.select("file", F.col("b").alias("block")), "file", "full").join(spdx, "file", "full")
+    best = F.when(b.isNotNull() & other, b).otherwise(a)
+    return found.select(
+        "file", F.coalesce("spdx", best["licence"]).alias("licence"), F.when(F.col("spdx").isNotNull(), 1.0).otherwise(-best["s"]).alias("score"),
+        F.when(F.col("spdx").isNotNull(), F.coalesce(best["whole"], F.lit(False)) | (F.col("lines") == 1)).otherwise(best["whole"]).alias("whole"),
+    )
+
+
+def _folded(files: DataFrame) -> DataFrame:
+    """(file, at, of_file, term) of the paragraphs, their sentences, the comment blocks and the whole text of each text with a telling term."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    fold = lambda c: F.trim(F.regexp_replace(F.concat(F.lit("\n"), c), _FOLD, " "))
+    paragraphs = F.transform(F.split(F.concat(F.lit("\n"), text, F.lit("\n")), _PARAGRAPHS), fold)
+    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, _SENTENCES)))
+    blocks = F.transform(F.concat(F.split(text, _BLOCKS), F.regexp_extract_all(text, F.lit(_C_BLOCKS), F.lit(0))), fold)
+    parts = F.array_distinct(F.concat(F.array(fold(text)), paragraphs, blocks, sentences))
+    hinted = files.where(text.rlike(_HINT)).select("file", F.size(terms(text)).alias("of_file"), F.posexplode(parts).alias("at", "part"))
+    return hinted.select("file", "at", "of_file", F.explode(terms(F.col("part"))).alias("term"))
+
+
+def _best(passages: DataFrame, of_template: DataFrame, templates: DataFrame, frequencies: DataFrame, total: Column) -> DataFrame:
+    """(file, b) of the files with a passage of at least ``LEAST``; b: its struct (s, licence, at, whole, template), s the score below zero."""
     left = _vector(passages, ["file", "at", "of_file"], frequencies, total)
     right = _vector(of_template, ["template"], frequencies, total).select("template", "term", F.col("w").alias("tw"))
     cosine = left.join(F.broadcast(right), "term").groupBy("file", "at", "of_file", "n_terms", "template").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("score"))
     named = cosine.where(F.col("score") >= LEAST).join(F.broadcast(templates.select("template", "licence")), "template")
-    best = named.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence", "at", (F.col("n_terms") * 2 >= F.col("of_file")).alias("whole"))).alias("b"))
-    return best.select("file", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), F.col("b.whole").alias("whole"))
+    return named.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence", "at", (F.col("n_terms") * 2 >= F.col("of_file")).alias("whole"), "template")).alias("b"))
 
 
 def scan(files: DataFrame) -> DataFrame:

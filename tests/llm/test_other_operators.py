@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import textwrap
 from itertools import product
 
 import numpy as np
@@ -145,6 +146,29 @@ def test_licences_equal_their_sql(spark):
     assert differences(spark, SMALL, license_scan.op3_license_scan, license_scan.ORACLE_SQL) == ""
 
 
+def test_licences_that_wrap_over_lines(spark):
+    wrap = lambda t, mark="", width=70: "\n".join(mark + line for line in textwrap.wrap(t, width))
+    of = lambda name, k=-1: [t for n, t in license_scan.WHOLE if n == name][k]
+    code = "\n".join(f"x{k} = call_{k}(y{k}, z{k % 7})" for k in range(200))
+    gnu = lambda v: f"This program is free software{':;'[v == 2]} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation{',;'[v == 2]} either version {v} of the License, or\n(at your option) any later version."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."
+    bsd = "Copyright (c) 2020, A Name\nAll rights reserved.\n\n"
+    texts = {
+        "GPL-3.0": [gnu(3), "# " + gnu(3).replace("\n", "\n# ") + f"\n#\n# See the file.\n\n{code}"],
+        "GPL-2.0": [gnu(2), "/*\n * " + gnu(2).replace("\n", "\n * ") + f"\n */\n{code}"],
+        "MPL-2.0": [mpl, "/* " + mpl.replace("\n", "\n * ") + f" */\n{code}"],
+        "MIT": ["// SPDX-License-Identifier: MIT\n" + code, "Copyright (c) 2021 A Name\n\n" + wrap(of("MIT")), f"Text.\nReleased under the\nMIT License.\n\n{code}"],
+        "BSD-2-Clause": [bsd + wrap(of("BSD-2-Clause")), f"/*\n{bsd}{wrap(of('BSD-2-Clause'))}\n*/\n{code}", "# SPDX-License-Identifier: BSD-2-Clause"],
+        "BSD-3-Clause": [bsd + wrap(of("BSD-3-Clause")), wrap(bsd + of("BSD-3-Clause"), "# ") + f"\n{code}"],
+        "Apache-2.0": [wrap(of("Apache-2.0"), "// ") + f"\n\n{code}"],
+        None: [code, f"A licence is a text that many\nauthors add to their copyright lines.\n{code}"],
+    }
+    rows = [(f"{name} {k}", f"d{name}{k}/x.py", t) for name, group in texts.items() for k, t in enumerate(group)]
+    rows += [(f"none {k}", f"n{k}/x.py", f"plain words {k} and the version of a {w} file") for k, w in enumerate(["free", "public", "new", "red"] * 10)]
+    got = {r.file: r.licence for r in license_scan.scan(spark.createDataFrame(rows, "file string, path string, text string")).collect()}
+    assert {f: n for f, n in got.items() if n} == {f"{name} {k}": name for name, group in texts.items() if name for k in range(len(group))}
+
+
 def test_licences_are_inherited_from_the_nearest_directory(spark):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c.py", "code here"), (3, "a/d/COPYING", "Licensed under the Apache License, Version 2.0."),
