@@ -3,8 +3,8 @@
 A piece is a document's ids, or where they exceed the capacity one of its cuts (the first cut takes
 the remainder, all others are full). Only the number of pieces of each length matters for the plan:
 a histogram of at most ``capacity`` entries, whatever the input. For the lengths in falling order the
-plan looks up the gap that is left in hash indexes of single lengths, of pair sums and of triple
-sums, and uses up each combination that fills it exactly, as often as all its lengths are there. Pieces
+plan looks up the gap that is left in hash indexes of single lengths and of pair sums, finds triples by
+looking up what each third length leaves of the gap among the pairs, and uses up each combination that fills it exactly, as often as all its lengths are there. Pieces
 of a length that has no exact complement left go by best fit: always the longest that still fits.
 
 The plan is a table of patterns, each used for a range of sequence numbers. Pieces get a rank within
