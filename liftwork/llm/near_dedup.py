@@ -8,21 +8,30 @@ differ too much are dropped (4.5 sigma under the wanted similarity); the others
 shingle sets.
 
 A node of over ``DENSE`` classes most of which resemble its first member is dense, as is one with over
-``MANY`` candidate pairs a member: its number of links can be the square of its size. Its members come together with their full sets, in blocks where there
-are very many, and only links that join two components are looked for and returned; every pair of
-members that is not in one component is compared. Components of all links follow.
+``MANY`` candidate pairs a member: its number of links can be the square of its size. Only links that
+join two components are looked for in it. Its members are dealt to chunks of about ``CHUNK``, each
+together with a few representatives of the node, and every pair of a chunk that is not in one component
+yet is compared. The members that are then in the node's largest component are done with each other; the
+rest is compared with all members, in blocks. So every pair of members ends in one component or has been
+compared, and the work is the square of the node's size only where the node falls apart. Components of
+all links follow.
 
 A pair at the similarity limit survives a tree with a probability of about 0.93, and all ``TREES``
-trees miss it with a chance below 1e-4.
+trees miss it with a chance below 1e-4. ``LEAF``, ``DENSE``, ``MANY``, ``CHUNK``, ``NODE`` and ``DEPTH`` choose
+how pairs are compared, not which; nodes of over ``HOT`` members are dealt over ``SALTS`` tasks wherever
+rows meet by node.
 
 Null or blank texts have an empty set and are linked with nothing. Rows with a null doc_id are kept,
-with a null component, and take no part. Rows that repeat a doc_id share one component entry. Other
-columns of the input do not matter. An empty table gives an empty result.
+with a null component, and take no part. Rows that repeat a doc_id are documents of their own, each with
+the component of its text. Equal rows are copies of each other. Other columns of the input do not matter,
+whatever their names. A text is worked on as a whole, however long: some 60 bytes of arrays for each of
+its bytes. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +49,12 @@ BRANCHES = 4
 DEEPER = 3
 LEAF = 512
 DENSE = 24
-#: Members of a dense node that one task holds; of a larger node every pair of blocks is a task.
-NODE = 4096
+#: Members of a dense node that come together at first, and representatives that join every chunk.
+CHUNK, FIRST = 512, 8
+#: Members of a dense node that the rest of it is compared with at a time.
+NODE = 2048
+#: Members of a node beyond which its rows are dealt over SALTS tasks.
+HOT, SALTS = 512, 64
 DEPTH = 16
 #: Coordinates of the signatures that members of a dense node are told apart by.
 FINE = 128
@@ -55,7 +68,7 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray,
     data = LOWER[data] if len(data) else data
     begin, end, row = word_spans(data, at)
     rows = len(at) - 1
-    words = mix(RollingHash(data).ranges(begin, end) + (end - begin).astype(np.uint64))
+    words = mix(RollingHash(data).ranges(begin, end))
     n = np.bincount(row, minlength=rows)
     with np.errstate(over="ignore"):
         full = len(words) - width + 1
@@ -104,37 +117,49 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
 
 
+def _fingerprint(value: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
+    """2 x rows: 128 bits of each set."""
+    sums = np.zeros((2, rows), np.uint64)
+    np.add.at(sums[0], of, mix(value))
+    np.add.at(sums[1], of, mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    return sums.view(np.int64)
+
+
 def signatures(docs: DataFrame, width: int = 2) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, sig): set size, 128-bit set fingerprint and minwise signature."""
+    """(doc_id, text_hash, n_shingles, h1, h2, sig): set size, 128-bit set fingerprint and minwise signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             value, of, rows = shingle_sets(batch.column("text"), width)
             n = np.bincount(of, minlength=rows)
-            sums = np.zeros((2, rows), np.uint64)
-            np.add.at(sums[0], of, mix(value))
-            np.add.at(sums[1], of, mix(value ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
             sig = minwise(value, of, rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(s.view(np.int64)) for s in sums), _binary(sig, (np.arange(rows) + 1) * sig.shape[1] * 2)],
-                names=["doc_id", "n_shingles", "h1", "h2", "sig"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), *map(pa.array, _fingerprint(value, of, rows)), _binary(sig, (np.arange(rows) + 1) * sig.shape[1] * 2)],
+                names=["doc_id", "text_hash", "n_shingles", "h1", "h2", "sig"],
             )
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
+    text = F.col("text").cast("string")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return given.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(doc_id, shingles) of the documents in ``ids``, as sorted 64-bit values."""
+def sets_of(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) of the classes (id, first, h1, h2), as sorted 64-bit values.
+
+    The text is that of the document ``first``; of rows that repeat this doc_id, one whose set is that of the class.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             value, of, rows = shingle_sets(batch.column("text"), width)
+            prints = _fingerprint(value, of, rows)
+            own = (prints[0] == batch.column("h1").to_numpy()) & (prints[1] == batch.column("h2").to_numpy())
             ends = np.cumsum(np.bincount(of, minlength=rows)) * 8
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binary(value, ends)], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(value, ends)], names=["id", "shingles"]).filter(pa.array(own))
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+    wanted = given.join(classes.hint("merge"), F.col("doc_id") == F.col("first")).select("id", "h1", "h2", "text")
+    return wanted.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,13 +170,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             hit = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                hit[i] = 100 * common >= percent * (len(both) - common)
+                common = int(_common(x, [y])[0])
+                hit[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(hit))
 
-    left, right = (sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    left, right = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
@@ -184,8 +207,19 @@ def _agreement(x: Column, y: Column) -> Column:
 
 
 def _with_sizes(nodes: DataFrame) -> DataFrame:
-    sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1")
-    return nodes.join(sizes, "path")
+    """``nodes`` of several members with size, first member, and salt and spread, their share of a hot node and the number of shares."""
+    sizes = staging.stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1"), "near-sizes")
+    bucket = F.pmod(F.xxhash64("path"), F.lit(1 << 16)).alias("bucket")
+    hot = sizes.where(F.col("size") > HOT).select(bucket).distinct().withColumn("spread", F.lit(SALTS))  # 65,536 rows at most
+    spread = F.coalesce("spread", F.lit(1))
+    dealt = lambda d: d.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left").drop("bucket").withColumn("spread", spread)
+    salted = dealt(nodes).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("spread")).cast("int"))
+    return salted.join(_spread(dealt(sizes)).drop("spread"), ["path", "salt"])
+
+
+def _spread(nodes: DataFrame) -> DataFrame:
+    """A row for each share of a node (path, spread, ...)."""
+    return nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
 
 
 def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
@@ -236,40 +270,45 @@ def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
     return leaves.select("path", "id", "n", "sig").repartition("path").sortWithinPartitions("path", "id").mapInArrow(run, "a long, b long, path long")
 
 
-def spanning(ids: np.ndarray, sets: list[np.ndarray], blocks: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+def _common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others, none of them empty."""
+    flat = np.concatenate(others)
+    hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+    return np.add.reduceat(hit, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
+
+
+def spanning(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.ndarray | None = None, asking: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the members into the components of all their links.
 
-    Every pair of members not joined yet is compared, with signatures of FINE coordinates first. With
-    ``blocks`` (0 or 1 for each member) only pairs across the two blocks are.
+    Every pair of members that is not joined yet is compared, with signatures of FINE coordinates first.
+    ``group``: members with equal labels are joined already. ``asking``: only pairs with such a member count.
     """
     size = np.array([len(s) for s in sets])
     sig = minwise(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), len(sets), FINE)
     least = _least_agreement(percent, FINE)
-    group = np.arange(len(ids))
+    group = np.arange(len(ids)) if group is None else group.copy()
     links = []
-    big = 0  # the label of a large component: a few of its members are tried first
+    big = group[0]  # the label of a large component: a few of its members are tried first
 
     def join(i: int, there: np.ndarray, most: int | None = None) -> None:
-        if blocks is not None:
-            there = there[blocks[there] != blocks[i]]
+        if asking is not None and not asking[i]:
+            there = there[asking[there]]
         there = there[np.minimum(size[there], size[i]) * 100 >= np.maximum(size[there], size[i]) * percent]
         agreement = np.concatenate([(sig[part] == sig[i]).sum(axis=1) for part in np.array_split(there, len(there) // 4096 + 1)])
         order = np.argsort(-agreement, kind="stable")
         there = there[order[agreement[order] >= least]][:most]
+        step = 4
         while len(there):
-            j = there[0]
-            both = np.concatenate([sets[i], sets[j]])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            if 100 * common >= percent * (len(both) - common):
-                links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
-                group[group == group[i]] = group[j]
-                there = there[group[there] != group[i]]
-            else:
-                there = there[1:]
+            part, there, step = there[:step], there[step:], min(2 * step, 256)
+            common = _common(sets[i], [sets[j] for j in part])
+            for j in part[100 * common >= percent * (size[i] + size[part] - common)]:
+                if group[j] != group[i]:
+                    links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+                    group[group == group[i]] = group[j]
+            there = there[group[there] != group[i]]
 
     for i in range(1, len(ids)):
-        if i > 64:
+        if i > 64 and group[i] != big:
             some = np.flatnonzero(group[:i] == big)
             join(i, some[:: max(1, len(some) // 32)], 4)
         join(i, np.flatnonzero(group[:i] != group[i]))
@@ -277,78 +316,129 @@ def spanning(ids: np.ndarray, sets: list[np.ndarray], blocks: np.ndarray | None,
     return links
 
 
-def _dense_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join the members of each dense node (path, id, size)."""
-    parts = F.ceil(F.col("size") / NODE).cast("int")
-    own = F.pmod(F.xxhash64("id"), parts).cast("int")
-    dealt = members.select("path", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    dealt = dealt.select("path", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "own")
-    whole = dealt.join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id").select("path", "low", "high", "id", "own", "shingles")
+_LINKS = "a long, b long"
+_LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of dense nodes (path, id, size, salt, spread) among the members of chunks, each with the node's representatives."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    least = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"].alias(f"r{k}") for k in range(FIRST)]
+    chosen = members.groupBy("path", "size").agg(*least).select("path", F.explode(F.array_distinct(F.array(*(f"r{k}" for k in range(FIRST))))).alias("id"), chunks.alias("chunks"))
+    every = chosen.select("path", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id")
+    dealt = members.select("path", F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"), "id").unionByName(every).distinct()
+    whole = dealt.join(sets, "id").select("path", "chunk", "id", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        def found() -> Iterator[tuple]:
+            for _, rows in grouped(batches, 2):
+                yield from spanning(np.array([r[2] for r in rows]), [np.frombuffer(r[3], np.uint64) for r in rows], percent)
+
+        yield from batched(found(), _LINK_SCHEMA)
+
+    return whole.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "id").mapInArrow(run, _LINKS)
+
+
+def _rest_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
+    """Links of the members of dense nodes outside the node's largest component with all others of the node, if they are in several chunks; None without such members."""
+    large = members.where(F.col("size") > CHUNK)  # one chunk holds all others
+    if large.isEmpty():
+        return None
+    told = large.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    told = staging.stored(told, "near-told")
+    counts = told.groupBy("path", "spread", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = counts.groupBy("path", "spread").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
+    marked = told.join(_spread(main).drop("spread"), ["path", "salt"]).withColumn("asks", F.col("component") != F.col("main"))
+    rests = marked.groupBy("path", "spread").agg(F.count_if("asks").alias("rest")).where("rest > 0")
+    rests = staging.stored(rests, "near-rests")
+    if rests.isEmpty():
+        return None
+    left = marked.join(_spread(rests).drop("spread"), ["path", "salt"])
+    rows, columns = F.ceil(F.col("rest") / NODE).cast("int"), F.ceil(F.col("size") / NODE).cast("int")
+    kept = ("path", "id", "component")
+    hashed = F.xxhash64("id")
+    asking = left.where("asks").select(*kept, F.pmod(hashed, rows).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("column"), F.lit(True).alias("asks"))
+    asked = left.select(*kept, F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"), F.pmod(hashed, columns).cast("int").alias("column"), F.lit(False).alias("asks"))
+    both = asking.unionByName(asked).groupBy(*kept, "row", "column").agg(F.max("asks").alias("asks"))
+    whole = both.join(sets, "id").select("path", "row", "column", "id", "component", "asks", "shingles")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for (_, low, high), rows in grouped(batches, 3):
-                blocks = None if low == high else (np.array([r[4] for r in rows]) == high).astype(int)
-                yield from spanning(np.array([r[3] for r in rows]), [np.frombuffer(r[5], np.uint64) for r in rows], blocks, percent)
+            for _, group in grouped(batches, 3):
+                labels = np.unique([r[4] for r in group], return_inverse=True)[1]
+                yield from spanning(np.array([r[3] for r in group]), [np.frombuffer(r[6], np.uint64) for r in group], percent, labels, np.array([r[5] for r in group]))
 
-        yield from batched(found(), schema)
+        yield from batched(found(), _LINK_SCHEMA)
 
-    return whole.repartition("path", "low", "high").sortWithinPartitions("path", "low", "high", "id").mapInArrow(run, "a long, b long")
+    return whole.repartition("path", "row", "column").sortWithinPartitions("path", "row", "column", "id").mapInArrow(run, _LINKS)
 
 
-def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
-    table = staging.stored(signatures(docs, width), "near-signatures")
-    some = table.where("n_shingles > 0 and doc_id is not null")
-    classes = staging.stored(some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "near-classes")
+def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of classes, and the members (path, id, size, salt, spread) of dense nodes."""
     roots = classes.select(F.explode(F.array(*(F.lit(t) for t in range(TREES)))).alias("tree"), "id", F.col("n_shingles").alias("n"), "sig")
     level = _branch(roots.select(F.xxhash64("tree").alias("path"), "id", "n", "sig"), BRANCHES)
     candidates, dense = [], []
+    member = ("path", "id", "size", "salt", "spread")
+    before = None
     for depth in range(DEPTH):
         nodes = staging.stored(_with_sizes(level), "near-nodes")
         large = nodes.where(F.col("size") > DENSE)
-        pivot = large.where("id = first").select("path", F.col("n").alias("pn"), F.col("sig").alias("psig"))
-        near = large.join(pivot, "path").withColumn("close", (_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent)) & _alike("n", "pn", percent))
-        thick = near.groupBy("path").agg(F.avg(F.col("close").cast("int")).alias("share")).where("share > 0.5").select("path", F.lit(True).alias("thick"))
-        thick = staging.stored(thick, "near-thick")
-        told = nodes.join(thick, "path", "left").withColumn("thick", F.coalesce("thick", F.lit(False)))
+        pivot = _spread(large.where("id = first").select("path", "spread", F.col("n").alias("pn"), F.col("sig").alias("psig"))).drop("spread")
+        near = large.join(pivot, ["path", "salt"]).withColumn("close", (_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent)) & _alike("n", "pn", percent))
+        thick = near.groupBy("path", "spread").agg(F.avg(F.col("close").cast("int")).alias("share")).where("share > 0.5").select("path", "spread", F.lit(True).alias("thick"))
+        thick = staging.stored(_spread(thick).drop("spread"), "near-thick")
+        told = nodes.join(thick, ["path", "salt"], "left").withColumn("thick", F.coalesce("thick", F.lit(False)))
         last = depth == DEPTH - 1
-        dense.append(told.where(F.col("thick") | (F.lit(last) & (F.col("size") > LEAF))).select("path", "id", "size"))
+        dense.append(told.where(F.col("thick") | (F.lit(last) & (F.col("size") > LEAF))).select(*member))
         small = told.where(~F.col("thick") & (F.col("size") <= LEAF))
         told_pairs = staging.stored(_leaf_pairs(small, percent).distinct(), "near-leaf-pairs")
         candidates.append(told_pairs.where("path is null").select("a", "b"))
-        dense.append(small.join(told_pairs.where("path is not null").select("path"), "path", "left_semi").select("path", "id", "size"))
+        dense.append(small.join(told_pairs.where("path is not null").select("path"), "path", "left_semi").select(*member))
         thin = staging.stored(told.where(~F.col("thick") & (F.col("size") > LEAF)).select("path", "id", "n", "sig"), "near-thin")
+        if before is not None:
+            staging.drop(before)
+        before = thin
         if thin.isEmpty() or last:
             break
         level = _branch(thin, DEEPER)
-    pairs = candidates[0]
-    for more in candidates[1:]:
-        pairs = pairs.unionByName(more)
-    members = dense[0]
-    for more in dense[1:]:
-        members = members.unionByName(more)
+    pairs, members = reduce(DataFrame.unionByName, candidates), reduce(DataFrame.unionByName, dense)
     pairs, members = staging.stored(pairs.distinct(), "near-pairs"), staging.stored(members, "near-dense")
     # nodes with the same members are looked at once
-    prints = members.groupBy("path", "size").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).groupBy("size", "h").agg(F.min("path").alias("path"))
-    members = members.join(prints.select("path"), "path", "left_semi")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(members.select(F.col("id").alias("doc_id"))).distinct()
-    sets = staging.stored(sets_of(docs, needed, width), "near-sets")
-    components = connected(confirmed(pairs, sets, percent).unionByName(_dense_links(members, sets, percent)).distinct())
+    prints = members.groupBy("path", "size", "spread").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).groupBy("size", "h").agg(F.min(F.struct("path", "spread")).alias("m"))
+    once = _spread(prints.select("m.path", "m.spread")).drop("spread")
+    return pairs, members.join(once, ["path", "salt"], "left_semi")
+
+
+def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) for every row of ``docs``; text_hash: xxhash64 of the text."""
+    table = staging.stored(signatures(docs, width), "near-signatures")
+    some = table.where("n_shingles > 0 and doc_id is not null")
+    classes = some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("first"), F.first("sig").alias("sig"))
+    # ids are given once, as the table is written
+    classes = staging.stored(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    pairs, members = _candidates(classes, percent)
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
+    sets = staging.stored(sets_of(docs, classes.join(needed, "id", "left_semi").select("id", "first", "h1", "h2"), width), "near-sets")
+    links = staging.stored(confirmed(pairs, sets, percent).unionByName(_chunk_links(members, sets, percent)).distinct(), "near-links")
+    components = connected(links)
+    rest = _rest_links(members, sets, components, percent)
+    if rest is not None:
+        components = connected(links.unionByName(rest).distinct())
     return _labelled(table, classes, components)
 
 
 def _labelled(table: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
-    class_of = classes.join(components.select(F.col("node").alias("id"), "component"), "id", "left")
-    class_of = staging.stored(class_of.select("h1", "h2", F.col("n_shingles").alias("n"), F.coalesce("component", "id").alias("component")), "near-labels")
-    rows = table.select("doc_id", "n_shingles", "h1", "h2")
+    """The rows of ``table`` with the smallest doc_id of their component."""
+    class_of = classes.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = class_of.groupBy("component").agg(F.min("first").alias("least"))
+    class_of = class_of.join(least, "component").select("h1", "h2", F.col("n_shingles").alias("n"), "least")
+    class_of = staging.stored(class_of, "near-labels")
+    rows = table.select("doc_id", "text_hash", "n_shingles", "h1", "h2")
     on = (rows["h1"] == class_of["h1"]) & (rows["h2"] == class_of["h2"]) & (rows["n_shingles"] == class_of["n"])
     whole = rows.join(class_of, on, "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("least", "doc_id"))
+    return whole.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked(staging.documents(spark, sf_dir), percent=80, width=2)
+    return linked(staging.documents(spark, sf_dir), percent=80, width=2).select("doc_id", "n_shingles", "component_id", "kept")

@@ -67,7 +67,7 @@ def count_batch(column: pa.Array) -> dict[str, np.ndarray]:
     rows = len(at) - 1
     begin, end, row = word_spans(data, at)
     rolling = RollingHash(data)
-    hashed = mix(rolling.ranges(begin, end) + (end - begin).astype(np.uint64))
+    hashed = mix(rolling.ranges(begin, end))
     n_words = np.bincount(row, minlength=rows)
     repeated = np.zeros(len(begin), bool)
     if len(begin) > 2:

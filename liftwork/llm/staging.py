@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a local folder only where none is set (tests)."""
+    """The session's spark.checkpoint.dir; a temporary folder where none is set and all work is done on this machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="liftwork-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -25,6 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            jvm = table.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(files[0])).getParent()
+            if "/liftwork/" in files[0]:
+                folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

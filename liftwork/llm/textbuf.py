@@ -8,9 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
 #: ASCII white space of the word pattern [^\x20\x09-\x0D]+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -52,34 +49,64 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 <
         pa.default_memory_pool().release_unused()
 
 
+PRIME = np.uint64((1 << 31) - 1)
+_SHIFT = np.uint64(31)
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo PRIME, for x under 2**62."""
+    x = (x & PRIME) + (x >> _SHIFT)
+    x = (x & PRIME) + (x >> _SHIFT)
+    return x - PRIME * (x >= PRIME)
+
+
 class RollingHash:
-    """Hashes of any byte ranges of a buffer by prefix sums of b * BASE**i modulo 2**64."""
+    """62-bit hashes of any byte ranges of a buffer.
+
+    A range is a polynomial over the field of PRIME with its bytes as coefficients; the hash is its value at
+    two fixed points. Two different ranges of n bytes agree at no more than n of the field's points, however
+    regular they are, so both values agree for a share of at most (n / PRIME) ** 2 of all pairs of points.
+    """
+
+    POINTS = (1576979046, 625341585)
+    _powers = [np.ones(1, np.uint32) for _ in POINTS]
+    _inverse = [np.ones(1, np.uint32) for _ in POINTS]
 
-    _powers = np.ones(1, np.uint64)
-    _inverse = np.ones(1, np.uint64)
+    @staticmethod
+    def _grown(have: np.ndarray, point: int, n: int) -> np.ndarray:
+        """The powers 0 .. n - 1 of a point, at least."""
+        while len(have) < n:
+            step = np.uint64(pow(point, len(have), int(PRIME)))
+            have = np.concatenate([have, _residue(have * step).astype(np.uint32)])
+        return have
 
     def __init__(self, data: np.ndarray):
         n = len(data) + 1
         cls = RollingHash
-        if len(cls._powers) < n:
-            with np.errstate(over="ignore"):
-                cls._powers = np.cumprod(np.full(n, BASE, np.uint64)) * INVERSE
-                cls._inverse = np.cumprod(np.full(n, INVERSE, np.uint64)) * BASE
-        self.sums = np.zeros(n, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * cls._powers[: n - 1], out=self.sums[1:])
+        self.sums = []
+        plus = data.astype(np.uint64) + np.uint64(1)
+        for k, point in enumerate(cls.POINTS):
+            if len(cls._powers[k]) < n:
+                cls._powers[k] = cls._grown(cls._powers[k], point, n)
+                cls._inverse[k] = cls._grown(cls._inverse[k], pow(point, -1, int(PRIME)), n)
+            terms = plus * cls._powers[k][: n - 1]
+            if n > 1 << 22:  # so that sums stay under 2**62
+                terms = _residue(terms)
+            sums = np.zeros(n, np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            self.sums.append(sums)
 
     def ranges(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return (self.sums[end] - self.sums[begin]) * RollingHash._inverse[begin]
+        a, b = (_residue(_residue(s[end] - s[begin]) * i[begin]) for s, i in zip(self.sums, RollingHash._inverse, strict=True))
+        return a | b << _SHIFT
 
     def windows(self, width: int) -> np.ndarray:
         """Hashes of all ranges [i, i + width)."""
-        n = len(self.sums) - width
+        n = len(self.sums[0]) - width
         if n <= 0:
             return np.zeros(0, np.uint64)
-        with np.errstate(over="ignore"):
-            return (self.sums[width:] - self.sums[:n]) * RollingHash._inverse[:n]
+        a, b = (_residue(_residue(s[width:] - s[:n]) * i[:n]) for s, i in zip(self.sums, RollingHash._inverse, strict=True))
+        return a | b << _SHIFT
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

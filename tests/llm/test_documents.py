@@ -9,10 +9,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.fixtures import DOCUMENTS, corpus, frame
 
-from liftwork.llm import near_dedup, packing, quality_rules, secret_ledger, suffix_dedup
+from liftwork.llm import near_dedup, packing, quality_rules, secret_ledger, suffix_dedup, textbuf
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -46,6 +47,9 @@ def components(rows: list[tuple], percent: int, width: int) -> dict[int, int]:
     ids = sorted(sets)
     for k, a in enumerate(ids):
         for b in ids[:k]:
+            few, many = sorted((len(sets[a]), len(sets[b])))
+            if 100 * few < percent * many:
+                continue
             both = len(sets[a] & sets[b])
             if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
@@ -74,6 +78,54 @@ def test_near_duplicates_in_one_large_group(spark):
     assert got == components(rows, 80, 2)
 
 
+def test_dense_nodes_in_several_chunks(spark, monkeypatch):
+    for name, value in (("CHUNK", 64), ("NODE", 64), ("HOT", 50), ("SALTS", 4)):
+        monkeypatch.setattr(near_dedup, name, value)
+    r = random.Random(9)
+    base, rows = [f"w{k}" for k in range(60)], []
+    for i in range(500):  # near copies of one text, some of them linked with few others
+        words = list(base)
+        for k in r.sample(range(60), r.choice([1, 2, 3, 4, 5])):
+            words[k] = f"x{r.randrange(9)}"
+        rows.append((i, " ".join(words), None, None, 0))
+    got = {r.doc_id: r.component_id for r in near_dedup.linked(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert got == components(rows, 80, 2)
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(5, a, None, None, 0), (5, b, None, None, 0), (9, a + " z", None, None, 0), (11, b + " z", None, None, 0), (11, b + " z", None, None, 0)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.linked(spark.createDataFrame(rows, DOCUMENTS)).collect())
+    assert got == [(5, 5, True), (5, 5, True), (9, 5, False), (11, 5, False), (11, 5, False)]
+
+
+def test_links_are_those_of_an_exact_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id: r.component_id for r in near_dedup.linked(docs, 80, 5).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert found == components(rows, 80, 5)
+    assert len(set(found.values())) < len(found)
+
+
+def regular_texts() -> list[str]:
+    """A two-letter word in which polynomial hashes modulo powers of two see nothing, its complement, and random pairs."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    r = random.Random(1)
+    return [word, word.translate(str.maketrans("ab", "ba")), *("".join(r.choice("ab") for _ in range(600)) for _ in range(200))]
+
+
+def test_hashes_tell_regular_texts_apart():
+    texts = pa.array(regular_texts())
+    data, at = textbuf.text_bytes(texts)
+    hashes = textbuf.RollingHash(data).ranges(at[:-1], at[1:])
+    assert len(set(hashes.tolist())) == len(texts)
+    assert quality_rules.count_batch(pa.array(["\n".join(regular_texts())]))["n_dup_lines"].tolist() == [0]
+    assert len(set(near_dedup.shingle_sets(texts, 2)[0].tolist())) == len(texts)
+    shifted = textbuf.RollingHash(np.concatenate([np.full(77, 9, np.uint8), data]))
+    assert (shifted.ranges(at[:-1] + 77, at[1:] + 77) == hashes).all()
+    assert (textbuf.RollingHash(data).windows(40)[[5, 99]] == textbuf.RollingHash(data).ranges(np.array([5, 99]), np.array([45, 139]))).all()
+
+
 def removed(rows: list[tuple], length: int = 100) -> dict[int, tuple]:
     first: dict[bytes, tuple] = {}
     out = {}
