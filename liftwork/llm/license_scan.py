@@ -9,8 +9,8 @@ above them that has a licence file: an equality join of ancestor paths.
 
 Passages don't find licences that wrap over lines or state their name only once for many lines. Of every
 text with a telling term, so are compared as well: whole paragraphs and their sentences with line ends
-and comment marks folded into blanks, comment blocks, and the whole text. They need no telling term of
-their own and are compared with the headers and licence texts of ``WHOLE`` too. What is found so counts
+and comment marks folded into blanks, comment blocks, and the whole text, all with a telling term, and compared
+with the headers and licence texts of ``WHOLE`` too. What is found so counts
 where the passages give no licence, or where a text of ``WHOLE`` names another one. An SPDX identifier
 goes before all of these, with a score of 1.
 
@@ -94,6 +94,8 @@ WHOLE = (
 #: A passage without any of these terms is not compared: they carry the templates' weight.
 TELLING = ("license", "licensed", "licence", "licenced", "copyright", "reserved", "permission", "redistribution", "unencumbered", "redistribute", "cc0")
 LEAST = 0.6
+#: Ways to compare: lines and sentences with TEMPLATES, folded parts with WHOLE as well.
+LINE, BLOCK = 0, 1
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\..*)?$"
 
 _PASSAGES = r"\n|(?<=[.!?:;]) +"
@@ -113,66 +115,85 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), _WORDS), lambda w: w != "")
 
 
-def _vector(table: DataFrame, key: list[str], frequencies: DataFrame, total: Column) -> DataFrame:
-    """(key, term, w, norm): normalised weights of (key, term) rows; terms of no template have the weight of rare ones."""
-    counted = table.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    idf = F.log((total + 1) / (F.coalesce(F.col("df"), F.lit(0)) + 1)) + 1
-    weighed = counted.join(F.broadcast(frequencies), "term", "left").withColumn("w", F.col("tf") * idf)  # terms of the templates only
-    norms = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("n_terms"))
-    return weighed.join(norms, key).select(*key, "term", (F.col("w") / F.col("norm")).alias("w"), "n_terms")
+def _weighed(counted: DataFrame, weights: DataFrame, total: int) -> DataFrame:
+    """``counted`` (mode, term, tf, ...) with df (NULL for terms of no template) and w; terms of no template weigh like rare ones."""
+    idf = F.log((F.lit(total) + 1) / (F.coalesce(F.col("df"), F.lit(0)) + 1)) + 1
+    return counted.join(F.broadcast(weights), ["mode", "term"], "left").withColumn("w", F.col("tf") * idf)  # terms of the templates only
 
 
 def own_licences(files: DataFrame) -> DataFrame:
-    """(file, licence, score, is_file) of the files (file, path, text) with a licence of their own."""
+    """(file, licence, score, whole) of the files (file, path, text) with a licence of their own."""
     spark = files.sparkSession
-    wholes = spark.createDataFrame([(len(TEMPLATES) + i, name, text) for i, (name, text) in enumerate(WHOLE)], "template int, licence string, text string")
-    templates = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(TEMPLATES)], "template int, licence string, text string")
-    of_template = templates.select("template", F.explode(terms(F.col("text"))).alias("term"))
-    of_whole = of_template.unionByName(wholes.select("template", F.explode(terms(F.col("text"))).alias("term")))
-    every = of_whole.groupBy("term").agg(F.min("template").alias("t")).collect()  # the templates' own words
-    vocabulary, short = sorted(r["term"] for r in every), [r["term"] for r in every if r["t"] < len(TEMPLATES)]
+    rows = [(mode, i, name, text) for mode, known in ((LINE, TEMPLATES), (BLOCK, (*TEMPLATES, *WHOLE))) for i, (name, text) in enumerate(known)]
+    templates = spark.createDataFrame(rows, "mode int, template int, licence string, text string")
+    of_template = templates.select("mode", "template", F.explode(terms(F.col("text"))).alias("term"))
+    words = of_template.select("mode", "term").distinct()
+    vocabulary = sorted({r["term"] for r in words.collect()})  # the templates' own words
     text = F.coalesce(F.col("text"), F.lit(""))
     present = F.array_intersect(terms(text), F.array(*(F.lit(t) for t in vocabulary)))
     frequencies = files.select(F.explode(present).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    frequencies = staging.stored(frequencies, "licence-frequencies")
-    n = files.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    total = F.lit(n)
-    hinted = files.where(text.rlike(_HINT)).select("file", F.size(terms(text)).alias("of_file"), F.posexplode(F.split(text, _PASSAGES)).alias("at", "passage"))
-    hinted = hinted.where(F.col("passage").rlike(_HINT))
-    passages = staging.stored(hinted.select("file", "at", "of_file", F.explode(terms(F.col("passage"))).alias("term")), "licence-passages")
-    by_line = _best(passages, of_template, templates, frequencies.where(F.col("term").isin(short)), total)
-    by_whole = _best(staging.stored(_folded(files), "licence-wholes"), of_whole, templates.unionByName(wholes), frequencies, total)
-    identifier = F.regexp_replace(F.regexp_extract(text, _SPDX, 1), r"(-only|-or-later|\+)$", "")
-    spdx = files.select("file", identifier.alias("spdx"), F.size(F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")).alias("lines")).where("spdx <> ''")
+    weights = words.join(staging.stored(frequencies, "licence-frequencies"), "term", "left").select("mode", "term", F.coalesce("df", F.lit(0)).alias("df"))
+    total = files.count()
+    parts = staging.stored(_parts(files), "licence-parts")
+    best = _best(parts, of_template, templates, weights, total)
     a, b = F.col("line"), F.col("block")
+    found = best.groupBy("file").agg(*(F.max(F.when(F.col("mode") == m, F.col("b"))).alias(n) for m, n in ((LINE, "line"), (BLOCK, "block"))))
     other = a["licence"].isNull() | ((b["template"] >= len(TEMPLATES)) & (a["licence"] != b["licence"]))
-    found = by_line.select("file", F.col("b").alias("line")).join(by_whole.select("file", F.col("b").alias("block")), "file", "full").join(spdx, "file", "full")
-    best = F.when(b.isNotNull() & other, b).otherwise(a)
-    return found.select(
-        "file", F.coalesce("spdx", best["licence"]).alias("licence"), F.when(F.col("spdx").isNotNull(), 1.0).otherwise(-best["s"]).alias("score"),
-        F.when(F.col("spdx").isNotNull(), F.coalesce(best["whole"], F.lit(False)) | (F.col("lines") == 1)).otherwise(best["whole"]).alias("whole"),
+    identifier = F.regexp_replace(F.regexp_extract(text, _SPDX, 1), r"(-only|-or-later|\+)$", "")
+    spdx = files.where(text.contains("SPDX-")).select("file", identifier.alias("spdx"), F.size(F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")).alias("lines")).where("spdx <> ''")
+    chosen = F.when(b.isNotNull() & other, b).otherwise(a)
+    return found.join(spdx, "file", "full").select(
+        "file", F.coalesce("spdx", chosen["licence"]).alias("licence"), F.when(F.col("spdx").isNotNull(), 1.0).otherwise(-chosen["s"]).alias("score"),
+        F.when(F.col("spdx").isNotNull(), F.coalesce(chosen["whole"], F.lit(False)) | (F.col("lines") == 1)).otherwise(chosen["whole"]).alias("whole"),
     )
 
 
-def _folded(files: DataFrame) -> DataFrame:
-    """(file, at, of_file, term) of the paragraphs, their sentences, the comment blocks and the whole text of each text with a telling term."""
+def _parts(files: DataFrame) -> DataFrame:
+    """(file, of_file, mode, at, part, key): the parts with a telling term of each text; key: a digest of mode and part.
+
+    LINE: lines and sentences of them. BLOCK: the whole text, its paragraphs, comment blocks and sentences,
+    all with line ends and comment marks folded.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     fold = lambda c: F.trim(F.regexp_replace(F.concat(F.lit("\n"), c), _FOLD, " "))
-    paragraphs = F.transform(F.split(F.concat(F.lit("\n"), text, F.lit("\n")), _PARAGRAPHS), fold)
-    sentences = F.flatten(F.transform(paragraphs, lambda p: F.split(p, _SENTENCES)))
-    blocks = F.transform(F.concat(F.split(text, _BLOCKS), F.regexp_extract_all(text, F.lit(_C_BLOCKS), F.lit(0))), fold)
-    parts = F.array_distinct(F.concat(F.array(fold(text)), paragraphs, blocks, sentences))
-    hinted = files.where(text.rlike(_HINT)).select("file", F.size(terms(text)).alias("of_file"), F.posexplode(parts).alias("at", "part"))
-    return hinted.select("file", "at", "of_file", F.explode(terms(F.col("part"))).alias("term"))
-
-
-def _best(passages: DataFrame, of_template: DataFrame, templates: DataFrame, frequencies: DataFrame, total: Column) -> DataFrame:
-    """(file, b) of the files with a passage of at least ``LEAST``; b: its struct (s, licence, at, whole, template), s the score below zero."""
-    left = _vector(passages, ["file", "at", "of_file"], frequencies, total)
-    right = _vector(of_template, ["template"], frequencies, total).select("template", "term", F.col("w").alias("tw"))
-    cosine = left.join(F.broadcast(right), "term").groupBy("file", "at", "of_file", "n_terms", "template").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("score"))
-    named = cosine.where(F.col("score") >= LEAST).join(F.broadcast(templates.select("template", "licence")), "template")
-    return named.groupBy("file").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence", "at", (F.col("n_terms") * 2 >= F.col("of_file")).alias("whole"), "template")).alias("b"))
+    telling = lambda c: F.filter(c, lambda x: x.rlike(_HINT))
+    # a paragraph or block is folded only if it has a telling term
+    paragraphs = F.transform(telling(F.split(F.concat(F.lit("\n"), text, F.lit("\n")), _PARAGRAPHS)), fold)
+    sentences = telling(F.flatten(F.transform(paragraphs, lambda p: F.split(p, _SENTENCES))))
+    blocks = F.transform(telling(F.concat(F.split(text, _BLOCKS), F.regexp_extract_all(text, F.lit(_C_BLOCKS), F.lit(0)))), fold)
+    folded = F.array_distinct(F.concat(F.array(fold(text)), paragraphs, blocks, sentences))
+    each = lambda mode, c: F.transform(c, lambda x, at: F.struct(F.lit(mode).alias("mode"), at.alias("at"), x.alias("part")))
+    lines = each(LINE, F.split(text, _PASSAGES))
+    every = F.concat(F.filter(lines, lambda x: x["part"].rlike(_HINT)), each(BLOCK, folded))
+    hinted = files.where(text.rlike(_HINT)).select("file", F.size(terms(text)).alias("of_file"), F.explode(every).alias("p"))
+    return hinted.select("file", "of_file", "p.mode", "p.at", "p.part", F.md5(F.concat(F.col("p.mode").cast("string"), F.col("p.part"))).alias("key"))
+
+
+def _best(parts: DataFrame, of_template: DataFrame, templates: DataFrame, weights: DataFrame, total: int) -> DataFrame:
+    """(file, mode, b) of the files with a part of at least ``LEAST``; b: its struct (s, licence, at, whole, template), s the score below zero.
+
+    Equal parts are compared once. Their terms stay in the partition of their part, so they are never
+    shuffled. The share of a vector that lies on terms of templates bounds its cosine to all of them: parts
+    with too small a share go no further.
+    """
+    counts = of_template.groupBy("mode", "template", "term").agg(F.count(F.lit(1)).alias("tf"))
+    right = _weighed(counts, weights, total)
+    norms = right.groupBy("mode", "template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    right = right.join(norms, ["mode", "template"]).select("mode", "template", "term", (F.col("w") / F.col("norm")).alias("tw"))
+    distinct = parts.select("mode", "key", "part").dropDuplicates(["mode", "key"])
+    left = _weighed(distinct.select("mode", "key", F.explode(terms(F.col("part"))).alias("term")).groupBy("mode", "key", "term").agg(F.count(F.lit(1)).alias("tf")), weights, total)
+    square, known = F.col("w") * F.col("w"), F.col("df").isNotNull()
+    vectors = left.groupBy("mode", "key").agg(
+        F.sqrt(F.sum(square)).alias("norm"), F.sqrt(F.sum(F.when(known, square))).alias("there"), F.sum("tf").alias("n_terms"), F.collect_list(F.when(known, F.struct("term", "w"))).alias("v")
+    )
+    likely = vectors.where(F.col("there") >= F.col("norm") * (LEAST - 1e-3))
+    flat = likely.select("mode", "key", "norm", "n_terms", F.explode("v").alias("v")).select("mode", "key", "norm", "n_terms", "v.term", "v.w")
+    cosine = flat.join(F.broadcast(right), ["mode", "term"]).groupBy("mode", "key", "n_terms", "template").agg(F.round(F.sum(F.col("w") / F.col("norm") * F.col("tw")), 6).alias("score"))
+    named = cosine.where(F.col("score") >= LEAST).join(F.broadcast(templates.select("mode", "template", "licence")), ["mode", "template"])
+    of_part = named.groupBy("mode", "key").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence", "template", "n_terms")).alias("m"))
+    found = parts.select("file", "of_file", "mode", "at", "key").join(of_part, ["mode", "key"])
+    whole = (F.col("m.n_terms") * 2 >= F.col("of_file")).alias("whole")
+    return found.groupBy("file", "mode").agg(F.min(F.struct("m.s", "m.licence", "at", whole, "m.template")).alias("b"))
 
 
 def scan(files: DataFrame) -> DataFrame:
