@@ -5,26 +5,31 @@ first. Dynamic programming over this automaton finds, for the turns as they are,
 of merges (a turn joins the one before it), relabels (a turn gets another role) and insertions (an
 empty turn goes before it). Of equally cheap choices the first in the order of ``_steps`` is taken.
 
-A conversation is cut into parts of ``PART`` turn numbers. Each part gives a matrix of least costs
-from every state before it to every state after it; the matrices of a conversation are chained, which
-fixes the states at the cuts; then each part is repaired and rendered on its own. So no conversation,
-however long, is gathered in one task. The parts of a conversation, put together, are its rendering.
+All turns are sorted by range partitioning, and cut into parts of at most ``PART`` turns of a conversation.
+Each part gives a matrix of least costs from every state before it to every state after it; the matrices
+of a conversation are chained, ``PART`` at a time, which fixes the states at the cuts; then each part is
+repaired and rendered on its own. So no conversation, however long, is gathered in one task, nor are turns
+that share a number. The parts of a conversation, put together in their order, are its rendering.
 
 Roles are compared in lower case without surrounding blanks; null and unknown roles have to be
-relabelled. Null text is empty. Turns with equal numbers go by role and text; a null turn stands first.
-Rows with a null conv_id form one conversation. An empty table gives an empty result.
+relabelled. Null text is empty; a long text stays within its part. Turns with equal numbers go by role
+and text, so repeated rows stand together; a null turn stands first. Rows with a null conv_id form one
+conversation. Other columns do not matter, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from liftwork.llm import staging
-from liftwork.llm.groups import batched, grouped
+from liftwork.llm.groups import batched, grouped, rows
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
@@ -80,14 +85,19 @@ def matrix(roles: list[int | None]) -> list[int]:
     return out
 
 
-def chain(matrices: list[list[int]]) -> list[tuple[int, int, int]]:
-    """(state before, state after, cost) of each part on the cheapest way from the start."""
-    costs, back = _only(START), []
+def times(first: list[int], second: list[int]) -> list[int]:
+    """The matrix of two stretches in a row."""
+    return [min(min(first[4 * s + via] + second[4 * via + t] for via in range(4)), FAR) for s in range(4) for t in range(4)]
+
+
+def chain(matrices: list[list[int]], start: int = START, end: int | None = None) -> list[tuple[int, int, int]]:
+    """(state before, state after, cost) of each part on the cheapest way between two states (any last state if ``end`` is None)."""
+    costs, back = _only(start), []
     for m in matrices:
         ways = [min((costs[s] + m[4 * s + t], s) for s in range(4)) for t in range(4)]
         back.append([s for _, s in ways])
         costs = [min(c, FAR) for c, _ in ways]
-    state = min(range(4), key=lambda s: (costs[s], s))
+    state = min(range(4), key=lambda s: (costs[s], s)) if end is None else end
     out = []
     for m, came in zip(reversed(matrices), reversed(back), strict=True):
         before = came[state]
@@ -126,23 +136,89 @@ def render(steps: list[tuple], texts: list[str]) -> str:
 _OUT = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("cost", pa.int64()), ("n_turns", pa.int64()), ("n_merged", pa.int64()), ("n_relabelled", pa.int64()), ("n_inserted", pa.int64()), ("rendered", pa.string())])
 
 
+def _numbered(given: DataFrame) -> DataFrame:
+    """``given`` (conv_id, turn, role, text) with part and seq: runs of at most PART turns in the order of the conversation.
+
+    Range partitions follow that order, so a part is a partition and a place in it. Equal rows are told
+    apart by where they were read, so that they may lie in several partitions.
+    """
+    order = ("conv_id", "turn", "role", "text", "_place")
+    ordered = given.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    flat = ordered.select("conv_id", "role", "text", F.spark_partition_id().cast("long").alias("task"))
+    schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("seq", pa.int32()), ("role", pa.int32()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, run_, seq = None, -1, 0
+        for batch in batches:
+            ids, parts, places = batch.column("conv_id").to_pylist(), [], []
+            for conv in ids:
+                if run_ < 0 or conv != last or seq == PART:
+                    last, run_, seq = conv, run_ + 1, 0
+                parts.append(run_)
+                places.append(seq)
+                seq += 1
+            part = pc.add(pc.multiply(batch.column("task"), 1 << 32), pa.array(parts, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), part, pa.array(places, pa.int32()), batch.column("role"), batch.column("text")], schema=schema)
+
+    return flat.mapInArrow(run, "conv_id long, part long, seq int, role int, text string")
+
+
+def _chained(matrices: DataFrame) -> DataFrame:
+    """(conv_id, part, before, after) of every part (conv_id, part, costs).
+
+    Matrices of PART parts are multiplied to one of a stretch before they are chained, so a task holds
+    one row for PART * PART turns of a conversation.
+    """
+    width = StructType([StructField("conv_id", LongType()), StructField("stretch", LongType()), StructField("place", LongType()), StructField("part", LongType()), StructField("costs", ArrayType(LongType()))])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("conv_id", pa.int64()), ("stretch", pa.int64()), ("place", pa.int64()), ("part", pa.int64()), ("costs", pa.list_(pa.int64()))])
+
+        def each() -> Iterator[tuple]:
+            last, stretch, n = None, -1, 0
+            for conv, task, part, costs in rows(batches):
+                if stretch < 0 or conv != last or n == PART:
+                    last, stretch, n = conv, stretch + 1, 0
+                yield conv, (task << 32) + stretch, n, part, costs
+                n += 1
+
+        yield from batched(each(), schema)
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("conv_id", pa.int64()), ("stretch", pa.int64()), ("costs", pa.list_(pa.int64()))])
+        yield from batched(((*key, reduce(times, (r[4] for r in run))) for key, run in grouped(batches, 2)), schema)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("conv_id", pa.int64()), ("stretch", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+        found = ((r[0], r[1], *way[:2]) for _, run in grouped(batches, 1) for r, way in zip(run, chain([r[2] for r in run]), strict=True))
+        yield from batched(found, schema)
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("before", pa.int32()), ("after", pa.int32())])
+        found = ((r[0], r[3], *way[:2]) for _, run in grouped(batches, 2) for r, way in zip(run, chain([r[4] for r in run], run[0][5], run[0][6]), strict=True))
+        yield from batched(found, schema)
+
+    ordered = matrices.repartitionByRange("conv_id", "part").sortWithinPartitions("conv_id", "part")
+    stretches = staging.stored(ordered.select("conv_id", F.spark_partition_id().cast("long").alias("task"), "part", "costs").mapInArrow(placed, width), "chat-stretches")
+    products = stretches.repartition("conv_id", "stretch").sortWithinPartitions("conv_id", "stretch", "place").mapInArrow(product, "conv_id long, stretch long, costs array<long>")
+    ways = products.repartition("conv_id").sortWithinPartitions("conv_id", "stretch").mapInArrow(ends, "conv_id long, stretch long, first int, last int")
+    ways = ways.select(F.col("conv_id").alias("c"), F.col("stretch").alias("s"), "first", "last")
+    whole = stretches.join(ways, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("stretch") == F.col("s"))).select("conv_id", "stretch", "place", "part", "costs", "first", "last")
+    return whole.repartition("conv_id", "stretch").sortWithinPartitions("conv_id", "stretch", "place").mapInArrow(inner, "conv_id long, part long, before int, after int")
+
+
 def formatted(turns: DataFrame) -> DataFrame:
     """(conv_id, part, cost, n_turns, n_merged, n_relabelled, n_inserted, rendered) of every part of every conversation."""
     role = F.trim(F.lower(F.col("role").cast("string")))
     code = F.coalesce(*(F.when(role == name, F.lit(k)) for name, k in ROLES.items()))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    turn = F.col("turn").cast("long")
-    given = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.floor(turn / PART), F.lit(-(1 << 40))).alias("part"), turn.alias("turn"), code.alias("role"), text.alias("text"))
+    given = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), code.alias("role"), text.alias("text"))
+    table = staging.stored(_numbered(given), "chat-turns")
 
     def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("costs", pa.list_(pa.int64()))])
         yield from batched(((*key, matrix([r[3] for r in run])) for key, run in grouped(batches, 2)), schema)
 
-    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("before", pa.int32()), ("after", pa.int32())])
-        found = ((r[0], r[1], *ends[:2]) for _, run in grouped(batches, 1) for r, ends in zip(run, chain([r[2] for r in run]), strict=True))
-        yield from batched(found, schema)
-
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for key, run in grouped(batches, 2):
@@ -153,12 +229,10 @@ def formatted(turns: DataFrame) -> DataFrame:
 
         yield from batched(each(), _OUT, 500)
 
-    order = ("conv_id", "part", "turn", "role", "text")
-    few = given.select("conv_id", "part", "turn", "role").repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "turn", "role")
-    matrices = few.mapInArrow(costs, "conv_id long, part long, costs array<long>")
-    ends = matrices.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(chained, "conv_id long, part long, before int, after int")
-    ends = staging.stored(ends, "chat-ends").select(F.col("conv_id").alias("c"), F.col("part").alias("p"), "before", "after")
-    whole = given.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).select(*order, "before", "after")
+    order = ("conv_id", "part", "seq")
+    few = table.select(*order, "role").repartition("conv_id", "part").sortWithinPartitions(*order)
+    ends = staging.stored(_chained(few.mapInArrow(costs, "conv_id long, part long, costs array<long>")), "chat-ends").select(F.col("conv_id").alias("c"), F.col("part").alias("p"), "before", "after")
+    whole = table.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).select(*order, "role", "text", "before", "after")
     schema = "conv_id long, part long, cost long, n_turns long, n_merged long, n_relabelled long, n_inserted long, rendered string"
     return whole.repartition("conv_id", "part").sortWithinPartitions(*order).mapInArrow(rendered, schema)
 

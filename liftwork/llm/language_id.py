@@ -11,8 +11,11 @@ weight that grows with how well the bit separates the training counts. ``ambiguo
 whose runner-up is nearly as close, or some of whose bits contradict the codeword.
 
 Texts that are null or have no letter are ``und`` with score 0, as is every text if nothing was
-learned. Rows with a null language are not learned from. Repeated rows count as often as they occur.
-An empty table gives an empty result.
+learned. Rows with a null language are not learned from. Repeated rows count as often as they occur. Ties go
+to the language first by name. A text of any length is folded as a whole, some 100 bytes of arrays for each
+of its bytes. Other columns are kept, whatever their names. An empty table gives an empty result.
+
+What the driver gathers is bounded by ``MOST`` languages; a table with more distinct values is refused.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from liftwork.llm.textbuf import LOWER, mix, per_row, slices, text_bytes
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
+#: Languages that a model may have: BUCKETS counts of each come to the driver.
+MOST = 1000
 #: Margin between the two nearest codewords, as a share of the score, under which a text is ambiguous.
 AMBIGUOUS = 0.2
 #: More languages than this get sampled rather than exhaustive codes.
@@ -144,6 +149,8 @@ def learn(labelled: DataFrame) -> Model:
     """A model from rows (text, lang); the driver gets at most BUCKETS rows a language."""
     given = labelled.where("lang is not null and text is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     summed = given.mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    if given.select("lang").distinct().limit(MOST + 1).count() > MOST:
+        raise ValueError(f"more than {MOST} languages")
     counts: dict[str, np.ndarray] = {}
     table = summed.toArrow()
     names = np.array(table.column("lang").to_pylist(), object)
@@ -159,16 +166,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without the text, with lang_pred, score and ambiguous."""
     made = ("lang_pred", "score", "ambiguous")
     names = [c for c in docs.columns if c != text and c not in made]
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters")
-    given = docs.select(*names, F.col(text).cast("string").alias("_body"), letters)
-    schema = given.drop("_body", "_letters").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    body, letters = staging.unused(docs.columns, "body"), staging.unused(docs.columns, "letters")
+    given = docs.select(*names, F.col(text).cast("string").alias(body), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(letters))
+    schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x bits floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         languages = np.array([*own.languages, UNKNOWN], object)
-        for batch in slices(batches, "_body", 1 << 19):
-            ends, orders = grams(batch.column("_body"))
+        for batch in slices(batches, body, 1 << 19):
+            ends, orders = grams(batch.column(body))
             size = np.diff(ends)
             some = size > 0
             margins, n = np.zeros((batch.num_rows, own.weights.shape[1])), np.zeros(batch.num_rows)
@@ -176,7 +183,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 margins[some] += np.add.reduceat(own.weights[found], ends[:-1][some], axis=0)
                 n[some] += np.add.reduceat(found < BUCKETS, ends[:-1][some], dtype=np.int64)
             best, score, ambiguous = own.decode(margins, n) if own.languages else (np.zeros(batch.num_rows, int), np.zeros(batch.num_rows), np.ones(batch.num_rows, bool))
-            known = batch.column("_letters").to_numpy(zero_copy_only=False) & bool(own.languages)
+            known = batch.column(letters).to_numpy(zero_copy_only=False) & bool(own.languages)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(languages[np.where(known, best, -1)], pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous & known)],
                 names=[*names, *made],

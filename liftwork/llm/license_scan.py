@@ -96,6 +96,8 @@ TELLING = ("license", "licensed", "licence", "licenced", "copyright", "reserved"
 LEAST = 0.6
 #: Ways to compare: lines and sentences with TEMPLATES, folded parts with WHOLE as well.
 LINE, BLOCK = 0, 1
+#: Tasks that the files of one part are dealt over.
+SALTS = 32
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\..*)?$"
 
 _PASSAGES = r"\n|(?<=[.!?:;]) +"
@@ -191,7 +193,9 @@ def _best(parts: DataFrame, of_template: DataFrame, templates: DataFrame, weight
     cosine = flat.join(F.broadcast(right), ["mode", "term"]).groupBy("mode", "key", "n_terms", "template").agg(F.round(F.sum(F.col("w") / F.col("norm") * F.col("tw")), 6).alias("score"))
     named = cosine.where(F.col("score") >= LEAST).join(F.broadcast(templates.select("mode", "template", "licence")), ["mode", "template"])
     of_part = named.groupBy("mode", "key").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence", "template", "n_terms")).alias("m"))
-    found = parts.select("file", "of_file", "mode", "at", "key").join(of_part, ["mode", "key"])
+    # a part that very many files have is spread over tasks: only parts with a licence are copied
+    of_part = of_part.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = parts.select("file", "of_file", "mode", "at", "key", F.pmod(F.xxhash64("file"), F.lit(SALTS)).cast("int").alias("salt")).join(of_part, ["mode", "key", "salt"])
     whole = (F.col("m.n_terms") * 2 >= F.col("of_file")).alias("whole")
     return found.groupBy("file", "mode").agg(F.min(F.struct("m.s", "m.licence", "at", whole, "m.template")).alias("b"))
 

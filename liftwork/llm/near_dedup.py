@@ -18,8 +18,8 @@ all links follow.
 
 A pair at the similarity limit survives a tree with a probability of about 0.93, and all ``TREES``
 trees miss it with a chance below 1e-4. ``LEAF``, ``DENSE``, ``MANY``, ``CHUNK``, ``NODE`` and ``DEPTH`` choose
-how pairs are compared, not which; nodes of over ``HOT`` members are dealt over ``SALTS`` tasks wherever
-rows meet by node.
+how pairs are compared, not which; nodes of very many members are dealt over several tasks wherever rows
+meet by node.
 
 Null or blank texts have an empty set and are linked with nothing. Rows with a null doc_id are kept,
 with a null component, and take no part. Rows that repeat a doc_id are documents of their own, each with
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwork.llm import staging
-from liftwork.llm.components import connected
+from liftwork.llm.components import Spread, connected, shares
 from liftwork.llm.groups import batched, grouped
 from liftwork.llm.textbuf import LOWER, RollingHash, mix, slices, text_bytes, word_spans
 
@@ -53,8 +53,6 @@ DENSE = 24
 CHUNK, FIRST = 512, 8
 #: Members of a dense node that the rest of it is compared with at a time.
 NODE = 2048
-#: Members of a node beyond which its rows are dealt over SALTS tasks.
-HOT, SALTS = 512, 64
 DEPTH = 16
 #: Coordinates of the signatures that members of a dense node are told apart by.
 FINE = 128
@@ -209,17 +207,8 @@ def _agreement(x: Column, y: Column) -> Column:
 def _with_sizes(nodes: DataFrame) -> DataFrame:
     """``nodes`` of several members with size, first member, and salt and spread, their share of a hot node and the number of shares."""
     sizes = staging.stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1"), "near-sizes")
-    bucket = F.pmod(F.xxhash64("path"), F.lit(1 << 16)).alias("bucket")
-    hot = sizes.where(F.col("size") > HOT).select(bucket).distinct().withColumn("spread", F.lit(SALTS))  # 65,536 rows at most
-    spread = F.coalesce("spread", F.lit(1))
-    dealt = lambda d: d.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left").drop("bucket").withColumn("spread", spread)
-    salted = dealt(nodes).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("spread")).cast("int"))
-    return salted.join(_spread(dealt(sizes)).drop("spread"), ["path", "salt"])
-
-
-def _spread(nodes: DataFrame) -> DataFrame:
-    """A row for each share of a node (path, spread, ...)."""
-    return nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
+    spread = Spread(sizes, "path", "size")
+    return spread.dealt(nodes, "path", F.col("id")).join(spread.copied(sizes, "path"), ["path", "salt"])
 
 
 def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
@@ -277,8 +266,8 @@ def _common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat(hit, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
 
 
-def spanning(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.ndarray | None = None, asking: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that join the members into the components of all their links.
+def spanning(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.ndarray | None = None, asking: np.ndarray | None = None) -> np.ndarray:
+    """The group of each member after all links between members have joined theirs.
 
     Every pair of members that is not joined yet is compared, with signatures of FINE coordinates first.
     ``group``: members with equal labels are joined already. ``asking``: only pairs with such a member count.
@@ -287,12 +276,8 @@ def spanning(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.nd
     sig = minwise(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), len(sets), FINE)
     least = _least_agreement(percent, FINE)
     group = np.arange(len(ids)) if group is None else group.copy()
-    links = []
-    big = group[0]  # the label of a large component: a few of its members are tried first
 
     def join(i: int, there: np.ndarray, most: int | None = None) -> None:
-        if asking is not None and not asking[i]:
-            there = there[asking[there]]
         there = there[np.minimum(size[there], size[i]) * 100 >= np.maximum(size[there], size[i]) * percent]
         agreement = np.concatenate([(sig[part] == sig[i]).sum(axis=1) for part in np.array_split(there, len(there) // 4096 + 1)])
         order = np.argsort(-agreement, kind="stable")
@@ -303,17 +288,30 @@ def spanning(ids: np.ndarray, sets: list[np.ndarray], percent: int, group: np.nd
             common = _common(sets[i], [sets[j] for j in part])
             for j in part[100 * common >= percent * (size[i] + size[part] - common)]:
                 if group[j] != group[i]:
-                    links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
                     group[group == group[i]] = group[j]
             there = there[group[there] != group[i]]
 
+    if asking is not None:
+        for i in np.flatnonzero(asking):
+            join(i, np.flatnonzero(group != group[i]))
+        return group
+    big = group[0]  # the label of a large component: a few of its members are tried first
     for i in range(1, len(ids)):
         if i > 64 and group[i] != big:
             some = np.flatnonzero(group[:i] == big)
             join(i, some[:: max(1, len(some) // 32)], 4)
         join(i, np.flatnonzero(group[:i] != group[i]))
         big = group[i] if (group[: i + 1] == group[i]).sum() * 2 > i else big
-    return links
+    return group
+
+
+def _star(ids: np.ndarray, group: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links of every member with one of its group: the smallest id of those ``first``, of all if there are none."""
+    order = np.lexsort((ids, ~first, group))
+    lead = np.concatenate([[True], group[order][1:] != group[order][:-1]])
+    head = ids[order][np.maximum.accumulate(np.where(lead, np.arange(len(ids)), 0))]
+    for a, b in zip(head[~lead].tolist(), ids[order][~lead].tolist(), strict=True):
+        yield a, b
 
 
 _LINKS = "a long, b long"
@@ -321,18 +319,20 @@ _LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of dense nodes (path, id, size, salt, spread) among the members of chunks, each with the node's representatives."""
+    """Links of members of dense nodes (path, id, size, salt, spread) with one of their component in a chunk, which holds the node's representatives too."""
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     least = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"].alias(f"r{k}") for k in range(FIRST)]
     chosen = members.groupBy("path", "size").agg(*least).select("path", F.explode(F.array_distinct(F.array(*(f"r{k}" for k in range(FIRST))))).alias("id"), chunks.alias("chunks"))
     every = chosen.select("path", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id")
-    dealt = members.select("path", F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"), "id").unionByName(every).distinct()
-    whole = dealt.join(sets, "id").select("path", "chunk", "id", "shingles")
+    dealt = members.select("path", F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"), "id", F.lit(False).alias("rep")).unionByName(every.withColumn("rep", F.lit(True)))
+    dealt = dealt.groupBy("path", "chunk", "id").agg(F.max("rep").alias("rep"))
+    whole = dealt.join(sets, "id").select("path", "chunk", "id", "rep", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             for _, rows in grouped(batches, 2):
-                yield from spanning(np.array([r[2] for r in rows]), [np.frombuffer(r[3], np.uint64) for r in rows], percent)
+                ids = np.array([r[2] for r in rows])
+                yield from _star(ids, spanning(ids, [np.frombuffer(r[4], np.uint64) for r in rows], percent), np.array([r[3] for r in rows]))
 
         yield from batched(found(), _LINK_SCHEMA)
 
@@ -340,7 +340,10 @@ def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def _rest_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
-    """Links of the members of dense nodes outside the node's largest component with all others of the node, if they are in several chunks; None without such members."""
+    """Links of components that the members of dense nodes outside the node's largest component join, compared with all others of the node.
+
+    Only nodes of several chunks are looked at. None without such members.
+    """
     large = members.where(F.col("size") > CHUNK)  # one chunk holds all others
     if large.isEmpty():
         return None
@@ -348,12 +351,12 @@ def _rest_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     told = staging.stored(told, "near-told")
     counts = told.groupBy("path", "spread", "component").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("path", "spread").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
-    marked = told.join(_spread(main).drop("spread"), ["path", "salt"]).withColumn("asks", F.col("component") != F.col("main"))
+    marked = told.join(shares(main).drop("spread"), ["path", "salt"]).withColumn("asks", F.col("component") != F.col("main"))
     rests = marked.groupBy("path", "spread").agg(F.count_if("asks").alias("rest")).where("rest > 0")
     rests = staging.stored(rests, "near-rests")
     if rests.isEmpty():
         return None
-    left = marked.join(_spread(rests).drop("spread"), ["path", "salt"])
+    left = marked.join(shares(rests).drop("spread"), ["path", "salt"])
     rows, columns = F.ceil(F.col("rest") / NODE).cast("int"), F.ceil(F.col("size") / NODE).cast("int")
     kept = ("path", "id", "component")
     hashed = F.xxhash64("id")
@@ -365,8 +368,12 @@ def _rest_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             for _, group in grouped(batches, 3):
-                labels = np.unique([r[4] for r in group], return_inverse=True)[1]
-                yield from spanning(np.array([r[3] for r in group]), [np.frombuffer(r[6], np.uint64) for r in group], percent, labels, np.array([r[5] for r in group]))
+                ids, asks = np.array([r[3] for r in group]), np.array([r[5] for r in group])
+                names, labels = np.unique([r[4] for r in group], return_inverse=True)
+                joined = spanning(ids, [np.frombuffer(r[6], np.uint64) for r in group], percent, labels, asks)
+                # a link for each component that was joined with another one
+                lead = np.unique(labels, return_index=True)[1]
+                yield from _star(names, joined[lead], np.zeros(len(names), bool))
 
         yield from batched(found(), _LINK_SCHEMA)
 
@@ -383,10 +390,10 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     for depth in range(DEPTH):
         nodes = staging.stored(_with_sizes(level), "near-nodes")
         large = nodes.where(F.col("size") > DENSE)
-        pivot = _spread(large.where("id = first").select("path", "spread", F.col("n").alias("pn"), F.col("sig").alias("psig"))).drop("spread")
+        pivot = shares(large.where("id = first").select("path", "spread", F.col("n").alias("pn"), F.col("sig").alias("psig"))).drop("spread")
         near = large.join(pivot, ["path", "salt"]).withColumn("close", (_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent)) & _alike("n", "pn", percent))
         thick = near.groupBy("path", "spread").agg(F.avg(F.col("close").cast("int")).alias("share")).where("share > 0.5").select("path", "spread", F.lit(True).alias("thick"))
-        thick = staging.stored(_spread(thick).drop("spread"), "near-thick")
+        thick = staging.stored(shares(thick).drop("spread"), "near-thick")
         told = nodes.join(thick, ["path", "salt"], "left").withColumn("thick", F.coalesce("thick", F.lit(False)))
         last = depth == DEPTH - 1
         dense.append(told.where(F.col("thick") | (F.lit(last) & (F.col("size") > LEAF))).select(*member))
@@ -405,7 +412,7 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     pairs, members = staging.stored(pairs.distinct(), "near-pairs"), staging.stored(members, "near-dense")
     # nodes with the same members are looked at once
     prints = members.groupBy("path", "size", "spread").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).groupBy("size", "h").agg(F.min(F.struct("path", "spread")).alias("m"))
-    once = _spread(prints.select("m.path", "m.spread")).drop("spread")
+    once = shares(prints.select("m.path", "m.spread")).drop("spread")
     return pairs, members.join(once, ["path", "salt"], "left_semi")
 
 
@@ -423,16 +430,18 @@ def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
     components = connected(links)
     rest = _rest_links(members, sets, components, percent)
     if rest is not None:
-        components = connected(links.unionByName(rest).distinct())
+        components = connected(components.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(rest).distinct())
     return _labelled(table, classes, components)
 
 
 def _labelled(table: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
     """The rows of ``table`` with the smallest doc_id of their component."""
-    class_of = classes.join(components.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    least = class_of.groupBy("component").agg(F.min("first").alias("least"))
-    class_of = class_of.join(least, "component").select("h1", "h2", F.col("n_shingles").alias("n"), "least")
-    class_of = staging.stored(class_of, "near-labels")
+    linked_ = staging.stored(components.join(classes.select(F.col("id").alias("node"), "first"), "node"), "near-linked")
+    least = linked_.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n"))
+    spread = Spread(least, "component", "n")
+    least = spread.dealt(linked_, "component", F.col("node")).join(spread.copied(least.drop("n"), "component"), ["component", "salt"])
+    class_of = classes.join(least.select(F.col("node").alias("id"), "least"), "id", "left")
+    class_of = staging.stored(class_of.select("h1", "h2", F.col("n_shingles").alias("n"), F.coalesce("least", "first").alias("least")), "near-labels")
     rows = table.select("doc_id", "text_hash", "n_shingles", "h1", "h2")
     on = (rows["h1"] == class_of["h1"]) & (rows["h2"] == class_of["h2"]) & (rows["n_shingles"] == class_of["n"])
     whole = rows.join(class_of, on, "left")

@@ -4,11 +4,15 @@ Every document gets a few integer signals. Fixed-width histogram sketches of the
 language, source and signal; they merge by adding counts) give the median and the 10 and 90 per cent
 quantiles, and from these a lower and an upper limit per group: the median minus or plus a multiple of
 the distance to the quantile on that side, one bucket at least. A document is kept if the base rule holds and no signal passes the limit
-of its group. Groups with fewer than ``min_group`` documents take the limits of their language, and
-those of the whole table where the language is small too.
+of its group. Groups with fewer than ``min_group`` documents that pass the base rule (``MIN_GROUP``: too few
+for a quantile of 10 per cent) take the limits of their language, and those of the whole table where the
+language is small too.
 
 Null text counts as empty and fails the base rule. Null language or source form a group of their
-own. Repeated rows are rows like others. An empty table gives an empty result.
+own; a group without documents that pass the base rule has no limits and needs none. A value at a limit is
+kept. Repeated rows are rows like others. A text of any length is counted as a whole, some 60 bytes of
+arrays for each of its bytes. Other columns do not matter, whatever their names. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -103,11 +107,12 @@ def count_batch(column: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the text column, with the five counts of each row."""
-    kept = [c for c in docs.columns if c not in COUNTS and c != text]
-    given = docs.select(*kept, F.col(text).cast("string").alias(text))
-    schema = given.drop(text).schema
+def with_counts(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with the five counts of each row, without the text column if it is not to be kept."""
+    kept = [c for c in docs.columns if c not in COUNTS and (keep_text or c != text)]
+    given = docs.select(*(c for c in kept if c != text), F.col(text).cast("string").alias(text))
+    kept = [c for c in given.columns if c in kept]
+    schema = given.select(*kept).schema
     for name in COUNTS:
         schema = schema.add(name, "long")
 
@@ -155,38 +160,78 @@ def limits(sketches: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def apply_rules(counted: DataFrame, lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
-    """``counted`` with base_failed and kept."""
-    own = counted.withColumns({"_lang": F.col(lang), "_source": F.col(source)})
+EDGES = [f"{s}_{c}" for s in SIGNALS for c in ("lo", "hi")]
+
+
+def fitted(counted: DataFrame, lang: str = "lang", source: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
+    """(g_lang, g_source, limits...): the limits of every group of ``counted`` that has documents which pass the base rule."""
+    own = counted.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), *COUNTS)
     fine = staging.stored(sketch(own, ["_lang", "_source"]), "quality-sketch")
     levels = {
         "a": limits(fine, ["_lang", "_source"]).where(F.col("n") >= min_group),
         "b": limits(merged(fine, ["_lang"]), ["_lang"]).where(F.col("n") >= min_group),
         "c": limits(merged(fine, []), []),
     }
-    edges = [f"{s}_{c}" for s in SIGNALS for c in ("lo", "hi")]
     groups = fine.select("_lang", "_source").distinct()
     a, b, c = (d.select(*[F.col(k).alias(f"{n}{k}") for k in d.columns]) for n, d in levels.items())
-    limit = (
+    found = (
         groups.join(a, groups["_lang"].eqNullSafe(a["a_lang"]) & groups["_source"].eqNullSafe(a["a_source"]), "left")
         .join(b, groups["_lang"].eqNullSafe(b["b_lang"]), "left")
         .join(F.broadcast(c), F.lit(True), "left")  # one row
-        .select(F.col("_lang").alias("g_lang"), F.col("_source").alias("g_source"), *(F.coalesce(f"a{e}", f"b{e}", f"c{e}").alias(e) for e in edges))
-    )
-    passed = reduce(lambda x, y: x & y, (F.expr(f"{e} between {s}_lo and {s}_hi") for s, e in SIGNALS.items()))
-    return (
-        own.join(limit, own["_lang"].eqNullSafe(limit["g_lang"]) & own["_source"].eqNullSafe(limit["g_source"]), "left")
-        .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(passed, F.lit(True)))
-        .drop("_lang", "_source", "g_lang", "g_source", *edges)
     )
+    return staging.stored(found.select(F.col("_lang").alias("g_lang"), F.col("_source").alias("g_source"), *(F.coalesce(f"a{e}", f"b{e}", f"c{e}").alias(e) for e in EDGES)), "quality-limits")
+
+
+def judged(counted: DataFrame, limit: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """``counted`` with base_failed and kept. ``limit`` has a row for each language and source."""
+    edge = {e: staging.unused(counted.columns, e) for e in ("g_lang", "g_source", *EDGES)}
+    limit = limit.select(*(F.col(e).alias(n) for e, n in edge.items()))
+    passed = reduce(lambda x, y: x & y, (F.expr(e).between(F.col(edge[f"{s}_lo"]), F.col(edge[f"{s}_hi"])) for s, e in SIGNALS.items()))
+    joined = counted.join(limit, counted[lang].eqNullSafe(limit[edge["g_lang"]]) & counted[source].eqNullSafe(limit[edge["g_source"]]), "left")
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(passed, F.lit(True))).drop(*edge.values())
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdict of each document."""
-    counted = with_counts(docs.select("doc_id", "lang", "source", "text"))
-    return apply_rules(staging.stored(counted, "quality-counts"))
+    counted = staging.stored(with_counts(docs.select("doc_id", "lang", "source", "text")), "quality-counts")
+    return judged(counted, fitted(counted))
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (with lang, source and text) that are kept. Counts are made twice, so that no text is shuffled."""
+    limit = fitted(with_counts(docs.select("lang", "source", "text")))
+    return judged(with_counts(docs, keep_text=True), limit).where("kept").select(*docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(staging.documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def _limits_sql(name: str, keys: str) -> str:
+    own = f"{keys}, " if keys else ""
+    return f"""
+{name}_sums as (select {own}signal, bucket, sum(n) over (partition by {own}signal) as total, sum(n) over (partition by {own}signal order by bucket) as up_to from (select {own}signal, bucket, sum(n) as n from sketch group by all)),
+{name}_at as (select {own}signal, max(total) as n, min(bucket) filter (where up_to * 100 >= total * 50) as mid, min(bucket) filter (where up_to * 100 >= total * 10) as low, min(bucket) filter (where up_to * 100 >= total * 90) as high from {name}_sums group by all),
+{name} as (select {own}signal, n, mid - greatest(mid - low, 1) * {SPREADS} as lo, mid + greatest(high - mid, 1) * {SPREADS} as hi from {name}_at)"""
+
+
+_BUCKETS = {s: e.replace(" div ", " // ") for s, e in SIGNALS.items()}
+ORACLE_SQL = f"""
+with docs as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text from documents),
+words as (select rid, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as w from docs),
+threes as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as three from words, unnest(range(1, len(w) - 1)) as t(i)),
+twice as (select rid, i from threes qualify count(*) over (partition by rid, three) > 1),
+repeats as (select rid, count(distinct place) as n from (select rid, unnest([i, i + 1, i + 2]) as place from twice) group by rid),
+lines as (select rid, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from docs),
+counts as (select rid, doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words
+  from docs join words using (rid) join lines using (rid) left join repeats using (rid)),
+marked as (select *, n_words < {MIN_WORDS} or n_repeat_words * 100 > n_words * 50 as base_failed from counts),
+signals as ({" union all ".join(f"select rid, lang, source, base_failed, '{s}' as signal, {e} as bucket from marked" for s, e in _BUCKETS.items())}),
+sketch as (select lang, source, signal, bucket, count(*) as n from signals where not base_failed group by all),{_limits_sql("fine", "lang, source")},{_limits_sql("by_lang", "lang")},{_limits_sql("whole", "")},
+verdicts as (select rid, bool_and(coalesce(bucket between coalesce(f.lo, b.lo, c.lo) and coalesce(f.hi, b.hi, c.hi), true)) as passed from signals s
+  left join fine f on f.lang is not distinct from s.lang and f.source is not distinct from s.source and f.signal = s.signal and f.n >= {MIN_GROUP}
+  left join by_lang b on b.lang is not distinct from s.lang and b.signal = s.signal and b.n >= {MIN_GROUP}
+  left join whole c on c.signal = s.signal group by rid)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and passed as kept from marked join verdicts using (rid)
+"""

@@ -7,8 +7,10 @@ whose pair is not in the ledger yet; findings are joined back to every path that
 Spans follow from a split by the rule's pattern: the segments between matches and the matches
 themselves, in turn, give every position. All work is done by DataFrame functions.
 
-Null text counts as empty: a blob without findings. Repeated rows share a blob and each get its
-findings. Null ids stay null. An empty table gives an empty result.
+Null text counts as empty: a blob without findings. A text of any length is split as a whole. Spans that
+start together go in the order of the rules. Repeated rows share a blob and each get its findings. Null ids
+stay null. Other columns are kept, whatever their names; only a column spans is replaced. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,8 +86,8 @@ def _text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, text: str = "text", version: str = RULE_VERSION) -> DataFrame:
-    """The ledger (blob, rule_version, spans) with rows for all blobs of ``docs`` added.
+def scan(docs: DataFrame, ledger: DataFrame | None = None, text: str = "text", version: str = RULE_VERSION, only_new: bool = False) -> DataFrame:
+    """The ledger (blob, rule_version, spans) with rows for all blobs of ``docs`` added; ``only_new``: these alone.
 
     Only pairs of blob and rule version that ``ledger`` does not hold are scanned. The new rows are
     stored in the session's shared folder.
@@ -95,14 +97,29 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, text: str = "text", v
         blobs = blobs.join(ledger.where(F.col("rule_version") == version).select("blob"), "blob", "left_anti")
     spans = F.array_sort(F.concat(*(_spans(F.col("body"), k) for k in RULES)))
     fresh = staging.stored(blobs.select("blob", F.lit(version).alias("rule_version"), spans.alias("spans")), "secret-ledger")
-    return fresh if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(fresh)
+    return fresh if ledger is None or only_new else ledger.select("blob", "rule_version", "spans").unionByName(fresh)
+
+
+def update(docs: DataFrame, folder: str, text: str = "text", version: str = RULE_VERSION) -> DataFrame:
+    """The ledger kept in ``folder``, after the blobs of ``docs`` that it lacks have been scanned and added.
+
+    The next call finds it there: only new blobs, and blobs of a new rule version, are scanned then.
+    """
+    spark = docs.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    fresh = scan(docs, spark.read.parquet(folder) if there else None, text, version, only_new=True)
+    fresh.write.mode("append").parquet(folder)
+    staging.drop(fresh)
+    return spark.read.parquet(folder)
 
 
 def located(docs: DataFrame, ledger: DataFrame, text: str = "text", version: str = RULE_VERSION) -> DataFrame:
     """``docs`` with the column spans of their blob; blobs without findings have an empty array."""
-    hits = ledger.where((F.col("rule_version") == version) & (F.size("spans") > 0)).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    out = docs.withColumn("_key", F.sha2(_text(text), 256)).join(hits, F.col("_key") == F.col("_blob"), "left")
-    return out.withColumn("spans", F.coalesce("_spans", F.expr(f"cast(array() as {_SPAN})"))).drop("_key", "_blob", "_spans")
+    key, blob, found = (staging.unused(docs.columns, n) for n in ("key", "blob", "found"))
+    hits = ledger.where((F.col("rule_version") == version) & (F.size("spans") > 0)).select(F.col("blob").alias(blob), F.col("spans").alias(found))
+    out = docs.withColumn(key, F.sha2(_text(text), 256)).join(hits, F.col(key) == F.col(blob), "left")
+    return out.withColumn("spans", F.coalesce(found, F.expr(f"cast(array() as {_SPAN})"))).drop(key, blob, found)
 
 
 def _joined(spans: Column) -> Column:

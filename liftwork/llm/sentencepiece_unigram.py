@@ -8,13 +8,17 @@ exactly, line ends, runs of blanks and the marker character itself included.
 
 No piece has a blank after another character, so a text is cut in front of each run of blanks and
 the distinct parts of a batch are segmented once. All parts of a batch are searched at a time: the
-trie is walked from every position in step, and the table of best sums is filled by end position.
+trie is walked from every position in step, and the table of best sums is filled by end position. Parts
+are cut further where no match goes across, as every segmentation has to, so that texts without blanks
+have short parts too; only in a text that matches cover without a gap (one letter a million times) the
+search goes on byte by byte.
 
 The vocabulary file holds merge ranks. Log scores are made from them by Zipf's law: the piece of rank
 r has log(1 / (r + 1)), normalised.
 
 Null text has null ids and a null decoded text. The empty text has no ids. Repeated rows are encoded
-alike. An empty table gives an empty result.
+alike. A text of any length is encoded as a whole. Other columns are kept; only ids and decoded are
+replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -91,6 +95,20 @@ class DoubleArrayTrie:
         return np.where(self.check[np.minimum(to, len(self.check) - 1)] == states, to, -1)
 
 
+def _cut(at: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of parts that are cut wherever no match goes across as well, and the part of every byte."""
+    across = np.zeros(n + 1, np.int64)
+    np.add.at(across, start + 1, 1)
+    np.add.at(across, stop, -1)
+    free = np.cumsum(across) == 0
+    free[at] = True
+    free[n] = True
+    cuts = np.flatnonzero(free)
+    empty = at[:-1][np.diff(at) == 0]
+    at = np.sort(np.concatenate([cuts, empty]))
+    return at, np.repeat(np.arange(len(at) - 1), np.diff(at))
+
+
 class Unigram:
     """Vocabulary, trie and scores."""
 
@@ -156,6 +174,8 @@ class Unigram:
         stops.append(char_end[alone])
         ids.append(np.full(int(alone.sum()), -1, np.int64))
         start, stop, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops, ids))
+        given, at, part = at, *_cut(at, start, stop, n)
+        parts = len(at) - 1
         gain = np.where(piece >= 0, self.score[piece], self.fallback)
         far = stop - at[:-1][part[start]]
         order = np.lexsort((start, stop, far))
@@ -192,7 +212,7 @@ class Unigram:
             current, owner = current[going], owner[going]
             step += 1
         if not tokens:
-            return np.zeros(0, np.int64), np.zeros(parts, np.int64)
+            return np.zeros(0, np.int64), np.zeros(len(given) - 1, np.int64)
         level = np.repeat(np.arange(step), [len(t) for t in tokens])
         edge, owner = np.concatenate(tokens), np.concatenate(owners)
         order = np.lexsort((-level, owner))
@@ -202,7 +222,8 @@ class Unigram:
         inner = np.arange(total[-1]) - np.repeat(total - width, width)
         spread = np.repeat(edge, width)
         out = np.where(piece[spread] >= 0, piece[spread], self.raw[data[np.minimum(start[spread] + inner, n - 1)]])
-        return out, np.bincount(np.repeat(owner, width), minlength=parts)
+        of_given = np.searchsorted(given, at[:-1], "right") - 1
+        return out, np.bincount(of_given[np.repeat(owner, width)], minlength=len(given) - 1)
 
     def segmented(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``segment`` over blocks of about BLOCK bytes, so that the tables of a search stay small."""

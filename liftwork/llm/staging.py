@@ -38,6 +38,14 @@ def drop(*tables: DataFrame) -> None:
                 folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores in front as make it differ from all columns."""
+    taken = {c.lower() for c in columns}
+    while (name := f"_{name}") in taken:
+        pass
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -4,20 +4,28 @@ Every window of LENGTH bytes has an anchor: its GRAM-byte string with the least
 have equal anchors at equal offsets, so a suffix array over the suffixes that start at anchors shows
 every repeat. It is built in three steps, all keyed by the anchor's hash:
 
-1. Runs of windows that share an anchor whose whole context equals that of an earlier run are
-   repeats as they stand; only the first run of each context goes on, and only where the anchor has
-   more than one context.
+1. Runs of windows that share an anchor and have equal contexts (the run with all bytes of its windows)
+   are equal suffixes, an interval of the array as they stand. They enter as one entry: the first run goes
+   on, and only where its anchor has more than one context; the windows of the others are repeats. Contexts
+   are equal if two hashes are, of 62 bits each: that of the anchor and that of the context.
 2. The contexts that are left are grouped by anchor. Each group is an enhanced suffix array (right
    contexts in order, with common prefix lengths). A stack scan yields its common-prefix intervals;
    within each, a second scan over the reversed left contexts tests the left extension. A pair of
-   intervals is a maximal repeat with all its occurrences; all but the first are removed.
+   intervals is a maximal repeat with all its occurrences; all but the first are removed. Here bytes are
+   compared, not hashes.
 3. Anchors with very many contexts (a passage that a large part of all documents holds, at its
-   edges) would be an unbounded group. Their windows are grouped one by one instead, by a hash of the
-   whole window, which Spark pre-aggregates before the shuffle.
+   edges) would be an unbounded group. Their windows are grouped one by one instead, by the hashes of the
+   anchor and of the whole window, which Spark pre-aggregates before the shuffle.
+
+Runs of frequent anchors are dealt to many tasks at first, which leave one run of each context, and
+the rest of them again by context: no context, however often it stands, is gathered in one task.
 
 Null text counts as empty. A document is a row; rows that repeat a doc_id are told apart by their
 text, and none of them stands before the other. A null doc_id stands before all others. Texts under
-LENGTH bytes stay whole. Empty tables give empty results.
+LENGTH bytes stay whole. Of equal windows the first stays: smaller doc_id, then earlier start; equal rows
+are one document. Other columns do not matter, but for those that are asked for. Anchors of a long text are
+found slice by slice; what is done with a text as a whole takes some 50 bytes of arrays for each of its bytes.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftwork.llm import staging
@@ -92,13 +100,19 @@ _ROWS = "kh long, sh long, did long, th int, p int, n short, off short, dup bool
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """A row per anchor run; dup: an equal run stands earlier in the same batch, so this one is resolved already."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in slices(batches, "text", SLICE):
             data, at = text_bytes(batch.column("text"))
-            begin, count, off, kh, sh = anchor_runs(data, at, length, gram)
-            row = np.searchsorted(at, begin, "right") - 1
-            did, th = batch.column("did").to_numpy()[row], batch.column("th").to_numpy()[row]
-            p = begin - at[row]
+            step = max(4 * SLICE, len(data)) if batch.num_rows > 1 else SLICE
+            for low in range(0, max(len(data), 1), step):  # a long text by slices that overlap by a window less one byte
+                part = data[low : low + step + length - 1]
+                own = at if step >= len(data) else np.array([0, len(part)])
+                begin, count, off, kh, sh = anchor_runs(part, own, length, gram)
+                row = np.searchsorted(own, begin, "right") - 1
+                yield batch.column("did").to_numpy()[row], batch.column("th").to_numpy()[row], begin - own[row] + low, count, off, kh, sh
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for did, th, p, count, off, kh, sh in found(batches):
             order = np.lexsort((p, did, sh))
             dup = np.zeros(len(order), bool)
             if len(order):
@@ -124,7 +138,7 @@ def _hot_anchors(given: DataFrame, length: int, gram: int) -> DataFrame:
 class _Contexts:
     """Streams anchor runs in the order (kh, sh, did, p) and tells repeats from first contexts."""
 
-    names = ("kh", "did", "th", "p", "n", "off", "kind")
+    names = ("kh", "sh", "did", "th", "p", "n", "off", "kind")
 
     def __init__(self):
         self.lead = None  # kh, sh, did, p, th of the context that is open
@@ -175,13 +189,16 @@ class _Contexts:
             self.lead = tuple(col[c][i] for c in ("kh", "sh", "did", "p", "th"))
 
     def _rows(self, col: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16())
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16())
         values = [pa.array(col[c], t) for c, t in zip(self.names, types, strict=False)]
         return pa.RecordBatch.from_arrays([*values, pa.array(np.full(len(col["kh"]), kind, np.int8))], names=list(self.names))
 
 
-def _resolved(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """(kh, did, th, p, n, off, kind): kind 0 repeats, 1 contexts to compare, 2 those of hot anchors."""
+def _resolved(rows: DataFrame, deal: Column) -> DataFrame:
+    """(kh, sh, did, th, p, n, off, kind) of rows with hot: kind 0 repeats, 1 contexts to compare, 2 those of hot anchors.
+
+    Rows with equal ``deal`` come together, those of an anchor that is not hot always.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts = _Contexts()
@@ -190,10 +207,9 @@ def _resolved(rows: DataFrame, hot: DataFrame) -> DataFrame:
                 if out.num_rows:
                     yield out
 
-    salted = rows.join(F.broadcast(hot), "kh", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))  # MOST_HOT rows at most
-    deal = F.when(F.col("dup"), F.xxhash64("did")).when(F.col("hot"), F.pmod("sh", F.lit(SALTS))).otherwise(0)
-    dealt = salted.withColumn("deal", F.xxhash64(F.when(F.col("dup"), 0).otherwise(F.col("kh")), deal))
-    return dealt.repartition("deal").sortWithinPartitions("kh", "sh", "did", "p", "th").drop("deal").mapInArrow(run, "kh long, did long, th int, p int, n short, off short, kind byte")
+    dealt = rows.withColumn("deal", F.xxhash64(F.when(F.col("dup"), 0).otherwise(F.col("kh")), F.when(F.col("dup"), F.xxhash64("did")).when(F.col("hot"), deal).otherwise(0)))
+    schema = "kh long, sh long, did long, th int, p int, n short, off short, kind byte"
+    return dealt.repartition("deal").sortWithinPartitions("kh", "sh", "did", "p", "th").select("kh", "sh", "did", "th", "p", "n", "off", "dup", "hot").mapInArrow(run, schema)
 
 
 def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -203,7 +219,7 @@ def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[index]
 
 
-_CONTEXT = "key long, did long, th int, p int, n short, off short, ctx binary"
+_CONTEXT = "key long, wh long, did long, th int, p int, n short, off short, ctx binary"
 
 
 def _contexts(given: DataFrame, open_runs: DataFrame, length: int) -> DataFrame:
@@ -220,27 +236,29 @@ def _contexts(given: DataFrame, open_runs: DataFrame, length: int) -> DataFrame:
             cold = kind == 1
             size = n[cold].astype(np.int64) + length - 1
             body = _gather(data, at[row[cold]] + p[cold], size)
-            yield _context_rows(kh[cold], did[cold], th[cold], p[cold], n[cold], off[cold], body, np.cumsum(size))
+            yield _context_rows(kh[cold], None, did[cold], th[cold], p[cold], n[cold], off[cold], body, np.cumsum(size))
             hot = np.flatnonzero(kind == 2)
             if len(hot):
                 each = np.repeat(hot, n[hot])
                 start = p[each] + np.arange(len(each)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
                 begin = at[row[each]] + start
                 wh = mix(RollingHash(data).ranges(begin, begin + length)).view(np.int64)
-                yield _context_rows(wh, did[each], th[each], start, np.ones(len(each)), np.zeros(len(each)), None, None)
+                yield _context_rows(kh[each], wh, did[each], th[each], start, np.ones(len(each)), np.zeros(len(each)), None, None)
 
     per_doc = open_runs.groupBy("did", "th").agg(F.collect_list(F.struct("kh", "p", "n", "off", "kind")).alias("runs"))
     return given.join(per_doc, ["did", "th"]).select("did", "th", "text", "runs").mapInArrow(run, _CONTEXT)
 
 
-def _context_rows(key, did, th, p, n, off, body, ends) -> pa.RecordBatch:
+def _context_rows(key, wh, did, th, p, n, off, body, ends) -> pa.RecordBatch:
     if body is None:
         ctx = pa.nulls(len(key), pa.binary())
     else:
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         ctx = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes())])
+    wh = pa.nulls(len(key), pa.int64()) if wh is None else pa.array(wh)
     plain = ((key, pa.int64()), (did, pa.int64()), (th, pa.int32()), (p, pa.int32()), (n, pa.int16()), (off, pa.int16()))
-    return pa.RecordBatch.from_arrays([*(pa.array(np.asarray(x).astype(t.to_pandas_dtype()), t) for x, t in plain), ctx], names=["key", "did", "th", "p", "n", "off", "ctx"])
+    key, *rest = (pa.array(np.asarray(x).astype(t.to_pandas_dtype()), t) for x, t in plain)
+    return pa.RecordBatch.from_arrays([key, wh, *rest, ctx], names=["key", "wh", "did", "th", "p", "n", "off", "ctx"])
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -286,7 +304,7 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int, least:
 
 
 def _compared(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(wh, did, th, p, n): repeats (wh null), and windows of groups that are too large, by hash."""
+    """(key, wh, did, th, p, n): repeats (wh null), and windows of groups that are too large, by hash."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
         """Rows of each key; of large groups in parts, with True."""
@@ -313,7 +331,7 @@ def _compared(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             first = min(place.values())
             for m in members:
                 if place[m] != first:
-                    yield None, rows[m][1], rows[m][2], place[m][1] - far, far - near + 1
+                    yield None, None, rows[m][1], rows[m][2], place[m][1] - far, far - near + 1
 
     def windows(rows: list[tuple]) -> Iterator[tuple]:
         body = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
@@ -324,13 +342,13 @@ def _compared(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         k = 0
         for r in rows:
             for i in range(r[4]):
-                yield wh[k], r[1], r[2], r[3] + i, 1
+                yield r[0], wh[k], r[1], r[2], r[3] + i, 1
                 k += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16())
-        full = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["wh", "did", "th", "p", "n"])
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16())
+        full = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["key", "wh", "did", "th", "p", "n"])
         for large, rows in groups(batches):
             if large:
                 out.extend(windows(rows))
@@ -342,20 +360,27 @@ def _compared(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         if out:
             yield full()
 
-    return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(run, "wh long, did long, th int, p int, n short")
+    return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, wh long, did long, th int, p int, n short")
 
 
 def repeated_runs(given: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(did, th, p, n): every window start p .. p + n - 1 of a document that repeats an earlier window."""
     hot = staging.stored(_hot_anchors(given, length, gram), "suffix-hot")
-    runs = staging.stored(_resolved(anchors(given, length, gram), hot), "suffix-runs")
+    marked = anchors(given, length, gram).join(F.broadcast(hot), "kh", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))  # MOST_HOT rows at most
+    runs = staging.stored(_resolved(marked, F.xxhash64(F.pmod("sh", F.lit(SALTS)), F.pmod(F.xxhash64("did"), F.lit(SALTS)))), "suffix-runs")
     staging.release(given.sparkSession)
+    # of a frequent anchor every task has left one run of each context
+    left = runs.where("kind = 2").drop("kind").withColumns({"dup": F.lit(False), "hot": F.lit(True)})
+    again = staging.stored(_resolved(left, F.col("sh")), "suffix-hot-runs")
+    kept = ("kh", "did", "th", "p", "n", "off", "kind")
+    runs = runs.where("kind < 2").select(*kept).unionByName(again.select(*kept))
     contexts = staging.stored(_contexts(given, runs.where("kind > 0"), length), "suffix-contexts")
     staging.release(given.sparkSession)
     compared = staging.stored(_compared(contexts.where("ctx is not null"), length, gram), "suffix-compared")
-    windows = contexts.where("ctx is null").select(F.col("key").alias("wh"), "did", "th", "p").unionByName(compared.where("wh is not null").select("wh", "did", "th", "p"))
-    firsts = windows.groupBy("wh").agg(F.min(F.struct("did", "p")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("wh", "first")
-    later = windows.join(firsts, "wh").where("not (did = first.did and p = first.p)").select("did", "th", "p", F.lit(1).cast("short").alias("n"))
+    window = ("key", "wh", "did", "th", "p")
+    windows = contexts.where("ctx is null").select(*window).unionByName(compared.where("wh is not null").select(*window))
+    firsts = windows.groupBy("key", "wh").agg(F.min(F.struct("did", "p")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "wh", "first")
+    later = windows.join(firsts, ["key", "wh"]).where("not (did = first.did and p = first.p)").select("did", "th", "p", F.lit(1).cast("short").alias("n"))
     return runs.where("kind = 0").select("did", "th", "p", "n").unionByName(compared.where("wh is null").select("did", "th", "p", "n")).unionByName(later)
 
 

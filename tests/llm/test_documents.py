@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from llm.fixtures import DOCUMENTS, corpus, frame
 
+from liftwork.llm import components as components_of
 from liftwork.llm import near_dedup, packing, quality_rules, secret_ledger, suffix_dedup, textbuf
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -79,8 +80,8 @@ def test_near_duplicates_in_one_large_group(spark):
 
 
 def test_dense_nodes_in_several_chunks(spark, monkeypatch):
-    for name, value in (("CHUNK", 64), ("NODE", 64), ("HOT", 50), ("SALTS", 4)):
-        monkeypatch.setattr(near_dedup, name, value)
+    for module, name, value in ((near_dedup, "CHUNK", 64), (near_dedup, "NODE", 64), (components_of, "HOT", 50), (components_of, "SALTS", 4)):
+        monkeypatch.setattr(module, name, value)
     r = random.Random(9)
     base, rows = [f"w{k}" for k in range(60)], []
     for i in range(500):  # near copies of one text, some of them linked with few others
