@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -73,6 +72,17 @@ def weight(c: Column, weights: dict[float, float], default: float = 1.0) -> Colu
     return out.otherwise(F.lit(float(default)))
 
 
-def any_of(c: Column, values: Iterable) -> Column:
-    """NULL-safe membership."""
-    return F.coalesce(c.isin(list(values)), F.lit(False))
+def recoded(c: Column, sentinel: float) -> Column:
+    """NULL for a value that stands for none."""
+    return F.when(c != F.lit(sentinel), c)
+
+
+def binary_outcome(c: Column, positive: tuple = (1, 2, 3)) -> Column:
+    """1 for the positive levels of an outcome, 0 for all others, NULL and unknown ones too."""
+    return F.coalesce(c.try_cast("double").isin([float(p) for p in positive]).cast("int"), F.lit(0))
+
+
+def strict_yyyymmdd(c: Column) -> Column:
+    """An integer day from text; text that is no plausible day is an error."""
+    day = lenient_yyyymmdd(c)
+    return F.when(day.isNotNull(), day).otherwise(F.raise_error(F.concat(F.lit("no day: "), F.coalesce(c, F.lit("NULL")))).cast("int"))

@@ -6,7 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftwork.operators.histogram import histogram, ordered
 from liftwork.operators.ranking import by_score, top_size
+from liftwork.sources.intermediate import stored
 
 FLOOR = 1e-12
 GRID = [round(i * 0.05, 2) for i in range(21)]
@@ -19,14 +21,23 @@ def fuse(r: Column, q: Column, alpha: Column | float) -> Column:
 
 
 def alpha_lifts(df: DataFrame, r: str, q: str, label: str, key: str, k: float = 0.10) -> DataFrame:
-    """(alpha, lift) for every alpha of the grid: lift of the label in the top k by the fused score."""
-    total = df.agg(F.count(F.lit(1)).alias("total"), F.avg(label).alias("base"))
+    """(alpha, lift) for every alpha of the grid: lift of the label in the top k by the fused score.
+
+    The score at which the top k of an alpha ends follows from its histogram; of the rows with that score
+    those first by key come in, and only they are ordered.
+    """
     cells = df.select(key, label, r, q, F.explode(F.array(*(F.lit(a) for a in GRID))).alias("alpha"))
-    fused = cells.withColumn("fused", F.round(fuse(F.col(r), F.col(q), F.col("alpha")), 12))
-    order = Window.partitionBy("alpha").orderBy(F.desc("fused"), key)
-    placed = fused.withColumn("rank", F.row_number().over(order)).crossJoin(F.broadcast(total))  # one row
-    top = placed.where(F.col("rank") <= top_size(F.col("total"), k))
-    return top.groupBy("alpha").agg((F.avg(label) / F.max("base")).alias("lift"))
+    fused = stored(cells.select("alpha", key, label, (-F.round(fuse(F.col(r), F.col(q), F.col("alpha")), 12)).alias("value")), "fused")
+    placed = ordered(fused.groupBy("alpha", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")), ["alpha"])
+    size = top_size(F.col("total"), k)
+    last = placed.where((F.col("before") < size) & (F.col("before") + F.col("n") >= size))
+    last = last.select(F.col("alpha").alias("of"), F.col("value").alias("cut"), F.col("pos_before").alias("sure"), "total", size.alias("size"), (size - F.col("before")).alias("wanted"))  # a row an alpha
+    base = df.agg(F.avg(label).alias("base"))
+    tied = fused.join(F.broadcast(last), (F.col("alpha") == F.col("of")) & (F.col("value") == F.col("cut"))).select("alpha", key, label, "wanted")
+    order = Window.partitionBy("alpha").orderBy(key)
+    hits = tied.withColumn("_r", F.row_number().over(order)).where("_r <= wanted").groupBy("alpha").agg(F.sum(label).alias("tied"))
+    both = last.withColumnRenamed("of", "alpha").join(hits, "alpha", "left").crossJoin(F.broadcast(base))  # one row
+    return both.select("alpha", F.coalesce(F.try_divide((F.col("sure") + F.coalesce("tied", F.lit(0))) / F.col("size"), F.col("base")), F.lit(0.0)).alias("lift"))
 
 
 def best_alpha(lifts: DataFrame) -> DataFrame:
@@ -35,6 +46,14 @@ def best_alpha(lifts: DataFrame) -> DataFrame:
     return lifts.withColumn("_r", F.row_number().over(order)).where("_r = 1").drop("_r")  # a row an alpha
 
 
+def fit_alpha(df: DataFrame, r: str, q: str, label: str, key: str, k: float = 0.10, min_rows: int = 2000, min_pos: int = 20) -> DataFrame:
+    """One row (alpha, lift, origin): the best alpha, or a half (``default_fallback``, no lift) where rows or positives are too few to tell."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)).alias("p")).first()
+    if size["n"] < min_rows or size["p"] < min_pos:
+        return df.sparkSession.createDataFrame([(0.5, None, "default_fallback")], "alpha double, lift double, origin string")
+    return best_alpha(alpha_lifts(df, r, q, label, key, k)).withColumn("origin", F.lit("grid"))
+
+
 def funnel(df: DataFrame, stages: list[str]) -> DataFrame:
     """(stage, ordinal, n, step_cvr, cum_cvr): rows that pass all stages up to each, from one aggregation."""
     passed, aggs = F.lit(True), [F.count(F.lit(1)).alias("s0")]
@@ -47,18 +66,30 @@ def funnel(df: DataFrame, stages: list[str]) -> DataFrame:
     return flat.select("stage", "ordinal", "n", F.try_divide(F.col("n").cast("double"), F.col("before")).alias("step_cvr"), F.try_divide(F.col("n").cast("double"), F.col("all")).alias("cum_cvr"))
 
 
-def funnel_lift(df: DataFrame, stages: list[str], ties: list[str], k: float = 0.10, score: str = "score") -> DataFrame:
-    """(stage, view, top, population, lift): the rate of each stage in the top k and in all, absolute and given the stages before."""
+def funnel_lift(df: DataFrame, stages: list[str], ties: list[str], k: float = 0.10, score: str = "score", value: str | None = None) -> DataFrame:
+    """(stage, view, n_top, pos_top, top, population, lift): the rate of each stage in the top k and in all, absolute and given the stages before.
+
+    With ``value`` a row value_capture has its mean in both, and the number of the top rows with a value over zero.
+    """
     placed = by_score(df, ties, score).withColumn("top", F.col("rank") <= top_size(F.col("total"), k))
-    aggs, before = [], F.lit(True)
-    for i, s in enumerate(stages):
+    top, every = F.col("top"), F.lit(True)
+    aggs, rows = [], []
+
+    def add(name: str, view: str, what: Column, hit: Column, given: Column) -> None:
+        i = len(rows)
+        aggs.extend([F.count_if(top & given).alias(f"n{i}"), F.count_if(top & given & hit).alias(f"h{i}"), F.avg(F.when(top & given, what)).alias(f"t{i}"), F.avg(F.when(given, what)).alias(f"p{i}")])
+        rows.append(F.struct(F.lit(name).alias("stage"), F.lit(view).alias("view"), F.col(f"n{i}").alias("n_top"), F.col(f"h{i}").alias("pos_top"), F.col(f"t{i}").alias("top"), F.col(f"p{i}").alias("population")))
+
+    before = every
+    for s in stages:
         hit = F.coalesce(F.col(s), F.lit(0)) > 0
-        for side, mask in (("t", F.col("top")), ("p", F.lit(True))):
-            aggs += [F.avg(F.when(mask, hit.cast("double"))).alias(f"a{side}{i}"), F.avg(F.when(mask & before, hit.cast("double"))).alias(f"c{side}{i}")]
+        add(s, "absolute", hit.cast("double"), hit, every)
+        add(s, "conditional", hit.cast("double"), hit, before)
         before = before & hit
-    sums = placed.agg(*aggs)
-    rows = [F.struct(F.lit(s).alias("stage"), F.lit(v).alias("view"), F.col(f"{c}t{i}").alias("top"), F.col(f"{c}p{i}").alias("population")) for i, s in enumerate(stages) for c, v in (("a", "absolute"), ("c", "conditional"))]
-    flat = sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    if value is not None:
+        amount = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+        add("value_capture", "absolute", amount, amount > 0, every)
+    flat = placed.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return flat.withColumn("lift", F.try_divide(F.col("top"), F.col("population")))
 
 
@@ -72,30 +103,42 @@ def share_curve(df: DataFrame, value: str, ties: list[str], shares: list[float],
     return out.withColumn("lift", F.try_divide(F.col("top"), F.col("population")))
 
 
-def isotonic_table(df: DataFrame, score: str = "score", label: str = "y", digits: int = 4, min_rows: int = 200, min_pos: int = 10) -> DataFrame:
+def _pooled(rows) -> list[tuple[float, float, float, float]]:
+    """Adjacent violators of rows (positives, n, lowest score, highest score) pooled."""
+    pools: list[list[float]] = []
+    for s, m, low, high in rows:
+        pools.append([s, m, low, high])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            s2, m2, _, top = pools.pop()
+            pools[-1] = [pools[-1][0] + s2, pools[-1][1] + m2, pools[-1][2], top]
+    return [tuple(p) for p in pools]
+
+
+def isotonic_table(df: DataFrame, score: str = "score", label: str = "y", min_rows: int = 200, min_pos: int = 10) -> DataFrame:
     """(x, y): an isotonic calibration table by pooling adjacent violators; empty if the data do not carry one.
 
-    Equal scores, to ``digits`` places, are pooled before, so 10**digits rows of scores in 0..1 at most
+    Rows are pooled by ranges of the score, then the pools are: only these, of which the table consists,
     come together. Each pool gives its ends.
     """
-    ties = df.groupBy(F.round(score, digits).alias("x")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("double")).alias("p"))
+    hist = histogram(df.select(F.lit("score").alias("feature"), F.col(score).cast("double").alias("value"), F.col(label).alias("y")))
+    total = hist.where("value is not null").agg(F.sum("n").alias("n"), F.sum("pos").alias("p"), F.count(F.lit(1)).alias("d")).first()
+    none = hist.sparkSession.createDataFrame([], "x double, y double")
+    if not total["n"] or total["n"] < min_rows or total["p"] < min_pos or total["p"] == total["n"] or total["d"] < 2:
+        return none
+    schema = "p double, n double, low double, high double"
 
     def pool(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("x")
-        n, p = frame["n"].sum(), frame["p"].sum()
-        none = pd.DataFrame({"x": [], "y": []}, dtype="float64")
-        if n < min_rows or p < min_pos or p == n or len(frame) < 2:
-            return none
-        pools: list[list[float]] = []
-        for x, m, s in zip(frame["x"], frame["n"], frame["p"], strict=True):
-            pools.append([s, m, x, x])
-            while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-                s2, m2, _, high = pools.pop()
-                pools[-1] = [pools[-1][0] + s2, pools[-1][1] + m2, pools[-1][2], high]
-        ends = [(x, s / m) for s, m, low, high in pools for x in dict.fromkeys((low, high))]
-        return pd.DataFrame(ends, columns=["x", "y"])
-
-    return ties.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(pool, "x double, y double")
+        frame = frame.sort_values("low")
+        return pd.DataFrame(_pooled(zip(frame["p"], frame["n"], frame["low"], frame["high"], strict=True)), columns=["p", "n", "low", "high"], dtype="float64")
+
+    def ends(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = pool(frame)
+        table = [(x, s / m) for s, m, low, high in frame.itertuples(index=False) for x in dict.fromkeys((low, high))]
+        return pd.DataFrame(table, columns=["x", "y"], dtype="float64")
+
+    rows = ordered(hist).select(F.floor(F.col("before") / 10_000).alias("range"), F.col("pos").cast("double").alias("p"), F.col("n").cast("double").alias("n"), F.col("value").alias("low"), F.col("value").alias("high"))
+    pools = rows.groupBy("range").applyInPandas(lambda f: pool(f.drop(columns="range")), schema)
+    return pools.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda f: ends(f.drop(columns="one")), "x double, y double")
 
 
 def interpolated(score: Column, table: list[tuple[float, float]]) -> Column:

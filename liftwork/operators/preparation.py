@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftwork.operators.splitting import split_rows
+from liftwork.sources.intermediate import stored
+
+log = logging.getLogger(__name__)
+
 
 def fit_fill(train: DataFrame, strategies: dict[str, str | float]) -> dict[str, float | None]:
     """The fill of each column, fitted on ``train`` in one pass: median, mean, zero, keep_nan or a constant.
@@ -51,7 +58,13 @@ def all_missing(columns: list[str]) -> Column:
 
 
 def drop_empty_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows without any value go from train and valid, and stay in oot."""
+    """Rows without any value go from train and valid, and stay in oot. A split that would be left empty is an error, over 5 % a warning."""
+    sizes = df.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if(all_missing(columns)).alias("empty")).where("split in ('train', 'valid')").collect()
+    for r in sizes:
+        if r["n"] == r["empty"]:
+            raise ValueError(f"no row of {r['split']} has a value")
+        if r["empty"] > 0.05 * r["n"]:
+            log.warning("%s of %s rows of %s have no value", r["empty"], r["n"], r["split"])
     return df.where(~(all_missing(columns) & F.col("split").isin("train", "valid")))
 
 
@@ -68,12 +81,29 @@ def bad_labels(df: DataFrame, label: str = "y") -> DataFrame:
 
 
 def require_binary(df: DataFrame, label: str = "y") -> DataFrame:
+    """``df`` if all its labels are 0 or 1, else an error with the values that are not."""
     found = bad_labels(df, label).limit(10).collect()
     if found:
         raise ValueError(f"{label} has values other than 0 and 1: " + ", ".join(f"{r['label']} ({r['n']} rows)" for r in found))
     return df
 
 
+def build_dataset(df: DataFrame, features: dict[str, str | float], ties: list[str], exclude: dict[str, list[float]] | None = None, day: str = "day", label: str = "y", weight: Column | None = None, indicator: float = 0.10) -> DataFrame:
+    """A table to learn from: label, ties, split, weight, filled features and indicators of missing values.
+
+    ``features``: column -> fill strategy. Labels are checked, excluded rows go, the rest is split, rows
+    without any value go from train and valid; fills and indicators are fitted on train alone.
+    """
+    rows = without_values(require_binary(df, label), exclude or {})
+    split = stored(split_rows(rows, ties, day=day, label=label).where("split is not null"), "dataset-split")
+    there = drop_empty_rows(split, list(features))
+    train = there.where("split = 'train'")
+    marked = with_indicators(there, indicator_columns(train, list(features), indicator))
+    filled = apply_fill(marked, fit_fill(train, features))
+    marks = [c for c in filled.columns if c.endswith("__isnan")]
+    return filled.select(*ties, label, "split", (F.lit(1.0) if weight is None else weight).alias("weight"), *(F.col(c).cast("float").alias(c) for c in features), *marks)
+
+
 def without_values(df: DataFrame, rules: dict[str, list[float]]) -> DataFrame:
     """Rows with a listed value in any ruled column go; NULL stays."""
     for column, values in rules.items():

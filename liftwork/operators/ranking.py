@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftwork.operators.splitting import ranked
+from liftwork.operators.histogram import ordered
+from liftwork.operators.splitting import ranked, ranked_within
+from liftwork.sources.intermediate import stored
 
 
 def top_size(n: Column, k: float | int) -> Column:
@@ -38,10 +40,11 @@ def at_k(df: DataFrame, ks: list[float | int], ties: list[str]) -> DataFrame:
 
 def thresholds(df: DataFrame, by: list[str] = [], score: str = "score") -> DataFrame:  # noqa: B006
     """(by..., score, n, pos, cn, cp, total, positives): a row a distinct score, best first, with running sums."""
-    ties = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos"))
-    whole = Window.partitionBy(*by)
-    upto = whole.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return ties.select(*by, score, "n", "pos", F.sum("n").over(upto).alias("cn"), F.sum("pos").over(upto).alias("cp"), F.sum("n").over(whole).alias("total"), F.sum("pos").over(whole).alias("positives"))
+    keys = by or ["_all"]
+    rows = df if by else df.withColumn("_all", F.lit(0))
+    ties = stored(rows.groupBy(*keys, (-F.col(score)).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos")), "score-ties")
+    upto = lambda before, own: (F.col(before) + F.col(own))
+    return ordered(ties, keys).select(*by, (-F.col("value")).alias(score), "n", "pos", upto("before", "n").alias("cn"), upto("pos_before", "pos").alias("cp"), "total", "positives")
 
 
 def curve_metrics(df: DataFrame, by: list[str] = [], score: str = "score") -> DataFrame:  # noqa: B006
@@ -60,6 +63,29 @@ def curve_metrics(df: DataFrame, by: list[str] = [], score: str = "score") -> Da
     return sums.select(*by, "n", "base_rate", only("auc").alias("roc_auc"), only("ap").alias("pr_auc"), only("ks").alias("ks"))
 
 
+def evaluated(df: DataFrame, ties: list[str], k: float = 0.10, group: str = "split", score: str = "score") -> DataFrame:
+    """``curve_metrics`` of every group with precision, recall and lift in its top k."""
+    placed = ranked_within(df.withColumn("_down", -F.col(score)), [group], "_down", ties, "_rank", "_total")
+    top = F.col("_rank") <= top_size(F.col("_total"), k)
+    sums = placed.groupBy(group).agg(F.avg(F.when(top, F.col("y"))).alias("precision_at_k"), F.sum(F.when(top, F.col("y"))).alias("_hits"), F.sum("y").alias("_pos"), F.avg("y").alias("_base"))
+    zero = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    at = sums.select(group, "precision_at_k", zero(F.col("_hits").cast("double"), F.col("_pos")).alias("recall_at_k"), zero(F.col("precision_at_k"), F.col("_base")).alias("lift_at_k"))
+    return curve_metrics(df, [group], score).join(at, group)
+
+
+def with_companions(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` (split, calibration, all_missing) once more for each further group: valid_calib and oot_excl_all_na.
+
+    Valid itself keeps the rows that are not held out for calibration. The last group is there if some but not all rows of oot are empty.
+    """
+    oot = F.col("split") == "oot"
+    mixed = df.where(oot).agg((F.max("all_missing") & ~F.min("all_missing")).alias("_mixed"))
+    held = (F.col("split") == "valid") & F.col("calibration")
+    groups = F.array(F.when(held, "valid_calib").otherwise(F.col("split")), F.when(oot & ~F.col("all_missing") & F.col("_mixed"), "oot_excl_all_na"))
+    out = df.crossJoin(F.broadcast(mixed)).withColumn("split", F.explode(F.filter(groups, lambda g: g.isNotNull())))  # one row
+    return out.drop("_mixed")
+
+
 def ks_by_row(df: DataFrame, ties: list[str]) -> DataFrame:
     """One row (ks): the greatest gap at any row position, so equal scores count in the order of ``ties``."""
     placed = by_score(df, ties).select("y", "rank").withColumn("bucket", F.floor(F.col("rank") / 10_000))

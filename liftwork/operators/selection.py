@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,19 @@ def rank_family(report: DataFrame, prefer: str = "best_iv", keep: int = 2, toler
     return out.withColumn("family_kept", F.col("in_family_rank") <= keep).drop("_close")
 
 
+def rank_family_by_group(report: DataFrame, policy: dict, overrides: dict[str, dict]) -> DataFrame:
+    """``rank_family`` under the policy of each family: the common one, overlaid by that of the group all its features are in.
+
+    Features without a group do not count; a family of several groups has the common policy.
+    """
+    whole = Window.partitionBy("family")
+    anchored = report.withColumn("_anchor", F.when(F.min("group").over(whole) == F.max("group").over(whole), F.max("group").over(whole)))
+    own = F.coalesce(F.col("_anchor"), F.lit("")).isin(list(overrides))
+    parts = [rank_family(anchored.where(~own), **policy)]
+    parts += [rank_family(anchored.where(F.col("_anchor") == group), **(policy | rule)) for group, rule in overrides.items()]
+    return reduce(DataFrame.unionByName, parts).drop("_anchor")
+
+
 def rank_group(report: DataFrame, keep: int = 2) -> DataFrame:
     """``report`` with group_size, in_group_rank and group_kept; features without a group have 0, 0 and true."""
     whole = Window.partitionBy("group")
@@ -79,14 +94,65 @@ def _z(name: str) -> Column:
     return F.coalesce(F.try_divide(F.col(name) - F.avg(name).over(all_), F.stddev_pop(name).over(all_)), F.lit(0.0))
 
 
-def rank_score(report: DataFrame, weights: dict[str, float] | None = None, psi_weight=0.25, missing_weight=0.5, missing_from=0.5, gamma=0.0) -> DataFrame:
-    """``report`` with rank_score."""
+def rank_score(report: DataFrame, weights: dict[str, float] | None = None, psi_weight=0.25, missing_weight=0.5, missing_from=0.5, gamma=0.0, psi_mode="soft", probe_weight=0.25) -> DataFrame:
+    """``report`` with rank_score. ``weights`` may have psi; with psi_mode off stability does not count. gain_rank_pct counts where it is there."""
     w = {"iv": 1.0, "lift": 1.0, "gini": 1.0} | (weights or {})
+    psi_weight = 0.0 if psi_mode == "off" else w.pop("psi", psi_weight)
+    w.pop("psi", None)
     score = sum((F.lit(v) * _z(k) for k, v in w.items()), F.lit(0.0)) - F.lit(psi_weight) * _z("psi")
     score = score - F.when(F.col("missing_rate") > missing_from, missing_weight).otherwise(0.0) - F.lit(gamma) * _lookup(F.col("window"), PENALTY, 0.0)
+    if "gain_rank_pct" in report.columns:
+        score = score + F.lit(probe_weight) * _z("gain_rank_pct")
     return report.withColumn("rank_score", score)
 
 
+def _average_rank(by: list[str], name: str) -> Column:
+    """Rank over the number of rows, equal values share the mean of theirs."""
+    peers = F.count(F.lit(1)).over(Window.partitionBy(*by, name))
+    return (F.rank().over(Window.partitionBy(*by).orderBy(name)) + (peers - 1) / 2) / F.count(F.lit(1)).over(Window.partitionBy(*by))
+
+
+def gain_ranks(report: DataFrame, gain: str = "gain") -> DataFrame:
+    """``report`` with gain_rank_pct."""
+    return report.withColumn("gain_rank_pct", _average_rank([], gain))
+
+
+def quadrants(report: DataFrame, cut: float = 0.7) -> DataFrame:
+    """``report`` (with iv, gain_rank_pct, coverage) with quadrant: stable, interp, discover or noise.
+
+    The gain is ranked among the features of the same fifth of coverage. A row a feature.
+    """
+    fifths = report.agg(F.expr("percentile(coverage, array(0.2, 0.4, 0.6, 0.8))").alias("_fifths"))
+    placed = report.crossJoin(F.broadcast(fifths)).withColumn("_fifth", F.size(F.filter("_fifths", lambda e: e < F.col("coverage"))))  # one row
+    ranked = placed.withColumns({"_gain": _average_rank(["_fifth"], "gain_rank_pct") > cut, "_iv": _average_rank([], "iv") > cut})
+    quadrant = F.when(F.col("_iv") & F.col("_gain"), "stable").when(F.col("_iv"), "interp").when(F.col("_gain"), "discover").otherwise("noise")
+    return ranked.withColumn("quadrant", quadrant).drop("_fifths", "_fifth", "_gain", "_iv")
+
+
+def reason_counts(report: DataFrame) -> DataFrame:
+    """(reason, n) of the reasons for which features were dropped; duplicates of any feature count together."""
+    reasons = report.where("reject_reason <> ''").select(F.explode(F.split("reject_reason", ";")).alias("reason"))
+    return reasons.groupBy(F.substring_index("reason", ":", 1).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians(report: DataFrame, by: str, names: dict[str, str]) -> DataFrame:
+    """(by, n, names...): medians of columns of the report."""
+    return report.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *(F.expr(f"percentile({c}, 0.5)").alias(n) for n, c in names.items()))
+
+
+def missing_buckets(report: DataFrame, cuts: tuple[float, ...] = (0.1, 0.3, 0.5, 0.7, 0.9)) -> DataFrame:
+    """(bucket, n, iv, lift): medians by bucket of the missing rate, right-closed."""
+    bucket = sum(((F.col("missing_rate") > c).cast("int") for c in cuts), F.lit(0))
+    return medians(report.withColumn("bucket", bucket), "bucket", {"iv": "iv", "lift": "lift"})
+
+
+def window_pairs(report: DataFrame) -> DataFrame:
+    """(windows, n): how many families keep the same windows."""
+    kept = F.array_sort(F.collect_list(F.struct("window_rank", "window")))
+    pairs = report.where("family_kept").groupBy("family").agg(F.array_join(F.transform(kept, lambda s: s["window"]), "+").alias("windows"))
+    return pairs.groupBy("windows").agg(F.count(F.lit(1)).alias("n"))
+
+
 def auto_keep(report: DataFrame) -> DataFrame:
     """``report`` (with kept flags, hard_reason, rank_score and cluster) with reject_reason and auto_keep."""
     whole = Window.partitionBy("cluster").orderBy(F.desc("rank_score"), "feature")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from liftwork.operators.histogram import ordered, quantile, quantiles
+from liftwork.sources.intermediate import stored
+
 EPSILON = 1e-6
 
 
@@ -48,52 +51,60 @@ def psi_flag(value: Column, shift: float = 0.10, broken: float = 0.25) -> Column
 def lift_at_k(counts: DataFrame, k: float = 0.10) -> DataFrame:
     """(feature, lift, concentration): whole bins are taken by falling rate, missing last of equals, until k of the rows are in."""
     whole = Window.partitionBy("feature")
+    counts = counts.where("n > 0")
     rate = F.col("pos") / F.col("n")
     order = whole.orderBy(F.desc("rate"), F.when(F.col("bin") < 0, 1 << 30).otherwise(F.col("bin")))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     rows = counts.withColumn("rate", rate).select(
-        "feature", "n", "pos", F.sum("n").over(upto).alias("cn"), F.row_number().over(order).alias("r"), F.sum("n").over(whole).alias("total"), F.sum("pos").over(whole).alias("positives")
+        "feature", "n", "pos", F.sum("n").over(upto).alias("cn"), F.row_number().over(order).alias("r"), F.sum("n").over(whole).alias("total"), F.sum("pos").over(whole).alias("positives"),
+        F.max(F.col("bin") >= 0).over(whole).alias("binned"),
     )
     target = F.greatest(F.lit(1.0), F.ceil(F.col("total") * k))
     taken = rows.where(F.col("cn") - F.col("n") < target)
-    both = taken.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.max("total").alias("total"), F.max("positives").alias("positives"), F.sum(F.when(F.col("r") == 1, F.col("pos"))).alias("top"))
+    both = taken.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.max("total").alias("total"), F.max("positives").alias("positives"), F.sum(F.when(F.col("r") == 1, F.col("pos"))).alias("top"), F.max("binned").alias("binned"))
     base = F.col("positives") / F.col("total")
-    lift = F.coalesce(F.try_divide(F.col("pos") / F.col("n"), base), F.lit(0.0))
+    # without edges all rows are in the missing bin
+    lift = F.when(~F.col("binned"), 1.0).otherwise(F.coalesce(F.try_divide(F.col("pos") / F.col("n"), base), F.lit(0.0)))
     return both.select("feature", lift.alias("lift"), F.coalesce(F.try_divide(F.col("top").cast("double"), F.col("positives")), F.lit(0.0)).alias("concentration"))
 
 
-def gini(values: DataFrame) -> DataFrame:
+def gini(hist: DataFrame) -> DataFrame:
     """(feature, gini): |2 AUC - 1| with missing values at the feature's median; 0 without two known values or two classes among them.
 
-    Equal values are counted before the ranks are formed, so a window row is a distinct value.
+    Ranks follow from the counts of smaller values; rows without a value stand among those of the median.
     """
-    medians = values.groupBy("feature").agg(F.expr("percentile(value, 0.5)").alias("median"), F.count("value").alias("known"), F.count_if(F.col("value").isNotNull() & (F.col("y") == 1)).alias("kp"))
-    filled = values.join(medians, "feature").withColumn("value", F.coalesce("value", "median"))
-    ties = filled.groupBy("feature", "value", "known", "kp").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
-    before = F.sum("n").over(Window.partitionBy("feature").orderBy("value")) - F.col("n")
-    sums = ties.withColumn("mean_rank", before + (F.col("n") + 1) / 2).groupBy("feature", "known", "kp").agg(
-        F.sum(F.col("mean_rank") * F.col("pos")).alias("ranks"), F.sum("pos").alias("p"), F.sum(F.col("n") - F.col("pos")).alias("q")
+    placed = stored(ordered(hist), "gini-values")
+    missing = hist.where("value is null").select("feature", F.col("n").alias("mn"), F.col("pos").alias("mp"))
+    middle = placed.groupBy("feature").agg(quantile(0.5).alias("median"), F.sum("n").alias("known"), F.sum("pos").alias("kp"))
+    middle = middle.join(missing, "feature", "left").fillna(0, ["mn", "mp"])  # a row a feature
+    v, m = F.col("value"), F.col("median")
+    rank = F.col("before") + (F.col("n") + 1) / 2 + F.when(v > m, F.col("mn")).when(v == m, F.col("mn") / 2).otherwise(0)
+    sums = placed.join(F.broadcast(middle), "feature").groupBy("feature", "known", "kp", "mn", "mp").agg(
+        F.sum(rank * F.col("pos")).alias("ranks"), F.sum(F.when(v < m, F.col("n")).otherwise(0)).alias("under"), F.sum(F.when(v == m, F.col("n")).otherwise(0)).alias("equal")
     )
-    auc = F.try_divide(F.col("ranks") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q"))
+    ranks = F.col("ranks") + F.col("mp") * (F.col("under") + (F.col("equal") + F.col("mn") + 1) / 2)
+    p, q = F.col("kp") + F.col("mp"), F.col("known") + F.col("mn") - F.col("kp") - F.col("mp")
     real = (F.col("known") >= 2) & (F.col("kp") > 0) & (F.col("kp") < F.col("known"))
-    return sums.select("feature", F.when(real, F.abs(2 * auc - 1)).otherwise(0.0).alias("gini"))
+    auc = F.try_divide(ranks - p * (p + 1) / 2, (p * q).cast("double"))
+    found = sums.select("feature", F.when(real, F.abs(2 * auc - 1)).otherwise(0.0).alias("gini"))
+    return hist.select("feature").distinct().join(found, "feature", "left").fillna(0.0, ["gini"])
 
 
-def missing_stats(values: DataFrame) -> DataFrame:
+def missing_stats(hist: DataFrame) -> DataFrame:
     """(feature, missing_rate, n_unique, n_total)."""
-    ties = values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    return ties.groupBy("feature").agg(
+    return hist.groupBy("feature").agg(
         F.coalesce(F.try_divide(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("double"), F.sum("n")), F.lit(0.0)).alias("missing_rate"),
         F.count("value").alias("n_unique"), F.sum("n").alias("n_total"),
     )
 
 
-def profile(values: DataFrame, by: list[str] = ["feature"]) -> DataFrame:  # noqa: B006
+def profile(hist: DataFrame, by: list[str] = ["feature"]) -> DataFrame:  # noqa: B006
     """(by..., n, missing_rate, mean, median, p10, p90) of the known values."""
-    return values.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col("value").isNull().cast("double")).alias("missing_rate"), F.avg("value").alias("mean"),
-        F.expr("percentile(value, 0.5)").alias("median"), F.expr("percentile(value, 0.1)").alias("p10"), F.expr("percentile(value, 0.9)").alias("p90"),
+    sums = hist.groupBy(*by).agg(
+        F.sum("n").alias("n"), (F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)) / F.sum("n")).alias("missing_rate"),
+        F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).cast("double")).alias("mean"),
     )
+    return sums.join(quantiles(hist, {"median": 0.5, "p10": 0.1, "p90": 0.9}, by), by, "left")
 
 
 def histogram(values: DataFrame, bins: int = 30) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liftwork.operators import binning, signals
+from liftwork.operators.histogram import histogram, quantiles
+from liftwork.sources.intermediate import stored
 from liftwork.sources.products import LINE_SQL, line_values, lines
 
 QUERIES, SQL = {}, {}
@@ -25,25 +29,42 @@ def _r(name: str) -> Column:
     return F.round(name, 6).alias(name)
 
 
-EDGES_SQL = f"""with {LINE_SQL},
-quant as (select feature, count(value) as n, count(distinct value) as n_unique, quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) as q, list_sort(list(distinct value) filter (where value is not null)) as u from values_ group by feature),
-edges as (select feature, n, n_unique, case when n_unique = 0 then [] when n_unique = 1 then [u[1], u[1] + 1e-12]
-  when n_unique <= 10 then list_concat([u[1]], list_transform(range(1, len(u)), lambda i: (u[i] + u[i + 1]) / 2), [u[len(u)]]) else list_sort(list_distinct(q)) end as edges from quant),
-binned as (select v.feature, v.value, v.y, v.day, v.flag, case when v.value is null then -1 else len(list_filter(edges[2:len(edges) - 1], lambda e: e <= v.value)) end as bin from values_ v join edges using (feature)),
+def edges_sql(source: str, name: str = "edges") -> str:
+    """Tables that end in ``name`` (feature, n, n_unique, edges): equal-frequency edges of (feature, value) rows, small bins merged."""
+    q = name + "_"
+    return f"""{q}quant as (select feature, count(value) as n, count(distinct value) as n_unique, quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) as q, list_sort(list(distinct value) filter (where value is not null)) as u from {source} group by feature),
+{q}raw as (select feature, n, n_unique, greatest(50, n // 100) as least, case when n_unique = 0 then [] when n_unique = 1 then [u[1], u[1] + 1e-12]
+  when n_unique <= 10 then list_concat(list_concat([u[1]], list_transform(range(1, len(u)), lambda i: (u[i] + u[i + 1]) / 2)), [u[len(u)]]) else list_sort(list_distinct(q)) end as edges from {q}quant),
+{q}bins as (select feature, list(len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value))) as bins from {source} join {q}raw using (feature) where value is not null group by feature),
+{q}start as (select r.*, case when n_unique = 0 then [] else list_transform(range(0, len(edges) - 1), lambda b: len(list_filter(bins, lambda x: x = b))) end as counts from {q}raw r left join {q}bins using (feature)),
+{q}merge as (select feature, n, n_unique, least, edges, counts from {q}start union all
+  select feature, n, n_unique, least, list_concat(edges[1:a], edges[a + 2:]), list_concat(list_concat(counts[1:a - 1], [counts[a] + counts[a + 1]]), counts[a + 2:])
+  from (select *, case when i = len(counts) or (i > 1 and counts[i - 1] <= counts[i + 1]) then i - 1 else i end as a
+    from (select *, list_position(counts, list_min(counts)) as i from {q}merge where len(counts) > 1 and list_min(counts) < least))),
+{name} as (select feature, n, n_unique, edges from {q}merge where not (len(counts) > 1 and list_min(counts) < least))"""
+
+
+BIN_SQL = "case when value is null then -1 else len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) end as bin"
+EDGES_SQL = f"""with recursive {LINE_SQL},
+{edges_sql("values_")},
+binned as (select v.feature, v.value, v.y, v.day, v.flag, {BIN_SQL} from values_ v join edges using (feature)),
 counts as (select feature, bin, count(*) as n, sum(y) as pos from binned group by feature, bin)"""
 WOE_SQL = f"""{EDGES_SQL},
 woe as (select feature, bin, n, pos, ln(((pos + 1e-6) / (sum(pos) over w + 1e-6)) / ((n - pos + 1e-6) / (sum(n - pos) over w + 1e-6))) as woe,
   pos / sum(pos) over w - (n - pos) / sum(n - pos) over w as gap from counts window w as (partition by feature))"""
 
 
+def _hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram(line_values(spark, sf_dir, ("y",)))
+
+
 def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    values = line_values(spark, sf_dir)
-    return values, binning.equal_frequency_edges(values)
+    hist = _hist(spark, sf_dir)
+    return hist, binning.equal_frequency_edges(hist)
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values, edges = _edges(spark, sf_dir)
-    return binning.counted(binning.digitized(values, edges))
+    return binning.counted(*_edges(spark, sf_dir))
 
 
 @query(f"with {LINE_SQL} select feature, value, y, day from values_")
@@ -53,7 +74,7 @@ def clean_missing(spark, sf_dir):
 
 @query(f"with {LINE_SQL} select feature, round(count(*) filter (where value is null) / count(*), 6) as missing_rate, count(distinct value) as n_unique, count(*) as n_total from values_ group by feature")
 def missing_stats(spark, sf_dir):
-    return signals.missing_stats(line_values(spark, sf_dir)).select("feature", _r("missing_rate"), "n_unique", "n_total")
+    return signals.missing_stats(_hist(spark, sf_dir)).select("feature", _r("missing_rate"), "n_unique", "n_total")
 
 
 @query(f"{EDGES_SQL} select feature, n, n_unique, unnest(list_transform(edges, lambda e: round(e, 4))) as edge from edges")
@@ -64,8 +85,8 @@ def bin_edges_equal_freq(spark, sf_dir):
 
 @query(f"{EDGES_SQL} select feature, value, bin, count(*) as n from binned group by all")
 def digitize(spark, sf_dir):
-    values, edges = _edges(spark, sf_dir)
-    return binning.digitized(values, edges).groupBy("feature", "value", "bin").agg(F.count(F.lit(1)).alias("n"))
+    hist, edges = _edges(spark, sf_dir)
+    return binning.digitized(hist, edges).select("feature", "value", "bin", "n")
 
 
 @query(f"{EDGES_SQL} select feature, bin, n, pos from counts")
@@ -91,30 +112,32 @@ def woe_monotonic(spark, sf_dir):
 
 # Population stability: the earlier half of all days is expected, the later half actual.
 PSI_SIDES = """halves as (select floor(quantile_cont(day, 0.5)) as cut from line)"""
-PSI_SQL = f"""with {LINE_SQL}, {PSI_SIDES},
-sided as (select feature, value, y, coalesce(day <= cut, false) as expected from values_, halves),
-quant as (select feature, count(distinct value) as n_unique, quantile_cont(value, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) as q, list_sort(list(distinct value) filter (where value is not null)) as u from sided where expected group by feature),
-edges as (select feature, case when n_unique <= 10 then list_concat([u[1]], list_transform(range(1, len(u)), lambda i: (u[i] + u[i + 1]) / 2), [u[len(u)]]) else list_sort(list_distinct(q)) end as edges from quant),
-binned as (select v.feature, v.expected, case when v.value is null then -1 else len(list_filter(edges[2:len(edges) - 1], lambda e: e <= v.value)) end as bin from sided v join edges using (feature)),
-sides as (select feature, bin, count(*) filter (where expected) as e, count(*) filter (where not expected) as a from binned group by all),
+PSI_SQL = f"""with recursive {LINE_SQL}, {PSI_SIDES},
+sided as (select feature, value, y, coalesce(day <= cut, false) as expected from values_, halves), early as (select * from sided where expected),
+{edges_sql("early", "pedges")},
+pbinned as (select v.feature, v.expected, {BIN_SQL} from sided v join pedges using (feature)),
+sides as (select feature, bin, count(*) filter (where expected) as e, count(*) filter (where not expected) as a from pbinned group by all),
 shares as (select feature, greatest(e / sum(e) over w, case when e = 0 then 1e-6 else 0 end) as e, greatest(a / sum(a) over w, case when a = 0 then 1e-6 else 0 end) as a from sides window w as (partition by feature)),
 psi as (select feature, sum((a - e) * ln(a / e)) as psi from shares group by feature)"""
 
 
 def halves(values: DataFrame, days: DataFrame) -> DataFrame:
     """``values`` with expected: whether the day is in the earlier half of ``days``; rows without a day are later."""
-    cut = days.agg(F.floor(F.expr("percentile(day, 0.5)")).alias("cut"))
+    counts = days.where("day is not null").groupBy(F.lit("day").alias("feature"), F.col("day").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("pos"))
+    cut = quantiles(counts, {"cut": 0.5}).select(F.floor("cut").alias("cut"))
     return values.crossJoin(F.broadcast(cut)).withColumn("expected", F.coalesce(F.col("day") <= F.col("cut"), F.lit(False))).drop("cut")  # one row
 
 
 def side_counts(sided: DataFrame, n_bins: int = 10) -> DataFrame:
     """(feature, bin, expected, actual): counts with edges from the expected side."""
-    edges = binning.equal_frequency_edges(sided.where("expected"), n_bins)
-    return binning.digitized(sided, edges).groupBy("feature", "bin").agg(F.count_if("expected").alias("expected"), F.count_if(~F.col("expected")).alias("actual"))
+    hist = histogram(sided.withColumn("early", F.col("expected").cast("int")), "early")  # pos: rows of the expected side
+    early = hist.where("pos > 0").select("feature", "value", F.col("pos").alias("n"), F.lit(0).cast("long").alias("pos"))
+    edges = binning.equal_frequency_edges(early, n_bins)
+    return binning.counted(hist, edges).select("feature", "bin", F.col("pos").alias("expected"), (F.col("n") - F.col("pos")).alias("actual"))
 
 
 def _psi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.psi(side_counts(halves(line_values(spark, sf_dir), lines(spark, sf_dir))))
+    return signals.psi(side_counts(halves(line_values(spark, sf_dir, ("day",)), lines(spark, sf_dir))))
 
 
 @query(f"{PSI_SQL} select feature, round(psi, 6) as psi from psi")
@@ -155,12 +178,12 @@ ranked as (select feature, y, rank() over (partition by feature order by value)
 sums as (select feature, sum(r) filter (where y = 1) as s, sum(y) as p, sum(1 - y) as q from ranked group by feature)
 select feature, round(abs(2 * (s - p * (p + 1) / 2.0) / (p * q) - 1), 6) as gini from sums""")
 def feature_gini(spark, sf_dir):
-    return signals.gini(line_values(spark, sf_dir)).select("feature", _r("gini"))
+    return signals.gini(_hist(spark, sf_dir)).select("feature", _r("gini"))
 
 
 @query(f"with {LINE_SQL} select feature, round(avg((value is not null)::int), 6) as coverage from values_ group by feature")
 def coverage(spark, sf_dir):
-    return signals.missing_stats(line_values(spark, sf_dir)).select("feature", F.round(1 - F.col("missing_rate"), 6).alias("coverage"))
+    return signals.missing_stats(_hist(spark, sf_dir)).select("feature", F.round(1 - F.col("missing_rate"), 6).alias("coverage"))
 
 
 PROFILE = "count(*) as n, round(avg((value is null)::int), 6) as missing_rate, round(avg(value), 4) as mean, round(median(value), 4) as median, round(quantile_cont(value, 0.1), 4) as p10, round(quantile_cont(value, 0.9), 4) as p90"
@@ -168,7 +191,7 @@ PROFILE = "count(*) as n, round(avg((value is null)::int), 6) as missing_rate, r
 
 @query(f"with {LINE_SQL} select feature, {PROFILE} from values_ group by feature")
 def column_profile(spark, sf_dir):
-    return signals.profile(line_values(spark, sf_dir)).select("feature", "n", _r("missing_rate"), *(F.round(c, 4).alias(c) for c in ("mean", "median", "p10", "p90")))
+    return signals.profile(_hist(spark, sf_dir)).select("feature", "n", _r("missing_rate"), *(F.round(c, 4).alias(c) for c in ("mean", "median", "p10", "p90")))
 
 
 @query(f"""with {LINE_SQL}, ends as (select feature, min(value) as lo, max(value) as hi from values_ group by feature)
@@ -186,25 +209,40 @@ def cum_lift_curve(spark, sf_dir):
     return _counts(spark, sf_dir).select("feature", "bin", F.round(n / total, 6).alias("population"), F.round((pos / n) / (positives / total), 6).alias("lift"), F.round(pos / positives, 6).alias("recall"))
 
 
-@query()
+@query(f"""{EDGES_SQL.replace("greatest(50, n // 100)", "greatest(50, n * 105 // 1000)")} select feature, len(edges) as n_edges, list_sum(edges) as edge_sum from edges""".replace("list_sum(edges)", "round(list_sum(edges), 4)"))
 def merge_small_bins(spark, sf_dir):
-    values, edges = _edges(spark, sf_dir)
-    return binning.merged_edges(values, edges, share=0.105).select("feature", F.size("edges").alias("n_edges"), "edges")
+    """Edges after bins under 10.5 per cent of the rows have been merged."""
+    hist = _hist(spark, sf_dir)
+    least = F.greatest(F.lit(50), F.floor(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))) * 105 / 1000))
+    plain = binning.equal_frequency_edges(hist, least=0)
+    merged = [binning.merged_edges(hist.where(F.col("feature") == r["feature"]), plain.where(F.col("feature") == r["feature"]), r["least"]) for r in hist.groupBy("feature").agg(least.cast("int").alias("least")).collect()]
+    return reduce(DataFrame.unionByName, merged).select("feature", F.size("edges").alias("n_edges"), F.round(F.aggregate("edges", F.lit(0.0), lambda a, e: a + e), 4).alias("edge_sum"))
 
 
 @query()
 def bin_edges_tree(spark, sf_dir):
-    return binning.tree_edges(line_values(spark, sf_dir))
+    return binning.tree_edges(_hist(spark, sf_dir))
 
 
-@query()
+_GINI_SQL = """med as (select feature, median(value) as m from values_ group by feature), filled as (select feature, coalesce(value, m) as value, y from values_ join med using (feature)),
+granks as (select feature, y, rank() over (partition by feature order by value) + (count(*) over (partition by feature, value) - 1) / 2.0 as r from filled),
+gsums as (select feature, sum(r) filter (where y = 1) as s, sum(y) as p, sum(1 - y) as q from granks group by feature)"""
+_after = lambda sql, name: sql[sql.index(f"\n{name} as ("):]
+
+
+@query(f"""{WOE_SQL}, {_after(LIFT_SQL, "ranked").strip()}, {_GINI_SQL}, {PSI_SIDES}, {PSI_SQL[PSI_SQL.index("sided as ("):]},
+steps as (select feature, woe - lag(woe) over (partition by feature order by bin) as step from woe where bin >= 0), mono as (select feature, coalesce(min(step), 0) >= -1e-6 or coalesce(max(step), 0) <= 1e-6 as monotonic from steps group by feature),
+ivs as (select feature, sum(gap * woe) as iv, count(*) filter (where bin >= 0) as n_bins from woe group by feature),
+miss as (select feature, count(*) filter (where value is null) / count(*) as missing_rate, count(distinct value) as n_unique, count(*) as n_total from values_ group by feature)
+select feature, round(iv, 6) as iv, n_bins, monotonic, round((t.n / total) / 1, 6) * 0 + round((t.pos / t.n) / (positives / total), 6) as lift, round(top / positives, 6) as concentration, round(abs(2 * (s - p * (p + 1) / 2.0) / (p * q) - 1), 6) as gini,
+  round(missing_rate, 6) as missing_rate, n_unique, n_total, round(psi, 6) as psi from ivs join mono using (feature) join taken t using (feature) join gsums using (feature) join miss using (feature) join psi using (feature)""".replace("round((t.n / total) / 1, 6) * 0 + ", ""))
 def scan_all(spark, sf_dir):
-    """Every signal of a feature in one report; the bin counts are the common part."""
-    values = line_values(spark, sf_dir)
-    counts = binning.counted(binning.digitized(values, binning.equal_frequency_edges(values)))
+    """Every signal of a feature in one report, best value first: all but the stability are read from one histogram."""
+    hist = _hist(spark, sf_dir)
+    counts = stored(binning.counted(hist, binning.equal_frequency_edges(hist)), "scan-counts")
     woe = signals.woe_table(counts)
-    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(values), signals.missing_stats(values), _psi(spark, sf_dir)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, "feature", "full")
-    return out.fillna({"iv": 0.0, "lift": 1.0, "gini": 0.0, "concentration": 0.0, "psi": 0.0, "missing_rate": 0.0, "n_unique": 0})
+    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(hist), signals.missing_stats(hist), _psi(spark, sf_dir)]
+    out = reduce(lambda a, b: a.join(b, "feature", "full"), parts)
+    out = out.fillna({"iv": 0.0, "lift": 1.0, "gini": 0.0, "concentration": 0.0, "psi": 0.0, "missing_rate": 0.0, "n_unique": 0})
+    rounded = ("iv", "lift", "concentration", "gini", "missing_rate", "psi")
+    return out.select(*(F.round(c, 6).alias(c) if c in rounded else c for c in out.columns)).orderBy(F.desc("iv"), "feature")

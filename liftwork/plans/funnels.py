@@ -48,9 +48,37 @@ f as (select alpha, user_id, bought, row_number() over (partition by alpha order
 lifts as (select alpha, avg(bought) / max(base) as lift from f where rank <= greatest(1, ceil(n * 0.1)) group by alpha)"""
 
 
-@query(f"{ALPHA_SQL} select alpha, round(lift, 6) as lift from lifts order by round(lift, 12) desc, abs(alpha - 0.5), alpha limit 1")
+@query(f"""{ALPHA_SQL}, best as (select alpha, round(lift, 6) as lift, 'grid' as origin from lifts order by round(lift, 12) desc, abs(alpha - 0.5), alpha limit 1),
+size as (select count(*) >= 2000 and sum(bought) >= 20 as enough from users)
+select case when enough then alpha else 0.5 end::double as alpha, case when enough then lift end as lift, case when enough then origin else 'default_fallback' end as origin from best, size""")
 def fit_alpha(spark, sf_dir):
-    return fusion.best_alpha(fusion.alpha_lifts(users(spark, sf_dir), "r", "q", "bought", "user_id")).select("alpha", F.round("lift", 6).alias("lift"))
+    return fusion.fit_alpha(users(spark, sf_dir), "r", "q", "bought", "user_id").withColumn("lift", F.round("lift", 6))
+
+
+# A rare stage over a table of more than 2000 rows: open orders over 250000 that came in on the first days of a month.
+RARE_SQL = """rare as (select o_orderkey, (o_totalprice > 250000 and o_orderstatus = 'O' and extract(day from o_orderdate) <= 9)::int as hit, (o_totalprice % 1000 + 1) / 1001.0 as r, ((o_orderkey * 53) % 97 + 1 + 40 * (o_totalprice > 200000)::int) / 138.0 as q from orders),
+grid as (select round(i * 0.05, 2)::double as alpha from range(21) t(i)),
+f as (select alpha, o_orderkey, hit, row_number() over (partition by alpha order by round(pow(r, alpha) * pow(q, 1 - alpha), 12) desc, o_orderkey) as rank, count(*) over (partition by alpha) as n, avg(hit) over (partition by alpha) as base from rare, grid),
+lifts as (select alpha, coalesce(avg(hit) / nullif(max(base), 0), 0) as lift from f where rank <= greatest(1, ceil(n * 0.1)) group by alpha)"""
+
+
+def rare(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast("double")
+    hit = ((price > 250000) & (F.col("o_orderstatus") == "O") & (F.dayofmonth("o_orderdate") <= 9)).cast("int")
+    return o.select("o_orderkey", hit.alias("hit"), ((price % 1000 + 1) / 1001.0).alias("r"), ((F.col("o_orderkey") * 53 % 97 + 1 + 40 * (price > 200000).cast("int")) / 138.0).alias("q"))
+
+
+@query(f"with {RARE_SQL} select alpha, round(lift, 6) as lift from lifts")
+def alpha_grid(spark, sf_dir):
+    """The lift of every alpha for a rare stage."""
+    return fusion.alpha_lifts(rare(spark, sf_dir), "r", "q", "hit", "o_orderkey").withColumn("lift", F.round("lift", 6))
+
+
+@query(f"""with {RARE_SQL}, best as (select alpha, round(lift, 6) as lift from lifts order by round(lift, 12) desc, abs(alpha - 0.5), alpha limit 1), size as (select count(*) >= 2000 and sum(hit) >= 20 as enough from rare)
+select case when enough then alpha else 0.5 end::double as alpha, case when enough then lift end as lift, case when enough then 'grid' else 'default_fallback' end as origin from best, size""")
+def fit_alpha_rare(spark, sf_dir):
+    return fusion.fit_alpha(rare(spark, sf_dir), "r", "q", "hit", "o_orderkey").withColumn("lift", F.round("lift", 6))
 
 
 @query(f"""with {USER_SQL}, c as (select count(*) as s0, count(*) filter (where viewed > 0) as s1, count(*) filter (where viewed > 0 and clicked > 0) as s2, count(*) filter (where viewed > 0 and clicked > 0 and signed > 0) as s3, count(*) filter (where viewed > 0 and clicked > 0 and signed > 0 and bought > 0) as s4 from users)
@@ -63,19 +91,24 @@ def funnel_conversion(spark, sf_dir):
 PLACED = f"with {USER_SQL}, scored as (select *, round(pow(r, 0.35) * pow(q, 0.65), 12) as score from users), placed as (select *, row_number() over (order by score desc, user_id) as rank, count(*) over () as n from scored)"
 
 
-def _funnel_sql() -> str:
+def _funnel_sql(k: str = "0.1", value: str | None = None) -> str:
     parts, before = [], "true"
+    top = f"rank <= ceil(n * {k})"
+    row = lambda stage, view, x, given: (
+        f"select '{stage}' as stage, '{view}' as view, count(*) filter (where {top} and {given}) as n_top, count(*) filter (where {top} and {given} and {x} > 0) as pos_top, round(avg({x}) filter (where {top} and {given}), 6) as top, "
+        f"round(avg({x}) filter (where {given}), 6) as population, round(avg({x}) filter (where {top} and {given}) / nullif(avg({x}) filter (where {given}), 0), 6) as lift from placed"
+    )
     for s in STAGES:
-        for view, given in (("absolute", "true"), ("conditional", before)):
-            top, all_ = f"avg({s}) filter (where rank <= ceil(n * 0.1) and {given})", f"avg({s}) filter (where {given})"
-            parts.append(f"select '{s}' as stage, '{view}' as view, round({top}, 6) as top, round({all_}, 6) as population, round({top} / nullif({all_}, 0), 6) as lift from placed")
+        parts += [row(s, "absolute", s, "true"), row(s, "conditional", s, before)]
         before += f" and {s} > 0"
+    if value:
+        parts.append(row("value_capture", "absolute", f"coalesce({value}, 0)", "true"))
     return f"{PLACED} {' union all '.join(parts)}"
 
 
-@query(_funnel_sql())
+@query(_funnel_sql(value="worth"))
 def funnel_lift(spark, sf_dir):
-    return fusion.funnel_lift(fused_users(spark, sf_dir), STAGES, ["user_id"]).withColumns({c: F.round(c, 6) for c in ("top", "population", "lift")})
+    return fusion.funnel_lift(fused_users(spark, sf_dir), STAGES, ["user_id"], value="worth").withColumns({c: F.round(c, 6) for c in ("top", "population", "lift")})
 
 
 SHARES = [0.01, 0.05, 0.1, 0.2, 0.3, 0.5]
@@ -96,7 +129,7 @@ def value_capture_curve(spark, sf_dir):
     return fusion.share_curve(fused_users(spark, sf_dir), "worth", ["user_id"], SHARES).withColumns({c: F.round(c, 6) for c in ("top", "population", "lift")})
 
 
-@query(_funnel_sql().replace("ceil(n * 0.1)", "ceil(n * 0.2)"))
+@query(_funnel_sql("0.2"))
 def launch_review(spark, sf_dir):
     """Stage lifts of a launched ranking, its mixture frozen."""
     return fusion.funnel_lift(fused_users(spark, sf_dir, 0.35), STAGES, ["user_id"], 0.2).withColumns({c: F.round(c, 6) for c in ("top", "population", "lift")})

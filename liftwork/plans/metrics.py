@@ -78,13 +78,22 @@ def binned_lift(spark, sf_dir):
     return _r(ranking.binned_lift(orders(spark, sf_dir), TIES), ["rate", "population", "lift", "recall", "precision"])
 
 
-@query(f"""{CUTS_SQL}, s as (select *, case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split from ord, cuts),
+@query(f"""{CUTS_SQL}, s0 as (select *, case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split, o_orderkey % 11 = 0 as all_missing from ord, cuts),
+s1 as (select *, row_number() over (partition by split order by day, o_orderkey) as r, count(*) over (partition by split) as n from s0),
+s2 as (select *, split = 'valid' and r > n - round_even(n * 0.5, 0) as later from s1), enough as (select count(*) >= 200 and sum(y) >= 10 and sum(y) < count(*) as enough from s2 where later),
+s as (select o_orderkey, y, score, case when later and enough then 'valid_calib' else split end as split from s2, enough union all select o_orderkey, y, score, 'oot_excl_all_na' from s2 where split = 'oot' and not all_missing),
 ties as (select split, score, count(*) as n, sum(y) as pos from s group by all),
-t as (select *, sum(n) over o as cn, sum(pos) over o as cp, sum(n) over w as total, sum(pos) over w as positives from ties window w as (partition by split), o as (partition by split order by score desc))
-select split, max(total) as n, round(max(positives) / max(total), 6) as base_rate, round(sum(pos * ((total - positives) - (cn - cp)) + pos * (n - pos) / 2) / max(positives * (total - positives)), 6) as roc_auc,
-round(sum(pos * cp / cn) / max(positives), 6) as pr_auc, round(max(abs(cp / positives - (cn - cp) / (total - positives))), 6) as ks from t group by split""")
+t as (select *, sum(n) over o as cn, sum(pos) over o as cp, sum(n) over w as total, sum(pos) over w as positives from ties window w as (partition by split), o as (partition by split order by score desc)),
+curves as (select split, max(total) as n, max(positives) / max(total) as base_rate, sum(pos * ((total - positives) - (cn - cp)) + pos * (n - pos) / 2) / max(positives * (total - positives)) as roc_auc,
+sum(pos * cp / cn) / max(positives) as pr_auc, max(abs(cp / positives - (cn - cp) / (total - positives))) as ks from t group by split),
+placed as (select split, y, row_number() over (partition by split order by score desc, o_orderkey) <= greatest(1, ceil(count(*) over (partition by split) * 0.1)) as top from s),
+tops as (select split, avg(y) filter (where top) as precision_at_k, sum(y) filter (where top) / sum(y) as recall_at_k, avg(y) filter (where top) / avg(y) as lift_at_k from placed group by split)
+select split, n, round(base_rate, 6) as base_rate, round(roc_auc, 6) as roc_auc, round(pr_auc, 6) as pr_auc, round(ks, 6) as ks, round(precision_at_k, 6) as precision_at_k, round(recall_at_k, 6) as recall_at_k, round(lift_at_k, 6) as lift_at_k from curves join tops using (split)""")
 def metrics_by_split(spark, sf_dir):
-    return _r(ranking.curve_metrics(splitting.split_by_day(orders(spark, sf_dir)), ["split"]), ["base_rate", "roc_auc", "pr_auc", "ks"])
+    """All metrics of every split, the calibration half of valid and the rows of oot that are not empty."""
+    s = splitting.calibration_carve(splitting.split_by_day(orders(spark, sf_dir)), ["day", "o_orderkey"])
+    s = s.select("o_orderkey", "y", "score", "split", "calibration", (F.col("o_orderkey") % 11 == 0).alias("all_missing"))
+    return _r(ranking.evaluated(ranking.with_companions(s), TIES), ["base_rate", "roc_auc", "pr_auc", "ks", "precision_at_k", "recall_at_k", "lift_at_k"])
 
 
 @query(f"with {ORDER_SQL} select greatest(0, least(floor(score * 10), 9))::int as bin, count(*) as n, round(avg(score), 6) as mean_score, round(avg(y), 6) as rate from ord group by 1")
@@ -133,6 +142,13 @@ def score_deciles(spark, sf_dir):
 SEEDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
+@query(f"{DECILES} select seed, round(coalesce(sum(n) filter (where decile = 10), 0) / sum(n), 6) as share, round(coalesce(sum(n) filter (where decile = 10), 0) / sum(n) / 0.1, 6) as enrichment from c group by seed")
+def decile_enrichment(spark, sf_dir):
+    """How often each population reaches the top decile, against a tenth."""
+    share = F.sum(F.when(F.col("decile") == 10, F.col("n")).otherwise(0)) / F.sum("n")
+    return _deciles(spark, sf_dir).groupBy("seed").agg(F.round(share, 6).alias("share"), F.round(share / 0.1, 6).alias("enrichment"))
+
+
 @query(f"{DECILES} select decile, " + ", ".join(f"sum(n) filter (where seed = '{x}') as s{i}" for i, x in enumerate(SEEDS)) + " from c group by decile")
 def decile_pivot(spark, sf_dir):
     wide = _deciles(spark, sf_dir).groupBy("decile").pivot("seed", SEEDS).agg(F.sum("n"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftwork.operators import splitting
@@ -44,7 +47,7 @@ FEW = "day between 20000101 and 20000102"
 @query(f"""with {ORDER_SQL}, few as (select *, row_number() over (order by day nulls last, o_orderkey) as r, count(*) over () as n from ord where {FEW})
 select o_orderkey, case when r <= round_even(n * 0.7, 0) then 'train' when r <= round_even(n * 0.85, 0) then 'valid' else 'oot' end as split from few""")
 def split_time_few_days(spark, sf_dir):
-    return splitting.split_by_rank(orders(spark, sf_dir).where(FEW), "day", ["o_orderkey"]).select("o_orderkey", "split")
+    return splitting.split_rows(orders(spark, sf_dir).where(FEW), ["o_orderkey"]).select("o_orderkey", "split")
 
 
 @query(f"""with {ORDER_SQL}, placed as (select *, row_number() over (partition by y order by md5(o_orderkey || '#42'), o_orderkey) as r, count(*) over (partition by y) as n from ord)
@@ -54,15 +57,19 @@ def split_stratified(spark, sf_dir):
 
 
 @query(f"""with {ORDER_SQL}, days as (select day as d, count(*) as n from ord where day is not null group by day),
-placed as (select d, floor((sum(n) over (order by d) - n) * 5 / sum(n) over ())::int as block from days)
-select coalesce(block, 0) as block, min(day) as first_day, max(day) as last_day, count(*) as n from ord left join placed on day = d group by 1""")
+upto as (select d, sum(n) over (order by d) as c, sum(n) over () as total from days),
+cuts as (select list_sort(list(cut)) as cuts from (select i, min(d) as cut from upto, (select unnest([1, 2, 3, 4]) as i) where c >= round_even(total * i / 5, 0) group by i)),
+placed as (select day, coalesce(len(list_filter(cuts, lambda c: c < day)), 0) as block from ord, cuts)
+select block, min(day) as first_day, max(day) as last_day, count(*) as n from placed group by 1""")
 def forward_folds(spark, sf_dir):
     return splitting.forward_folds(orders(spark, sf_dir)).groupBy("block").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""{CUTS_SQL}, s as (select *, case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split from ord, cuts),
-r as (select *, row_number() over (partition by split order by day, o_orderkey) as r, count(*) over (partition by split) as n from s)
-select o_orderkey, split, split = 'valid' and r > n - round_even(n * 0.5, 0) as calibration from r""")
+r as (select *, row_number() over (partition by split order by day, o_orderkey) as r, count(*) over (partition by split) as n from s),
+c as (select *, split = 'valid' and r > n - round_even(n * 0.5, 0) as later from r),
+enough as (select count(*) >= 200 and sum(y) >= 10 and sum(y) < count(*) as enough from c where later)
+select o_orderkey, split, later and enough as calibration from c, enough""")
 def calibration_carve(spark, sf_dir):
     return splitting.calibration_carve(splitting.split_by_day(orders(spark, sf_dir)), ["day", "o_orderkey"]).select("o_orderkey", "split", "calibration")
 
@@ -76,15 +83,21 @@ def oot_tail_rank(spark, sf_dir):
 
 
 @query(f"""{CUTS_SQL}, s as (select *, case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split from ord, cuts),
-m as (select floor(quantile_cont(day, 0.5)) as mid from s where split = 'train')
-select case when split = 'train' and day <= mid then 'expected' when split = 'train' then 'actual' end as side, count(*) as n from s, m group by 1""")
+m as (select floor(quantile_cont(day, 0.5) filter (where split = 'train')) as mid, floor(quantile_cont(day, 0.5)) as mid_all from s)
+select 'train_halves' as mode, case when split = 'train' and day <= mid then 'expected' when split = 'train' then 'actual' end as side, count(*) as n from s, m group by 2
+union all select 'halves', case when day <= mid_all then 'expected' else 'actual' end, count(*) from s, m group by 2
+union all select 'train_vs_rest', case when split = 'train' then 'expected' else 'actual' end, count(*) from s group by 2""")
 def psi_partition(spark, sf_dir):
-    """Population stability within train: its earlier half against its later half."""
+    """The sides of the stability comparison in each mode."""
     s = splitting.split_by_day(orders(spark, sf_dir))
-    mid = s.where("split = 'train'").agg(F.floor(F.expr("percentile(day, 0.5)")).alias("mid"))
-    train = F.col("split") == "train"
-    side = F.when(train & (F.col("day") <= F.col("mid")), "expected").when(train, "actual")
-    return s.crossJoin(F.broadcast(mid)).groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("n"))  # one row
+    counts = [splitting.psi_sides(s, m).groupBy("side").agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("mode"), "side", "n") for m in ("train_halves", "halves", "train_vs_rest")]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(f"""with {ORDER_SQL} select o_orderkey, y from ord qualify row_number() over (partition by y order by md5(o_orderkey || '#42'), o_orderkey) <= 50""")
+def stratified_sample(spark, sf_dir):
+    """Fifty orders of each label, the same ones every time."""
+    return splitting.exact_sample(orders(spark, sf_dir), "o_orderkey", "y", 50).select("o_orderkey", "y")
 
 
 @query(f"""{CUTS_SQL} select case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split, min(day) as first_day, max(day) as last_day from ord, cuts group by 1""")

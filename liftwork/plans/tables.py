@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from liftwork.functions import cleaning
 from liftwork.operators import assembly, preparation
+from liftwork.plans.splits import CUTS_SQL
 from liftwork.sources.products import LINE_SQL, ORDER_SQL, orders, table
 
 QUERIES, SQL = {}, {}
@@ -192,3 +193,50 @@ def join_report_outer(spark, sf_dir):
     v = line_values(spark, sf_dir)
     mean, most = v.where("y = 1").groupBy("feature").agg(F.avg("value").alias("mean")), v.where("feature <> 'l_tax'").groupBy("feature").agg(F.max("value").alias("most"))
     return assembly.joined_chain([mean, most], ["feature"], "full").fillna({"mean": 0.0, "most": 0.0}).withColumn("mean", F.round("mean", 4))
+
+
+@query("select o_orderkey, coalesce((o_custkey % 6 - 1 in (1, 2, 3))::int, 0) as y from orders")
+def binary_outcome(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", cleaning.binary_outcome((F.col("o_custkey") % 6 - 1).cast("string")).alias("y"))
+
+
+@query("""select o_custkey, count(*) as n, round(avg(case when o_orderkey % 13 <> 0 then o_totalprice end), 4) as price_mean, round(max(date_diff('day', o_orderdate::date, date '1998-12-31') / 30.0), 4) as months
+from orders group by o_custkey""")
+def entity_builder(spark, sf_dir):
+    """One row a customer from its orders: a price that stands for none is left out, dates become months."""
+    o = table(spark, sf_dir, "orders")
+    price = cleaning.recoded(F.when(F.col("o_orderkey") % 13 == 0, 365243.0).otherwise(F.col("o_totalprice").cast("double")), 365243.0)
+    months = F.datediff(F.lit("1998-12-31").cast("date"), F.col("o_orderdate").cast("date")) / 30.0
+    sums = o.select("o_custkey", price.alias("p"), months.alias("m")).groupBy("o_custkey")
+    return sums.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 4).alias("price_mean"), F.round(F.max("m"), 4).alias("months"))
+
+
+DATASET_SQL = f"""{CUTS_SQL.replace("from orders)", "from orders where o_custkey % 100 <> 7)")},
+feats as (select o_orderkey, y, case when day is null then 'oot' when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split,
+  case when o_orderkey % 5 = 0 then null else o_totalprice::double end as price, case when o_orderkey % 6 = 0 then null else (o_custkey % 50)::double end as cust, case when o_custkey % 2 = 0 then 2.0 else 1.0 end::double as weight from ord, cuts),
+there as (select * from feats where split = 'oot' or price is not null or cust is not null),
+fills as (select median(price) as p, avg(cust) as c from there where split = 'train')
+select o_orderkey, y, split, weight, round(coalesce(price, p)::float, 1) as price, round(coalesce(cust, c)::float, 3) as cust, (price is null)::int as price__isnan, (cust is null)::int as cust__isnan from there, fills"""
+
+
+@query(DATASET_SQL)
+def build_dataset(spark, sf_dir):
+    """Orders as a table to learn from."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    o = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "y", "day", F.when(key % 5 != 0, F.col("o_totalprice").cast("double")).alias("price"), F.when(key % 6 != 0, (cust % 50).cast("double")).alias("cust"), (cust % 100).alias("group"))
+    out = preparation.build_dataset(o, {"price": "median", "cust": "mean"}, ["o_orderkey"], {"group": [7]}, weight=cleaning.weight(F.col("o_custkey") % 2, {0: 2.0}))
+    return out.select("o_orderkey", "y", "split", "weight", F.round("price", 1).alias("price"), F.round("cust", 3).alias("cust"), *(F.col(c).cast("int").alias(c) for c in ("price__isnan", "cust__isnan")))
+
+
+@query("""with iv as (select p_brand as feature, avg(p_size) as iv from part where p_size > 5 group by 1), psi as (select p_brand as feature, avg(p_partkey % 11) as psi from part where p_size < 40 group by 1),
+lift as (select p_brand as feature, max(p_size) as lift from part where p_partkey % 3 = 0 group by 1), miss as (select p_brand as feature, count(distinct p_size) as n_unique from part where p_partkey % 5 < 3 group by 1)
+select feature, round(coalesce(iv, 0), 6) as iv, round(coalesce(psi, 0), 6) as psi, coalesce(lift, 1)::double as lift, coalesce(n_unique, 0) as n_unique, regexp_replace(feature, '#.*', '') as family
+from iv full join psi using (feature) full join lift using (feature) full join miss using (feature)""")
+def ranked_report(spark, sf_dir):
+    """The reports of all signals joined by feature, families joined to them, with defaults for what is lacking."""
+    p = table(spark, sf_dir, "part").withColumnRenamed("p_brand", "feature")
+    by = lambda where, agg: p.where(where).groupBy("feature").agg(agg)
+    parts = [by("p_size > 5", F.avg("p_size").alias("iv")), by("p_size < 40", F.avg(F.col("p_partkey") % 11).alias("psi")), by("p_partkey % 3 = 0", F.max("p_size").cast("double").alias("lift")), by("p_partkey % 5 < 3", F.count_distinct("p_size").alias("n_unique"))]
+    families = p.select("feature", F.regexp_replace("feature", "#.*", "").alias("family")).distinct()
+    out = assembly.joined_chain(parts, ["feature"], "full").join(families, "feature", "left").fillna({"iv": 0.0, "psi": 0.0, "lift": 1.0, "n_unique": 0})
+    return out.withColumns({"iv": F.round("iv", 6), "psi": F.round("psi", 6)})
