@@ -9,6 +9,8 @@ from liftwork.llm import staging
 
 #: Rows of a key beyond which they are dealt over SALTS tasks where they are joined.
 HOT, SALTS = 512, 64
+#: Tasks that the nodes with one label are dealt over.
+FEW = 16
 _BUCKETS = 1 << 16
 
 
@@ -61,10 +63,10 @@ def connected(edges: DataFrame) -> DataFrame:
         near = both.join(there, ["b", "salt"]).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node", "left").select("node", F.least("component", F.coalesce("near", "component")).alias("label"), F.col("component").alias("before"))
         lower = staging.stored(lower, "cc-lower")
-        # a label that many nodes have is spread as well
-        sizes = Spread(lower.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label", "n")
-        jump = sizes.copied(lower.select(F.col("node").alias("label"), F.col("label").alias("further")), "label")
-        after = sizes.dealt(lower, "label", F.col("node")).join(jump, ["label", "salt"], "left")
+        # many nodes may have one label: only nodes that are labels are copied for them
+        heads = lower.join(lower.select(F.col("label").alias("node")).distinct(), "node", "left_semi")
+        jump = shares(heads.select(F.col("node").alias("label"), F.col("label").alias("further"), F.lit(FEW).alias("spread"))).drop("spread")
+        after = lower.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(FEW)).cast("int")).join(jump, ["label", "salt"], "left")
         after = staging.stored(after.select("node", F.least("label", F.coalesce("further", "label")).alias("component"), "before"), "cc-labels")
         done = after.where("component != before").isEmpty()
         staging.drop(lower)

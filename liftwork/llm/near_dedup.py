@@ -11,7 +11,7 @@ A node of over ``DENSE`` classes most of which resemble its first member is dens
 ``MANY`` candidate pairs a member: its number of links can be the square of its size. Only links that
 join two components are looked for in it. Its members are dealt to chunks of about ``CHUNK``, each
 together with a few representatives of the node, and every pair of a chunk that is not in one component
-yet is compared. The members that are then in the node's largest component are done with each other; the
+yet is compared. The members that are then joined to the most frequent representative are done with each other; the
 rest is compared with all members, in blocks. So every pair of members ends in one component or has been
 compared, and the work is the square of the node's size only where the node falls apart. Components of
 all links follow.
@@ -319,7 +319,10 @@ _LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of members of dense nodes (path, id, size, salt, spread) with one of their component in a chunk, which holds the node's representatives too."""
+    """(path, a, b): links of members b of dense nodes (path, id, size, salt, spread) with a member a of their component in a chunk.
+
+    Every chunk holds the node's representatives too; ``a`` is the first of them if one is in the component.
+    """
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     least = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id"))["id"].alias(f"r{k}") for k in range(FIRST)]
     chosen = members.groupBy("path", "size").agg(*least).select("path", F.explode(F.array_distinct(F.array(*(f"r{k}" for k in range(FIRST))))).alias("id"), chunks.alias("chunks"))
@@ -330,25 +333,27 @@ def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for _, rows in grouped(batches, 2):
+            for (path, _), rows in grouped(batches, 2):
                 ids = np.array([r[2] for r in rows])
-                yield from _star(ids, spanning(ids, [np.frombuffer(r[4], np.uint64) for r in rows], percent), np.array([r[3] for r in rows]))
+                for a, b in _star(ids, spanning(ids, [np.frombuffer(r[4], np.uint64) for r in rows], percent), np.array([r[3] for r in rows])):
+                    yield path, a, b
 
-        yield from batched(found(), _LINK_SCHEMA)
+        yield from batched(found(), pa.schema([("path", pa.int64()), *_LINK_SCHEMA]))
 
-    return whole.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "id").mapInArrow(run, _LINKS)
+    return whole.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "id").mapInArrow(run, "path long, " + _LINKS)
 
 
-def _rest_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
-    """Links of components that the members of dense nodes outside the node's largest component join, compared with all others of the node.
+def _rest_links(members: DataFrame, sets: DataFrame, chunked: DataFrame, percent: int) -> DataFrame | None:
+    """Links that members of dense nodes have with others of their node, if they are not joined to its most frequent representative.
 
-    Only nodes of several chunks are looked at. None without such members.
+    ``chunked``: the links of chunks. Only nodes of several chunks are looked at. None without such members.
     """
     large = members.where(F.col("size") > CHUNK)  # one chunk holds all others
     if large.isEmpty():
         return None
-    told = large.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    told = staging.stored(told, "near-told")
+    heads = chunked.groupBy("path", F.col("b").alias("id")).agg(F.min("a").alias("component"))
+    told = large.join(heads, ["path", "id"], "left").withColumn("component", F.coalesce("component", "id"))
+    told = staging.stored(told.select("path", "id", "size", "salt", "spread", "component"), "near-told")
     counts = told.groupBy("path", "spread", "component").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("path", "spread").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
     marked = told.join(shares(main).drop("spread"), ["path", "salt"]).withColumn("asks", F.col("component") != F.col("main"))
@@ -426,11 +431,10 @@ def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
     pairs, members = _candidates(classes, percent)
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
     sets = staging.stored(sets_of(docs, classes.join(needed, "id", "left_semi").select("id", "first", "h1", "h2"), width), "near-sets")
-    links = staging.stored(confirmed(pairs, sets, percent).unionByName(_chunk_links(members, sets, percent)).distinct(), "near-links")
-    components = connected(links)
-    rest = _rest_links(members, sets, components, percent)
-    if rest is not None:
-        components = connected(components.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(rest).distinct())
+    chunked = staging.stored(_chunk_links(members, sets, percent), "near-chunks")
+    links = confirmed(pairs, sets, percent).unionByName(chunked.select("a", "b"))
+    rest = _rest_links(members, sets, chunked, percent)
+    components = connected((links if rest is None else links.unionByName(rest)).distinct())
     return _labelled(table, classes, components)
 
 

@@ -2,29 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from liftwork.sources.intermediate import shared_dir, stored
 
-def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder where none is set and all work is done on this machine (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="liftwork-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back, cutting the lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/liftwork/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "drop", "release", "shared_dir", "stored", "unused"]
 
 
 def drop(*tables: DataFrame) -> None:
