@@ -348,20 +348,81 @@ def test_plans_use_exact_complements():
     assert sum(t for lengths, t in plan if sum(lengths) == 1024) >= 5
 
 
+LONG = "lorem ipsum dolor " * 20_000
+ODD = [(None, None, None, None, None), (None, "a b c", "en", None, 5), (4, None, None, "web", None), (5, "a b c", "en", "web", 5), (5, "a b c", "en", "web", 5), (6, LONG, None, None, 0), (6, "x", "de", "web", 1)]
 OPERATORS = {
     "near": lambda d: near_dedup.linked(d),
     "suffix": lambda d: suffix_dedup.without_repeats(d),
     "quality": lambda d: quality_rules.judge(d),
+    "passing": lambda d: quality_rules.passing(d),
     "secrets": lambda d: secret_ledger.located(d, secret_ledger.scan(d)),
     "packing": lambda d: packing.pack(d),
 }
 
 
 @pytest.mark.parametrize("name", OPERATORS)
-def test_odd_rows(spark, name):
-    long = "lorem ipsum dolor " * 20_000
-    rows = [(None, None, None, None, None), (None, "a b c", "en", None, 5), (4, None, None, "web", None), (5, "a b c", "en", "web", 5), (5, "a b c", "en", "web", 5), (6, long, None, None, 0), (6, "x", "de", "web", 1)]
-    assert OPERATORS[name](spark.createDataFrame(rows[:0], DOCUMENTS)).count() == 0
-    out = OPERATORS[name](spark.createDataFrame(rows, DOCUMENTS)).collect()
-    assert {r.doc_id for r in out} == {None, 4, 5, 6}
-    assert len(out) == len(rows) or name == "packing"
+def test_empty_tables(spark, name):
+    assert OPERATORS[name](spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+def odd(spark, name: str, *columns: str) -> list[tuple]:
+    return sorted((tuple(r[c] for c in columns) for r in OPERATORS[name](frame(spark, ODD)).collect()), key=repr)
+
+
+def test_odd_rows_near(spark):
+    want = [(None, 0, None, True), (None, 2, None, True), (4, 0, 4, True), (5, 2, 5, True), (5, 2, 5, True), (6, 3, 6, True), (6, 1, 6, True)]
+    assert odd(spark, "near", "doc_id", "n_shingles", "component_id", "kept") == sorted(want, key=repr)
+
+
+def test_odd_rows_suffix(spark):
+    n = len(LONG)
+    want = [(None, 0, 0, 0), (None, 5, 0, 0), (4, 0, 0, 0), (5, 5, 0, 0), (5, 5, 0, 0), (6, n, n - 18, 1), (6, 1, 0, 0)]
+    assert odd(spark, "suffix", "doc_id", "n_bytes", "n_removed", "n_spans") == sorted(want, key=repr)
+
+
+def test_odd_rows_quality(spark):
+    want = [(i, *signals(t)[:1], signals(t)[4], True, False) for i, t, *_ in ODD]
+    assert odd(spark, "quality", "doc_id", "n_words", "n_repeat_words", "base_failed", "kept") == sorted(want, key=repr)
+    assert odd(spark, "passing", "doc_id") == []
+
+
+def test_odd_rows_secrets(spark):
+    rows = [(1, "token: abcdef0123", None, None, 0), (1, "token: abcdef0123", None, None, 0), (None, "token: abcdef0123", None, None, 0), (2, None, None, None, 0)]
+    found = secret_ledger.located(frame(spark, rows), secret_ledger.scan(frame(spark, rows))).collect()
+    assert sorted(((r.doc_id, [(s.kind, s.start, s.end) for s in r.spans]) for r in found), key=repr) == sorted([(1, [("assign", 0, 17)])] * 2 + [(None, [("assign", 0, 17)]), (2, [])], key=repr)
+
+
+def test_odd_rows_packing(spark, reader):
+    got = Counter()
+    for doc, start, length in odd(spark, "packing", "doc_id", "start", "length"):
+        got[doc] += length
+    want = Counter()
+    for i, text, *_ in ODD:
+        want[i] += len(reader.encode(text or "", add_special_tokens=False).ids) + 1
+    assert got == want
+
+
+def test_anchors_of_long_texts_by_slices(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE", 300)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.without_repeats(docs).collect()}
+    assert got == removed(rows)
+
+
+def test_frequent_contexts_in_two_rounds(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    shared = " ".join(word() for _ in range(30))
+    rows = [(i, f"{word() * (i % 3)} {shared} {word()}", None, None, 0) for i in range(200)]
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, DOCUMENTS).repartition(6)).collect()
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(bytes(x.kept)).hexdigest()) for x in found}
+    assert got == removed(rows)
+
+
+def test_ledger_in_a_folder(spark, docs, tmp_path):
+    folder = f"file://{tmp_path}/ledger"
+    first = secret_ledger.update(docs, folder).count()
+    assert secret_ledger.update(docs, folder).count() == first  # nothing is scanned again
+    new = spark.createDataFrame([(1, "token: abcdefgh", None, None, 0)], DOCUMENTS)
+    assert secret_ledger.update(new, folder).count() == first + 1
+    assert secret_ledger.update(new, folder, version="2").count() == first + 2

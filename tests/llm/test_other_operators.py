@@ -13,7 +13,7 @@ import pytest
 from compare import differences
 from llm.fixtures import DOCUMENTS, corpus, frame
 
-from liftwork.llm import ann_scan, chat_format, language_id, license_scan, queries, sentencepiece_unigram
+from liftwork.llm import ann_scan, chat_format, language_id, license_scan, quality_rules, queries, sentencepiece_unigram
 
 SMALL, TINY = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 
@@ -44,6 +44,46 @@ def test_codewords_differ(n):
     assert len({tuple(c) for c in code}) == n
 
 
+def test_language_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog", "en", 1, 2, "x"), (1, "the cat and the dog", "en", 1, 2, "x"), (2, "der Hund und die Katze", "de", 1, 2, "y")], "doc_id long, text string, lang string, _body int, _letters int, score string")
+    got = language_id.predict(docs, language_id.learn(docs)).collect()
+    assert sorted((r.doc_id, r.lang_pred, r["_body"], r["_letters"]) for r in got) == [(1, "en", 1, 2), (1, "en", 1, 2), (2, "de", 1, 2)]
+
+
+def test_language_grams_and_decoding_by_hand():
+    fold = lambda t: " ".join("".join(chr(b) if b >= 128 or chr(b).isalpha() else " " for b in t.encode()).lower().split(" ")) if t else ""
+    texts = ["Ab, ab! x", "é é", "", "a1b22c"]
+    ends, orders = language_id.grams(pa.array(texts))
+    for row, text in enumerate(texts):
+        folded = bytearray()
+        for b in text.encode():
+            c = b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32
+            if not (c == 32 and folded and folded[-1] == 32):
+                folded.append(c)
+        assert ends[row + 1] - ends[row] == len(folded)
+        for k, found in zip(language_id.ORDERS, orders, strict=True):
+            mine = found[ends[row] : ends[row + 1]]
+            whole = [bytes(folded[i : i + k]) for i in range(len(folded) - k + 1)]
+            assert (mine < language_id.BUCKETS).sum() == len(whole)
+            of = {}
+            assert all(of.setdefault(g, b) == b for g, b in zip(whole, mine.tolist(), strict=False))
+    counts = {x: np.zeros(language_id.BUCKETS, np.int64) for x in ("p", "q", "r")}
+    for i, x in enumerate(counts):
+        counts[x][i * 10 : i * 10 + 10] = 100
+    model = language_id.Model(counts)
+    margins = np.stack([model.weights[[i * 10, i * 10 + 3]].sum(axis=0) for i in range(3)])
+    best, score, ambiguous = model.decode(margins, np.full(3, 2))
+    sign = np.where(model.code > 0, 1.0, -1.0)
+    for row in range(3):  # the loss of every codeword, one by one
+        loss = [sum(w * math.log1p(math.exp(-3 * s * m / 2 / c)) for w, s, m, c in zip(model.trust, sign[j], margins[row], model.scale, strict=True)) for j in range(3)]
+        assert best[row] == int(np.argmin(loss)) == row
+        near = np.exp(-6 * np.array(loss))
+        assert math.isclose(score[row], near.max() / near.sum(), rel_tol=1e-6)
+    assert not ambiguous.any()
+    _, _, torn = model.decode(margins[:2].mean(axis=0)[None], np.array([2]))
+    assert torn.all()
+
+
 def vectors(n: int = 1500) -> list[tuple]:
     r = np.random.default_rng(5)
     centres = r.standard_normal((20, 24))
@@ -137,6 +177,18 @@ def test_long_conversations_in_parts(spark, monkeypatch):
     assert chat_format.formatted(turns.limit(0)).count() == 0
 
 
+def test_turns_without_numbers(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PART", 8)
+    rows = [(1, None, "user", "same", 7)] * 100 + [(1, 5, "assistant", f"t{k % 9}", 7) for k in range(60)] + [(None, None, None, None, 7)] * 30
+    parts = chat_format.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part int").repartition(5)).collect()
+    assert max(p.n_turns for p in parts) <= 8
+    assert sum(p.n_turns for p in parts if p.conv_id == 1) == 160 and sum(p.n_turns for p in parts if p.conv_id is None) == 30
+    text = "".join(p.rendered for p in sorted((p for p in parts if p.conv_id == 1), key=lambda p: p.part))
+    # every turn but the first of a role is merged: the cheapest repair
+    assert text == "<|user|>\n" + "\n".join(["same"] * 100) + "<|end|>\n<|assistant|>\n" + "\n".join(sorted(f"t{k % 9}" for k in range(60)))
+    assert sum(p.cost for p in parts if p.conv_id == 1) == 99 + 59
+
+
 def turns_cost(parts) -> list[tuple]:
     convs = {p.conv_id for p in parts}
     return [(c, sum(p.cost for p in parts if p.conv_id == c), sum(p.n_turns for p in parts if p.conv_id == c)) for c in convs]
@@ -218,6 +270,21 @@ def test_unigram_round_trip(spark):
     assert all(r.decoded == r.text and (r.ids is None) == (r.text is None) for r in out)
 
 
+def test_long_texts_without_blanks(spark):
+    r = random.Random(7)
+    base64 = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(200_000))
+    texts = [base64, "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(100_000)), "a" * 50_000]
+    model = sentencepiece_unigram.Unigram.load(sentencepiece_unigram.VOCABULARY)
+    ids = model.encode(pa.array(texts))
+    assert model.decode(ids).to_pylist() == texts
+    part = model.encode(pa.array([base64[:300]])).to_pylist()[0]
+    assert part[:40] == ids.to_pylist()[0][:40]  # a cut changes nothing far from it
+
+
+def test_quality_equals_its_sql(spark):
+    assert differences(spark, SMALL, quality_rules.op6_quality_rules, quality_rules.ORACLE_SQL) == ""
+
+
 def test_every_operator_has_a_query(spark):
     found = queries.queries()
     assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 11))

@@ -83,3 +83,30 @@ def test_columns_and_counts(stages):
 def test_run_returns_the_last_stage(spark, folder, stages):
     digest = lambda rows: hashlib.sha256(repr(sorted((r.doc_id, r.piece, r.ids_crc32) for r in rows)).encode()).hexdigest()
     assert digest(corpus_pipeline.run(spark, folder).collect()) == digest(stages[-1][2])
+
+
+ODD = [(None, None, None, None, None), (None, "a b c", "en", None, 5), (5, "a b c", "en", "web", 5), (5, "a b c", "en", "web", 5)]
+
+
+def test_odd_rows_by_stage(spark, folder):
+    """Repeated ids with other texts, equal rows, nulls, empty texts, columns with clashing names."""
+    words = [" ".join(f"{c}{k}" for k in range(90)) for c in "abc"]
+    rows = [(7, words[0], "en", "web", 0), (7, words[1], "en", "web", 0), (8, words[0] + " z", "en", "web", 0), (9, words[1] + " z", "en", "web", 0), (9, "short", "en", "web", 5), (10, words[2], "en", "web", 0), (10, words[2], "en", "web", 0), (None, words[2], None, None, None), *ODD]
+    docs = spark.createDataFrame(rows, DOCUMENTS).selectExpr("*", "'x' as kept", "1 as n_words", "2 as component_id", "3 as spans", "4 as _id", "5 as _hash", "6 as _text")
+    quality, near, passages, secrets, packing = (f for _, f in corpus_pipeline.STAGES)
+    texts = lambda d: sorted(((r.doc_id, r.text) for r in d.collect()), key=repr)
+    kept = quality(spark, docs, folder)
+    long = sorted(((r[0], r[1]) for r in rows if r[1] and len(r[1]) > 100), key=repr)
+    assert texts(kept) == long  # of rows with one id, those that pass
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    want = [(7, words[0]), (7, words[1]), (10, words[2]), (10, words[2]), (None, words[2])]
+    assert texts(near(spark, kept, folder)) == sorted(want, key=repr)
+    assert texts(near(spark, docs, folder)) == sorted([*want, (9, "short"), *((r[0], r[1]) for r in ODD)], key=repr)
+    cut = {(i, t) for i, t in texts(passages(spark, docs, folder))}
+    assert (None, words[2]) in cut and (10, "") in cut  # a null id stands before all others
+    assert sum(1 for _ in passages(spark, docs, folder).collect()) == len(rows)
+    assert texts(secrets(spark, docs, folder)) == texts(docs)
+    assert packing(spark, docs, folder).count() == len(rows)
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, folder).count() == 0
