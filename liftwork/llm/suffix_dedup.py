@@ -191,6 +191,8 @@ class _Contexts:
     def _rows(self, col: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16())
         values = [pa.array(col[c], t) for c, t in zip(self.names, types, strict=False)]
+        if kind != 2:  # the context is of no use any more
+            values[1] = pa.nulls(len(col["kh"]), pa.int64())
         return pa.RecordBatch.from_arrays([*values, pa.array(np.full(len(col["kh"]), kind, np.int8))], names=list(self.names))
 
 
