@@ -18,6 +18,9 @@ MODULES = {
     "op8_ann_scan": "ann_scan",
     "op9_chat_format": "chat_format",
     "op10_near_dedup": "near_dedup",
+    "op11_block_max_search": "block_max_search",
+    "op12_source_mix": "source_mix",
+    "op13_filter_audit": "filter_audit",
 }
 
 
