@@ -1,8 +1,9 @@
 """Ranked lexical search with block-max pruning.
 
-The forward index holds documents in blocks: runs of at most ``BLOCK`` documents as they are read, with the
-counts of those terms that the items ask for. Once the table's sums are known, a block gets the greatest
-impact of each of its terms. An item's bound on a block is the sum of these maxima, each times the term's
+The forward index holds documents in blocks, with the counts of those terms that the items ask for. A block is at
+most ``BLOCK`` documents of a range of about ``RANGE`` bytes as they are read; documents of a range that have most of the
+same term, and are about as long, stand together, so that a block's maxima lie close to what its documents have.
+Once the table's sums are known, a block gets the greatest impact of each of its terms. An item's bound on a block is the sum of these maxima, each times the term's
 weight; no document of the block scores higher.
 
 Blocks are sorted by bound for each item. The ``FIRST`` ones are scored, and the score at the last place asked
@@ -18,7 +19,7 @@ texts, so what is sent to all tasks is bounded whatever the number of items. Ter
 Null text has no terms; documents without terms do not count and are never found. Items without terms, or
 without a document that scores above 0, give no rows. Rows that repeat an item_id are items of their own,
 each with ranks from 1; rows that repeat a doc_id are documents of their own, null ids come last among
-equals. A text of any length is one document, and a block of its own where it is long. Other columns do not
+equals. A text of any length is one document, and a range of its own where it is long. Other columns do not
 matter, whatever their names. Empty tables give an empty result.
 """
 
@@ -40,7 +41,9 @@ from liftwork.llm.textbuf import LOWER, slices, text_bytes
 from liftwork.sources.positions import numbered
 
 #: Places of an item; documents of a block; blocks scored for a threshold; pairs of item and term of a group of items.
-TOP, BLOCK, FIRST, TERMS = 50, 128, 4, 200_000
+TOP, BLOCK, FIRST, TERMS = 50, 16, 32, 200_000
+#: Bytes of text that are a range of documents; within it blocks are made of documents that are alike.
+RANGE = 1 << 20
 #: Cells of the dense blocks that a task has in memory while it orders them; items scored in one product.
 CELLS, TOGETHER = 1 << 22, 256
 #: Constants of the contract: b in per cent, and what impacts are scaled by.
@@ -160,6 +163,16 @@ class Block:
         return self._dense
 
 
+def _like_next_to_like(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """An order of the documents with terms: by the term that each has most of, then by length, so that a block's maxima lie close."""
+    main = np.full(len(n), -1)
+    order = np.lexsort((tf, doc))
+    last = np.append(np.flatnonzero(np.diff(doc[order])), len(doc) - 1) if len(doc) else np.zeros(0, np.int64)
+    main[doc[order][last]] = term[order][last]
+    found = np.lexsort((n, main))
+    return found[n[found] > 0]
+
+
 def forward_blocks(docs: DataFrame, vocabulary: pa.Array, block: int = BLOCK) -> DataFrame:
     """The forward index of (doc_id, text), a row a block: ids and term counts n of its documents, the terms it has of the
     vocabulary, and the postings of document k from at[k] to at[k + 1], as places in terms and counts tf."""
@@ -170,24 +183,27 @@ def forward_blocks(docs: DataFrame, vocabulary: pa.Array, block: int = BLOCK) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, number = pa.array(held, pa.large_binary()), TaskContext.get().partitionId() << 32
-        for whole in slices(batches, "text"):
-            for first in range(0, whole.num_rows, block):
-                batch = whole.slice(first, block)
-                terms, row, rows = terms_of(batch.column("text"))
-                n = np.bincount(row, minlength=rows)
-                term = pc.index_in(terms, value_set=known)
-                there = np.flatnonzero(term.is_valid().to_numpy(zero_copy_only=False))
-                pairs, tf = np.unique(row[there] * size + term.to_numpy(zero_copy_only=False)[there].astype(np.int64), return_counts=True)
-                full = np.flatnonzero(n > 0)
-                if not len(full):
-                    continue
-                doc, term_of = np.searchsorted(full, pairs // size), pairs % size
-                present, place = np.unique(term_of, return_inverse=True)
-                at = np.searchsorted(doc, np.arange(len(full) + 1))
-                one = lambda values, kind: pa.ListArray.from_arrays([0, len(values)], pa.array(values, kind))
-                kept = batch.column("doc_id").take(pa.array(full))
+        one = lambda values, kind: pa.ListArray.from_arrays([0, len(values)], pa.array(values, kind))
+        for batch in slices(batches, "text", RANGE):
+            terms, row, rows = terms_of(batch.column("text"))
+            n = np.bincount(row, minlength=rows)
+            term = pc.index_in(terms, value_set=known)
+            there = np.flatnonzero(term.is_valid().to_numpy(zero_copy_only=False))
+            pairs, tf = np.unique(row[there] * size + term.to_numpy(zero_copy_only=False)[there].astype(np.int64), return_counts=True)
+            doc, term_of = pairs // size, pairs % size
+            order = _like_next_to_like(doc, term_of, tf, n)
+            place_of = np.full(rows, -1)
+            place_of[order] = np.arange(len(order))
+            sort = np.lexsort((term_of, place_of[doc]))
+            place, term_of, tf = place_of[doc][sort], term_of[sort], tf[sort]
+            for first in range(0, len(order), block):
+                some = order[first : first + block]
+                a, b = np.searchsorted(place, (first, first + len(some)))
+                present, at_term = np.unique(term_of[a:b], return_inverse=True)
+                at = np.searchsorted(place[a:b] - first, np.arange(len(some) + 1))
+                kept = batch.column("doc_id").take(pa.array(some))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), one(kept, kept.type), one(n[full], pa.int64()), *(one(v, pa.int32()) for v in (present, at, place, tf))],
+                    [pa.array([number], pa.int64()), one(kept, kept.type), one(n[some], pa.int64()), *(one(v, pa.int32()) for v in (present, at, at_term, tf[a:b]))],
                     names=["block", "ids", "n", "terms", "at", "place", "tf"],
                 )
                 number += 1
