@@ -28,7 +28,7 @@ def alpha_lifts(df: DataFrame, r: str, q: str, label: str, key: str, k: float =
     """
     cells = df.select(key, label, r, q, F.explode(F.array(*(F.lit(a) for a in GRID))).alias("alpha"))
     fused = stored(cells.select("alpha", key, label, (-F.round(fuse(F.col(r), F.col(q), F.col("alpha")), 12)).alias("value")), "fused")
-    placed = ordered(fused.groupBy("alpha", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")), ["alpha"])
+    placed = ordered(stored(fused.groupBy("alpha", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")), "fused-ties"), ["alpha"])
     size = top_size(F.col("total"), k)
     last = placed.where((F.col("before") < size) & (F.col("before") + F.col("n") >= size))
     last = last.select(F.col("alpha").alias("of"), F.col("value").alias("cut"), F.col("pos_before").alias("sure"), "total", size.alias("size"), (size - F.col("before")).alias("wanted"))  # a row an alpha

@@ -7,13 +7,16 @@ values of a feature.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwork.sources.intermediate import stored
 
-#: Range buckets a key.
-BUCKETS = 64
+#: Range buckets a key: this many at least, so many that one has about BUCKET values, this many at most.
+BUCKETS, BUCKET, MOST_BUCKETS = 64, 1_000_000, 10_000
 
 
 def histogram(values: DataFrame, label: str | None = "y", by: list[str] = ["feature"]) -> DataFrame:  # noqa: B006
@@ -25,22 +28,35 @@ def histogram(values: DataFrame, label: str | None = "y", by: list[str] = ["feat
 def ordered(hist: DataFrame, by: list[str] = ["feature"]) -> DataFrame:  # noqa: B006
     """The known values (by..., value, n, pos) with before, pos_before (rows of smaller values), total and positives.
 
-    Bounds of buckets come from approximate quantiles of the distinct values, one row a key.
+    Bounds of buckets come from approximate quantiles of the distinct values, one row a key; there are as many
+    buckets as keep one at about ``BUCKET`` values. A NULL in ``by`` is a key like others. ``hist`` is read several
+    times, so it ought to be a written table.
     """
     known = hist.where("value is not null")
-    cuts = ", ".join(str(i / BUCKETS) for i in range(1, BUCKETS))
-    bounds = stored(known.groupBy(*by).agg(F.expr(f"percentile_approx(value, array({cuts}), 1000)").alias("_bounds")), "histogram-bounds")
-    dealt = known.join(bounds, by).withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col("value")))).drop("_bounds")
+    most = known.groupBy(*by).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+    buckets = min(max(BUCKETS, -(-most // BUCKET)), MOST_BUCKETS)
+    cuts = ", ".join(str(i / buckets) for i in range(1, buckets))
+    bounds = stored(known.groupBy(*by).agg(F.expr(f"percentile_approx(value, array({cuts}), {max(1000, 4 * buckets)})").alias("_bounds")), "histogram-bounds")
+    dealt = known.join(_named(bounds, by), _same(by)).withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col("value")))).select(*by, "value", "n", "pos", "_bucket")
     sums = dealt.groupBy(*by, "_bucket").agg(F.sum("n").alias("_n"), F.sum("pos").alias("_p"))
     whole = Window.partitionBy(*by)  # a row a bucket
     upto = whole.orderBy("_bucket")
     sums = sums.select(*by, "_bucket", (F.sum("_n").over(upto) - F.col("_n")).alias("_nb"), (F.sum("_p").over(upto) - F.col("_p")).alias("_pb"), F.sum("_n").over(whole).alias("total"), F.sum("_p").over(whole).alias("positives"))
     own = Window.partitionBy(*by, "_bucket").orderBy("value")
     inner = lambda c: F.sum(c).over(own) - F.col(c)
-    placed = dealt.withColumns({"_in": inner("n"), "_ip": inner("pos")}).join(sums, [*by, "_bucket"])
+    placed = dealt.withColumns({"_in": inner("n"), "_ip": inner("pos")}).join(_named(sums, [*by, "_bucket"]), _same([*by, "_bucket"]))
     return placed.select(*by, "value", "n", "pos", (F.col("_in") + F.col("_nb")).alias("before"), (F.col("_ip") + F.col("_pb")).alias("pos_before"), "total", "positives")
 
 
+def _named(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+
+
+def _same(keys: list[str]) -> Column:
+    """Whether rows have the keys of a ``_named`` table, NULL being equal to NULL."""
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+
+
 def quantile(q: float) -> Column:
     """An aggregate over ``ordered`` rows of one key: the interpolated quantile."""
     place = (F.col("total") - 1) * q

@@ -39,17 +39,21 @@ def at_k(df: DataFrame, ks: list[float | int], ties: list[str]) -> DataFrame:
 
 
 def thresholds(df: DataFrame, by: list[str] = [], score: str = "score") -> DataFrame:  # noqa: B006
-    """(by..., score, n, pos, cn, cp, total, positives): a row a distinct score, best first, with running sums."""
+    """(by..., score, n, pos, cn, cp, total, positives): a row a distinct score, best first, with running sums. NULL scores are one, the last."""
     keys = by or ["_all"]
     rows = df if by else df.withColumn("_all", F.lit(0))
-    ties = stored(rows.groupBy(*keys, (-F.col(score)).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos")), "score-ties")
+    value = F.coalesce(-F.col(score).cast("double"), F.lit(float("inf")))
+    ties = stored(rows.groupBy(*keys, value.alias("value")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos")), "score-ties")
     upto = lambda before, own: (F.col(before) + F.col(own))
     return ordered(ties, keys).select(*by, (-F.col("value")).alias(score), "n", "pos", upto("before", "n").alias("cn"), upto("pos_before", "pos").alias("cp"), "total", "positives")
 
 
 def curve_metrics(df: DataFrame, by: list[str] = [], score: str = "score") -> DataFrame:  # noqa: B006
     """(by..., n, base_rate, roc_auc, pr_auc, ks): tie-safe; 0 with a single class."""
-    t = thresholds(df, by, score)
+    return _curves(thresholds(df, by, score), by)
+
+
+def _curves(t: DataFrame, by: list[str]) -> DataFrame:
     neg, cneg, negatives = F.col("n") - F.col("pos"), F.col("cn") - F.col("cp"), F.col("total") - F.col("positives")
     # pairs won by the negatives after this score, half of those that tie
     won = F.col("pos") * (negatives - cneg) + F.col("pos") * neg / 2
@@ -64,13 +68,26 @@ def curve_metrics(df: DataFrame, by: list[str] = [], score: str = "score") -> Da
 
 
 def evaluated(df: DataFrame, ties: list[str], k: float = 0.10, group: str = "split", score: str = "score") -> DataFrame:
-    """``curve_metrics`` of every group with precision, recall and lift in its top k."""
-    placed = ranked_within(df.withColumn("_down", -F.col(score)), [group], "_down", ties, "_rank", "_total")
-    top = F.col("_rank") <= top_size(F.col("_total"), k)
-    sums = placed.groupBy(group).agg(F.avg(F.when(top, F.col("y"))).alias("precision_at_k"), F.sum(F.when(top, F.col("y"))).alias("_hits"), F.sum("y").alias("_pos"), F.avg("y").alias("_base"))
+    """``curve_metrics`` of every group with precision, recall and lift in its top k.
+
+    One table of scores gives the curves and the score at which the top k ends; of the rows with that score
+    those first by ``ties`` come in, and only they are ordered.
+    """
+    t = stored(thresholds(df, [group], score), "score-curve")
+    size = top_size(F.col("total"), k)
+    above = F.col("cn") - F.col("n")
+    cut = t.where((above < size) & (F.col("cn") >= size))  # a row a group
+    cut = cut.select(F.col(group).alias("_group"), F.col(score).alias("_cut"), (F.col("cp") - F.col("pos")).alias("_sure"), size.alias("_size"), (size - above).alias("_wanted"), "total", "positives")
+    same = df[group].eqNullSafe(F.col("_group")) & (F.coalesce(df[score].cast("double"), F.lit(float("-inf"))) == F.col("_cut"))
+    last = ranked_within(df.join(F.broadcast(cut.select("_group", "_cut", "_wanted")), same).withColumn("_one", F.lit(0)).select(group, "y", "_one", "_wanted", *ties), [group], "_one", ties, "_rank", "_n")
+    won = last.where(F.col("_rank") <= F.col("_wanted")).groupBy(F.col(group).alias("_of")).agg(F.sum("y").alias("_won"))
+    found = cut.join(won, F.col("_group").eqNullSafe(F.col("_of")), "left")
+    hits = F.col("_sure") + F.coalesce("_won", F.lit(0))
+    precision = hits / F.col("_size")
     zero = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    at = sums.select(group, "precision_at_k", zero(F.col("_hits").cast("double"), F.col("_pos")).alias("recall_at_k"), zero(F.col("precision_at_k"), F.col("_base")).alias("lift_at_k"))
-    return curve_metrics(df, [group], score).join(at, group)
+    at = found.select("_group", precision.alias("precision_at_k"), zero(hits.cast("double"), F.col("positives")).alias("recall_at_k"), zero(precision, F.col("positives") / F.col("total")).alias("lift_at_k"))
+    curves = _curves(t, [group])
+    return curves.join(at, curves[group].eqNullSafe(at["_group"])).drop("_group")
 
 
 def with_companions(df: DataFrame) -> DataFrame:

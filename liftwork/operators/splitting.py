@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftwork.operators.histogram import ordered, quantiles
+from liftwork.operators.histogram import quantiles
 from liftwork.sources.intermediate import stored
+from liftwork.sources.positions import numbered
 
 RATIOS = (0.70, 0.15, 0.15)
 
@@ -50,22 +53,14 @@ def split_by_day(df: DataFrame, ratios=RATIOS, embargo: int = 0, day: str = "day
     return out.withColumn("split", split).drop("cut1", "cut2")
 
 
-def ranked(df: DataFrame, key: str, ties: list[str], descending: bool = False, rank: str = "rank", buckets: int = 200) -> DataFrame:
+def ranked(df: DataFrame, key: str, ties: list[str], descending: bool = False, rank: str = "rank") -> DataFrame:
     """``df`` with a rank from 1 in the order of a numeric key (NULL last) and of tie-breaking columns.
 
-    No task sees all rows: quantiles of the key, a bounded list, deal rows to buckets; a row's rank is
-    its place in its bucket plus the rows of the buckets before it.
+    No task sees all rows, nor all rows of one key value: ranges of the whole order are numbered.
     """
-    bounds = sorted(set(df.select(F.col(key).cast("double").alias("k")).approxQuantile("k", [i / buckets for i in range(1, buckets)], 0.001)))
     value = F.col(key).cast("double")
-    place = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= value)) if bounds else F.lit(0)
-    place = F.when(value.isNull(), buckets + 1).otherwise(-place if descending else place)
-    dealt = df.withColumn("_bucket", place)
-    sizes = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))  # a row a bucket
-    order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
-    own = F.row_number().over(Window.partitionBy("_bucket").orderBy(order, *ties))
-    return dealt.withColumn("_own", own).join(F.broadcast(before), "_bucket").withColumn(rank, F.col("_own") + F.col("_before")).drop("_bucket", "_own", "_before")
+    placed = numbered(df, [value.desc_nulls_last() if descending else value.asc_nulls_last(), *ties], "_row")
+    return placed.withColumn(rank, F.col("_row") + 1).drop("_row")
 
 
 def split_by_rank(df: DataFrame, key: str, ties: list[str], ratios=RATIOS) -> DataFrame:
@@ -79,21 +74,18 @@ def split_by_rank(df: DataFrame, key: str, ties: list[str], ratios=RATIOS) -> Da
 def ranked_within(df: DataFrame, by: list[str], key: str, ties: list[str], rank: str = "rank", total: str = "total") -> DataFrame:
     """``df`` with a rank from 1 within each group, in the order of a numeric key (NULL last) and of ties, and the size of the group.
 
-    Ranks of different key values follow from their histogram; only rows that share a value are ordered.
+    Rows with NULL in a column of ``by`` are groups like others. All rows are numbered by ranges of the whole order; a
+    row's rank is its number less the first one of its group, so neither a large group nor a value of many rows
+    is one task's work.
     """
-    k = F.coalesce(F.col(key).cast("double"), F.lit(float("inf")))
-    dealt = df.withColumn("_value", k)
-    counts = stored(dealt.groupBy(*by, F.col("_value").alias("value")).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("pos")), "rank-counts")
-    places = ordered(counts, by).select(*(F.col(c).alias(f"_{c}") for c in by), F.col("value").alias("_at"), F.col("before").alias("_before"), F.col("total").alias(total))
-    on = dealt["_value"] == places["_at"]
-    for c in by:
-        on = on & (dealt[c] == places[f"_{c}"])
-    own = F.row_number().over(Window.partitionBy(*by, "_value").orderBy(*ties))
-    return dealt.withColumn("_own", own).join(places, on).withColumn(rank, F.col("_own") + F.col("_before")).drop("_value", "_own", "_at", "_before", *(f"_{c}" for c in by))
+    placed = numbered(df, [*by, F.col(key).cast("double").asc_nulls_last(), *ties], "_row")
+    groups = stored(placed.groupBy(*(F.col(c).alias(f"_{c}") for c in by)).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias(total)), "rank-groups")
+    on = reduce(and_, (placed[c].eqNullSafe(groups[f"_{c}"]) for c in by))
+    return placed.join(groups, on).withColumn(rank, F.col("_row") - F.col("_first") + 1).drop("_row", "_first", *(f"_{c}" for c in by))
 
 
 def split_stratified(df: DataFrame, key: str, label: str = "y", ratios=RATIOS, seed: int = 42) -> DataFrame:
-    """``df`` with split: in each label rows go by the MD5 of key and seed, with exact counts."""
+    """``df`` with split: in each label rows go by the MD5 of key and seed, with exact counts. Rows without a label are a stratum of their own."""
     digest = F.md5(F.concat_ws("#", F.col(key).cast("string"), F.lit(str(seed))))
     out = df.withColumn("_digest", digest).withColumn("_number", F.conv(F.substring("_digest", 1, 12), 16, 10).cast("double"))  # 48 bits, exact
     placed = ranked_within(out, [label], "_number", ["_digest", key], "_rank", "_total")
@@ -178,9 +170,12 @@ def exact_sample(df: DataFrame, key: str, label: str, n: int, seed: int = 42) ->
 
 
 def calibration_carve(df: DataFrame, order: list[str], fraction: float = 0.5, label: str = "y", min_rows: int = 200, min_pos: int = 10) -> DataFrame:
-    """``df`` (with split) with calibration: the later part of valid, none if it has too few rows or positives, or one class."""
+    """``df`` (with split) with calibration: the later part of valid, none if it has too few rows or positives, or one class.
+
+    All rows stay, those without a split (an embargo's) too: they are not for calibration.
+    """
     placed = ranked_within(df, ["split"], order[0], order[1:], "_rank", "_total")
-    marked = placed.withColumn("calibration", (F.col("split") == "valid") & (F.col("_rank") > F.col("_total") - F.bround(F.col("_total") * fraction)))
+    marked = placed.withColumn("calibration", F.col("split").eqNullSafe("valid") & (F.col("_rank") > F.col("_total") - F.bround(F.col("_total") * fraction)))
     size = marked.where("calibration").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col(label).cast("long")), F.lit(0)).alias("p"))
     enough = size.select(((F.col("n") >= min_rows) & (F.col("p") >= min_pos) & (F.col("p") < F.col("n"))).alias("_enough"))
     return marked.crossJoin(F.broadcast(enough)).withColumn("calibration", F.col("calibration") & F.col("_enough")).drop("_rank", "_total", "_enough")  # one row
