@@ -161,6 +161,53 @@ def test_repairs_are_the_cheapest():
             assert sum(s[2] for s in steps) == least_cost(list(roles))
 
 
+def test_cuts_do_not_matter():
+    """Parts, repaired by the costs behind them and the states that earlier parts lead to, give the repair of the whole."""
+    for n in range(2, 6):
+        for roles in product((None, 1, 2, 3), repeat=n):
+            whole = chat_format.repair(list(roles))
+            for cuts in ([c] for c in range(1, n)) if n < 5 else ([1, 2], [2, 4], [1, 3, 4], [3]):
+                parts = [list(roles[a:b]) for a, b in zip([0, *cuts], [*cuts, n], strict=True)]
+                behind = [chat_format.END]
+                for part in reversed(parts[1:]):
+                    behind.insert(0, chat_format.behind(chat_format.matrix(part), behind[0]))
+                state, out = chat_format.START, []
+                for part, to_go in zip(parts, behind, strict=True):
+                    out += chat_format.repair(part, state, to_go)
+                    assert chat_format.ways(part, to_go)[state] == out[-1][1]
+                    state = out[-1][1]
+                assert out == whole
+
+
+def test_repairs_hang_on_no_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PART", 4)
+    r = random.Random(6)
+    names = ["user", "assistant", "system", "User ", None, "tool"]
+    rows = [(c, t, r.choice(names), r.choice(["hi", "", None, f"t{t}"])) for c in (1, 2, None, *range(5, 20)) for t in range(90 if c == 1 else r.randint(1, 30))]
+    rows += [(7, 3, "user", "twice")] * 40
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    order = lambda c: sorted((x for x in rows if x[0] == c), key=lambda x: (x[1], code(x[2]) or 0, x[3] or ""))
+    code = lambda name: chat_format.ROLES.get((name or "").strip().lower())
+    want = set()
+    for c in {x[0] for x in rows}:
+        conv = order(c)
+        steps = chat_format.repair([code(x[2]) for x in conv])
+        for at in range(0, len(conv), 4):
+            some, own = steps[at : at + 4], conv[at : at + 4]
+            actions = [s[3] for s in some]
+            relabelled = sum(s[1] != code(x[2]) for s, x in zip(some, own, strict=True))
+            want.add((c, at // 4, sum(s[2] for s in some), len(own), actions.count("merge"), relabelled, actions.count("insert"), chat_format.render(some, [x[3] or "" for x in own])))
+    for partitions, adaptive in ((1, "true"), (8, "false"), (64, "true")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            found = chat_format.formatted(turns.repartition(3 if partitions == 1 else 7)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert len(found) == len(want) and {tuple(x) for x in found} == want
+
+
 def test_long_conversations_in_parts(spark, monkeypatch):
     r = random.Random(2)
     names = ["user", "assistant", "system", "User ", None, "tool"]
