@@ -337,3 +337,48 @@ def test_every_operator_has_a_query(spark):
     assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 11))
     empty = spark.createDataFrame([], DOCUMENTS)
     assert sentencepiece_unigram.encoded(empty).count() == 0
+
+
+def test_licences_of_rows_with_equal_names(spark):
+    mit, isc = "SPDX-License-Identifier: MIT\ncode", "SPDX-License-Identifier: ISC\nother code"
+    rows = [("5", "a/x.c", mit), ("5", "b/x.c", isc), ("6", "c/LICENSE.txt", "Released under the MIT License."), ("6", "d/plain.c", "nothing here"), (None, "e/n.c", "Released under the MIT License."), (None, None, None), ("7", "c/y.c", "x"), ("7", "c/y.c", "x")]
+    got = license_scan.scan(spark.createDataFrame(rows, "file string, path string, text string")).collect()
+    want = [("5", "a/x.c", "MIT", "own"), ("5", "b/x.c", "ISC", "own"), ("6", "c/LICENSE.txt", "MIT", "own"), ("6", "d/plain.c", None, "none"), (None, "e/n.c", "MIT", "own"), (None, None, None, "none"), ("7", "c/y.c", "MIT", "inherited"), ("7", "c/y.c", "MIT", "inherited")]
+    assert sorted(((r.file, r.path, r.licence, r.origin) for r in got), key=repr) == sorted(want, key=repr)
+
+
+WORDINGS = {
+    license_scan._GNU_VERSION.format("Lesser General Public License", "2.1"): "LGPL-2.1",
+    "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999": "LGPL-2.1",
+    "Copyright (c) 2017 Some One. All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.": "EPL-2.0",
+    "// Copyright 2014 The Chromium Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style license that can be\n// found in the LICENSE file.": "BSD-3-Clause",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\n" + license_scan._ISC_REST: "0BSD",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": "CC-BY-SA-3.0",
+    "This project is licensed under the MIT License - see the LICENSE.md file": "MIT",
+    license_scan._ZLIB: "Zlib",
+    "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt or copy at\nhttp://www.boost.org/LICENSE_1_0.txt)": "BSL-1.0",
+    "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "Apache-2.0 OR MIT",
+    "This work is licensed under the GNU General Public License, version 9.": None,
+    "All rights reserved.": "Proprietary",
+    "All rights reserved.\n\nReleased under the MIT License.": "MIT",
+    "All rights reserved. See the license that came with it.": None,
+    license_scan._ISC: "ISC",
+}
+
+
+def test_wordings_of_licences(spark):
+    filler = [(f"f{k}", f"x/{k}.c", f"plain words number {k}") for k in range(30)]
+    rows = [(str(k), f"d{k}/a.c", t) for k, t in enumerate(WORDINGS)]
+    long = [("long", "l/a.c", "int x;\n" * 60_000 + "// Released under the MIT License.\n")]
+    got = {r.file: r.licence for r in license_scan.scan(spark.createDataFrame(rows + filler + long, "file string, path string, text string")).collect()}
+    assert {t: got[str(k)] for k, t in enumerate(WORDINGS)} == WORDINGS
+    assert got["long"] == "MIT"
+
+
+def test_licences_with_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    files = spark.createDataFrame([("1", "a/b", "Released under the MIT License.")], "file string, path string, text string")
+    for c in ("licence", "score", "mode", "part", "key", "_name", "salt", "spread"):
+        files = files.withColumn(c, F.lit("x"))
+    assert [(r.file, r.licence) for r in license_scan.scan(files).collect()] == [("1", "MIT")]
