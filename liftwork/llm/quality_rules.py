@@ -1,10 +1,12 @@
 """Quality rules whose cutoffs adapt to each language and source.
 
 Every document gets a few integer signals. Fixed-width histogram sketches of the signals (per
-language, source and signal; they merge by adding counts) give the median and the 10 and 90 per cent
-quantiles, and from these a lower and an upper limit per group: the median minus or plus a multiple of
-the distance to the quantile on that side, one bucket at least. A document is kept if the base rule holds and no signal passes the limit
-of its group. Groups with fewer than ``min_group`` documents that pass the base rule (``MIN_GROUP``: too few
+language, source and signal; they merge by adding counts) give the median and the quantiles of both tails,
+and from these a lower and an upper limit per group: the median minus or plus a multiple of the distance to
+the first quantile on that side that differs from it (``TAILS``: six times the one 10 per cent from the end, else
+the one 5 per cent from the end; ``FLOOR`` buckets at least). So the limit of a signal that is 0 for most texts comes
+from those texts of the group where it is not, and is ``FLOOR`` only where they are fewer than one in twenty or hardly differ. A document is kept if the base rule holds and no signal passes the
+limit of its group. Groups with fewer than ``min_group`` documents that pass the base rule (``MIN_GROUP``: too few
 for a quantile of 10 per cent) take the limits of their language, and those of the whole table where the
 language is small too.
 
@@ -40,7 +42,10 @@ SIGNALS = {
     "dup_line_share": "n_dup_lines * 1000 div greatest(n_words, 1)",
     "word_length": "least(word_chars * 10 div greatest(n_words, 1), 2000)",
 }
-SPREADS = 6
+#: Tails of a sketch, in per mille, and how many times their distance to the median is the limit.
+TAILS = ((100, 6), (50, 1))
+#: Buckets beside the median that are within the limits at least where 90 of 100 texts have the median.
+FLOOR = 6
 MIN_GROUP = 100
 MIN_WORDS = 50
 
@@ -143,17 +148,19 @@ def merged(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def limits(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: n, and a struct low/high for each signal, SPREADS times the spread on that side of the median."""
+    """Per group: n, and the lower and the upper limit of each signal, by the first of ``TAILS`` on that side that is not the median."""
     group = Window.partitionBy(*keys, "signal")
     summed = sketches.select(
         *keys, "signal", "bucket", F.sum("n").over(group).alias("total"),
         F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("up_to"),
     )
-    at = lambda q: F.min(F.when(F.col("up_to") * 100 >= F.col("total") * q, F.col("bucket")))
-    quantiles = summed.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(50).alias("mid"), at(10).alias("low"), at(90).alias("high"))
-    spread = lambda distance: F.greatest(distance, F.lit(1)) * SPREADS
-    below, above = spread(F.col("mid") - F.col("low")), spread(F.col("high") - F.col("mid"))
-    edges = quantiles.select(*keys, "signal", "n", (F.col("mid") - below).alias("lo"), (F.col("mid") + above).alias("hi"))
+    at = lambda q: F.min(F.when(F.col("up_to") * 1000 >= F.col("total") * q, F.col("bucket")))
+    tails = [at(q).alias(f"{name}{t}") for t, _ in TAILS for name, q in (("low", t), ("high", 1000 - t))]
+    quantiles = summed.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(500).alias("mid"), *tails)
+    mid = F.col("mid")
+    far = lambda name: F.coalesce(*(F.when(F.col(f"{name}{t}") != mid, F.abs(F.col(f"{name}{t}") - mid) * times) for t, times in TAILS), F.lit(0))
+    limit = lambda name: mid + F.greatest(far(name), F.lit(FLOOR)) * (1 if name == "high" else -1)
+    edges = quantiles.select(*keys, "signal", "n", limit("low").alias("lo"), limit("high").alias("hi"))
     return edges.groupBy(*keys).agg(
         F.max("n").alias("n"),
         *(f(F.when(F.col("signal") == s, F.col(c))).alias(f"{s}_{c}") for s in SIGNALS for c, f in (("lo", F.max), ("hi", F.max))),
@@ -207,12 +214,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(staging.documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
+_TAILS_SQL = ", ".join(f"min(bucket) filter (where up_to * 1000 >= total * {q}) as {name}{t}" for t, _ in TAILS for name, q in (("low", t), ("high", 1000 - t)))
+_LIMIT_SQL = "mid {sign} greatest(case " + " ".join(f"when {{name}}{t} <> mid then abs({{name}}{t} - mid) * {times}" for t, times in TAILS) + f" else 0 end, {FLOOR})"
+
+
 def _limits_sql(name: str, keys: str) -> str:
     own = f"{keys}, " if keys else ""
     return f"""
 {name}_sums as (select {own}signal, bucket, sum(n) over (partition by {own}signal) as total, sum(n) over (partition by {own}signal order by bucket) as up_to from (select {own}signal, bucket, sum(n) as n from sketch group by all)),
-{name}_at as (select {own}signal, max(total) as n, min(bucket) filter (where up_to * 100 >= total * 50) as mid, min(bucket) filter (where up_to * 100 >= total * 10) as low, min(bucket) filter (where up_to * 100 >= total * 90) as high from {name}_sums group by all),
-{name} as (select {own}signal, n, mid - greatest(mid - low, 1) * {SPREADS} as lo, mid + greatest(high - mid, 1) * {SPREADS} as hi from {name}_at)"""
+{name}_at as (select {own}signal, max(total) as n, min(bucket) filter (where up_to * 1000 >= total * 500) as mid, {_TAILS_SQL} from {name}_sums group by all),
+{name} as (select {own}signal, n, {_LIMIT_SQL.format(name="low", sign="-")} as lo, {_LIMIT_SQL.format(name="high", sign="+")} as hi from {name}_at)"""
 
 
 _BUCKETS = {s: e.replace(" div ", " // ") for s, e in SIGNALS.items()}
