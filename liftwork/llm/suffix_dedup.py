@@ -113,13 +113,16 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for did, th, p, count, off, kh, sh in found(batches):
-            order = np.lexsort((p, did, sh))
+            order = np.lexsort((p, th, did, sh))
             dup = np.zeros(len(order), bool)
             if len(order):
+                s_, d_, t_ = sh[order], did[order], th[order]
                 new = np.ones(len(order), bool)
-                new[1:] = sh[order][1:] != sh[order][:-1]
-                lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-                dup[order] = (did[order] != did[lead]) | (p[order] != p[lead])
+                new[1:] = s_[1:] != s_[:-1]
+                lead = d_[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                again = np.zeros(len(order), bool)  # an equal run stands earlier in the document itself
+                again[1:] = ~new[1:] & (d_[1:] == d_[:-1]) & (t_[1:] == t_[:-1])
+                dup[order] = (d_ != lead) | again
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in ((kh, pa.int64()), (sh, pa.int64()), (did, pa.int64()), (th, pa.int32()), (p, pa.int32()), (count, pa.int16()), (off, pa.int16()), (dup, pa.bool_()))],
                 names=["kh", "sh", "did", "th", "p", "n", "off", "dup"],
@@ -136,12 +139,16 @@ def _hot_anchors(given: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 class _Contexts:
-    """Streams anchor runs in the order (kh, sh, did, p) and tells repeats from first contexts."""
+    """Streams anchor runs in the order (kh, sh, did, th, p) and tells repeats from first contexts.
+
+    A context's first ones are those of the least did, the first of each text that has this did.
+    """
 
     names = ("kh", "sh", "did", "th", "p", "n", "off", "kind")
 
     def __init__(self):
-        self.lead = None  # kh, sh, did, p, th of the context that is open
+        self.last = None  # kh, sh, did, th of the row before
+        self.lead = None  # the least did of the context that is open
         self.held = None  # the only context so far of the open anchor, not yet told
         self.many = False  # whether the open anchor has several contexts
 
@@ -154,20 +161,20 @@ class _Contexts:
         size = len(col["kh"])
         if not size:
             return
-        before = self.lead or (None,) * 5
-        shift = lambda c, first: np.concatenate([[first if first is not None else 0], col[c][:-1]])
-        new_k = col["kh"] != shift("kh", before[0])
-        new_s = new_k | (col["sh"] != shift("sh", before[1]))
-        if self.lead is None:
-            new_k[0] = new_s[0] = True
-        lead = np.maximum.accumulate(np.where(new_s, np.arange(size), -1))
-        at_lead = lambda c, carried: np.where(lead >= 0, col[c][np.maximum(lead, 0)], carried if carried is not None else 0)
-        same_place = (col["did"] == at_lead("did", before[2])) & (col["p"] == at_lead("p", before[3]))
-        own = new_s | (same_place & (col["th"] != at_lead("th", before[4])))
-        yield self._rows({c: v[~own & ~same_place] for c, v in col.items()}, 0)
+        before = self.last or (0, 0, 0, 0)
+        moved = lambda c, first: col[c] != np.concatenate([[first], col[c][:-1]])
+        new_k = moved("kh", before[0])
+        if self.last is None:
+            new_k[0] = True
+        new_s = new_k | moved("sh", before[1])
+        new_t = new_s | moved("did", before[2]) | moved("th", before[3])
+        at = np.maximum.accumulate(np.where(new_s, np.arange(size), -1))
+        lead = np.where(at >= 0, col["did"][np.maximum(at, 0)], self.lead if self.lead is not None else 0)
+        own = new_t & (col["did"] == lead)
+        yield self._rows({c: v[~own] for c, v in col.items()}, 0)
         group = np.cumsum(new_k)  # 0: the anchor that was open before
         contexts = np.bincount(group[own], minlength=group[-1] + 1)
-        if self.lead is not None:
+        if self.last is not None:
             contexts[0] += 2 if self.many else self.held is not None
         if self.held is not None and contexts[0] > 1:
             yield self._rows(self.held, 1)
@@ -177,16 +184,15 @@ class _Contexts:
         for hot in (False, True):
             yield self._rows({c: v[several & (col["hot"] == hot)] for c, v in col.items()}, 2 if hot else 1)
         last = group[-1]
-        if last > 0 or self.lead is None:
+        if last > 0 or self.last is None:
             self.many = False
             self.held = None
         self.many = self.many or contexts[last] > 1
         only = np.flatnonzero(own & (group == last) & ~col["hot"])
         if contexts[last] == 1 and len(only):
             self.held = {c: v[only] for c, v in col.items()}
-        i = lead[-1]
-        if i >= 0:
-            self.lead = tuple(col[c][i] for c in ("kh", "sh", "did", "p", "th"))
+        self.lead = lead[-1]
+        self.last = tuple(col[c][-1] for c in ("kh", "sh", "did", "th"))
 
     def _rows(self, col: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16())
@@ -211,7 +217,7 @@ def _resolved(rows: DataFrame, deal: Column) -> DataFrame:
 
     dealt = rows.withColumn("deal", F.xxhash64(F.when(F.col("dup"), 0).otherwise(F.col("kh")), F.when(F.col("dup"), F.xxhash64("did")).when(F.col("hot"), deal).otherwise(0)))
     schema = "kh long, sh long, did long, th int, p int, n short, off short, kind byte"
-    return dealt.repartition("deal").sortWithinPartitions("kh", "sh", "did", "p", "th").select("kh", "sh", "did", "th", "p", "n", "off", "dup", "hot").mapInArrow(run, schema)
+    return dealt.repartition("deal").sortWithinPartitions("kh", "sh", "did", "th", "p").select("kh", "sh", "did", "th", "p", "n", "off", "dup", "hot").mapInArrow(run, schema)
 
 
 def _gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -329,11 +335,15 @@ def _compared(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     def repeats(rows: list[tuple]) -> Iterator[tuple]:
         lefts, rights = [r[6][: r[5]][::-1] for r in rows], [r[6][r[5] :] for r in rows]
         for members, near, far in maximal_repeats(lefts, rights, length, gram):
-            place = {m: (rows[m][1], rows[m][3] + rows[m][5]) for m in members}
-            first = min(place.values())
+            at = {m: rows[m][3] + rows[m][5] for m in members}
+            least = min(rows[m][1] for m in members)
+            first: dict[int, int] = {}  # of each text that has the least did
+            for m in members:
+                if rows[m][1] == least:
+                    first[rows[m][2]] = min(at[m], first.get(rows[m][2], at[m]))
             for m in members:
-                if place[m] != first:
-                    yield None, None, rows[m][1], rows[m][2], place[m][1] - far, far - near + 1
+                if rows[m][1] != least or at[m] != first[rows[m][2]]:
+                    yield None, None, rows[m][1], rows[m][2], at[m] - far, far - near + 1
 
     def windows(rows: list[tuple]) -> Iterator[tuple]:
         body = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
@@ -381,8 +391,13 @@ def repeated_runs(given: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     compared = staging.stored(_compared(contexts.where("ctx is not null"), length, gram), "suffix-compared")
     window = ("key", "wh", "did", "th", "p")
     windows = contexts.where("ctx is null").select(*window).unionByName(compared.where("wh is not null").select(*window))
-    firsts = windows.groupBy("key", "wh").agg(F.min(F.struct("did", "p")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "wh", "first")
-    later = windows.join(firsts, ["key", "wh"]).where("not (did = first.did and p = first.p)").select("did", "th", "p", F.lit(1).cast("short").alias("n"))
+    firsts = windows.groupBy("key", "wh").agg(F.min(F.struct("did", "th", "p")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "wh", "first")
+    joined = windows.join(firsts, ["key", "wh"])
+    one = F.lit(1).cast("short").alias("n")
+    later = joined.where("did > first.did or (th = first.th and p > first.p)").select("did", "th", "p", one)
+    # other texts with the first one's id: each keeps its own first
+    namesakes = joined.where("did = first.did and th <> first.th").groupBy("key", "wh", "did", "th").agg(F.sort_array(F.collect_list("p")).alias("at"))
+    later = later.unionByName(namesakes.select("did", "th", F.explode(F.slice("at", 2, F.greatest(F.size("at") - 1, F.lit(0)))).alias("p"), one))
     return runs.where("kind = 0").select("did", "th", "p", "n").unionByName(compared.where("wh is null").select("did", "th", "p", "n")).unionByName(later)
 
 

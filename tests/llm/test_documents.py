@@ -426,3 +426,65 @@ def test_ledger_in_a_folder(spark, docs, tmp_path):
     new = spark.createDataFrame([(1, "token: abcdefgh", None, None, 0)], DOCUMENTS)
     assert secret_ledger.update(new, folder).count() == first + 1
     assert secret_ledger.update(new, folder, version="2").count() == first + 2
+
+
+def test_texts_with_one_id_do_not_repeat_each_other(spark):
+    """Rows with equal ids and other texts: none stands before the other, wherever the passage lies; a later id repeats both."""
+    r = random.Random(4)
+    letters = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    passage = letters(190)
+    shifted, same = letters(40) + passage, passage + letters(7)
+    twice = passage[:150] + letters(30) + passage[:150]
+    rows = [(5, passage + "!", None, None, 0), (5, shifted, None, None, 0), (5, same, None, None, 0), (5, twice, None, None, 0), (9, letters(20) + passage, None, None, 0)]
+    for group in (4096, 1):
+        old, suffix_dedup.GROUP = suffix_dedup.GROUP, group
+        try:
+            got = {r.kept: r.n_removed for r in suffix_dedup.without_repeats(spark.createDataFrame(rows, DOCUMENTS).repartition(3)).collect()}
+        finally:
+            suffix_dedup.GROUP = old
+        assert sorted(got.values()) == [0, 0, 0, 150, 190]
+        assert {bytes(k).decode() for k in got} == {passage + "!", shifted, same, twice[:180], rows[4][1][:20]}
+
+
+def test_limits_differ_by_group_for_every_signal(spark):
+    r = random.Random(8)
+    rows = []
+    for source, often, size in (("calm", 0.02, 5), ("loud", 0.3, 8)):
+        for _ in range(400):
+            words = ["".join(r.choice("abcdefgh") for _ in range(size + r.randint(-1, 2 if source == "calm" else 5))) for _ in range(90)]
+            text = " ".join(words)
+            if r.random() < often:
+                text += " #" * r.randint(1, 3 if source == "calm" else 30)
+            if r.random() < often:
+                line = " ".join(words[:3])
+                text += f"\n{line}" * r.randint(2, 3 if source == "calm" else 20)
+            rows.append((len(rows), text, "en", source, 0))
+    limit = {x.g_source: x for x in quality_rules.fitted(quality_rules.with_counts(spark.createDataFrame(rows, DOCUMENTS))).collect()}
+    for s in quality_rules.SIGNALS:
+        assert limit["calm"][f"{s}_hi"] < limit["loud"][f"{s}_hi"]
+
+
+def test_ledger_folder_and_version(spark, tmp_path):
+    folder = tmp_path / "ledger"
+    folder.mkdir()  # as a first write that failed leaves it
+    docs = spark.createDataFrame([(1, "token=abcdef12 x"), (2, "plain")], "doc_id long, text string")
+    assert secret_ledger.update(docs, f"file://{folder}").count() == 2
+    more = docs.union(spark.createDataFrame([(3, "password: hunter22")], docs.schema))
+    assert secret_ledger.update(more, f"file://{folder}").count() == 3
+    assert secret_ledger.update(more, f"file://{folder}", version="another").count() == 6
+    assert len(secret_ledger.RULE_VERSION) == 16 and secret_ledger.RULE_VERSION != "1"
+
+
+def test_only_unseen_blobs_are_scanned(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef12 x"), (2, "plain"), (3, None)], "doc_id long, text string")
+    first = secret_ledger.scan(docs)
+    fresh = secret_ledger.scan(docs.union(spark.createDataFrame([(4, "secret=zzzzzz9")], docs.schema)), first, only_new=True)
+    assert [(len(r.spans), r.spans[0].kind) for r in fresh.collect()] == [(1, "assign")]
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 200, 5000])
+def test_spans_of_many_findings(spark, n):
+    text = " ".join(f"token=value{k:06d}é" for k in range(n))
+    (row,) = secret_ledger.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    want = [(m.start(), m.end()) for m in re.finditer(r"token=value\d{6}", text)]
+    assert [(s.start, s.end) for s in row.spans if s.kind == "assign"] == want
