@@ -93,7 +93,7 @@ def streaming_daily_psi(spark, sf_dir):
     return found.select(day.alias("day"), "n", F.round("psi", 6).alias("psi"))
 
 
-@query(f"""with gaps as (select user_id, ts, value, coalesce(ts - lag(ts) over (partition by user_id order by ts) >= interval 6 hours, true)::int as new from events where user_id is not null),
+@query(f"""with gaps as (select user_id, ts, value, coalesce(ts - lag(ts) over (partition by user_id order by ts) > interval 6 hours, true)::int as new from events where user_id is not null),
 runs as (select *, sum(new) over (partition by user_id order by ts rows unbounded preceding) as run from gaps),
 sessions as (select user_id, min(ts) as start, max(ts) + interval 6 hours as over_, count(*) as n, sum(value) as total from runs group by user_id, run)
 select user_id, epoch_us(start) as start, n, round(total, 4) as total from sessions, {_CLOSED} where over_ <= mark""")

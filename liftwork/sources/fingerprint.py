@@ -65,7 +65,11 @@ def require_fresh(spark: SparkSession, folder: str, sources: dict[str, str], con
     fs, at = _fs(spark, f"{folder}/{NAME}")
     if not fs.exists(at):
         raise StaleArtifactError(f"{folder} has no fingerprint")
-    then = json.loads(spark.read.text(str(at), wholetext=True).first()["value"])
+    stream = fs.open(at)
+    try:
+        then = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
     if then["version"] > VERSION:
         raise StaleArtifactError(f"{folder} is of version {then['version']}, this is {VERSION}")
     now = fingerprint(spark, sources, config)

@@ -35,7 +35,7 @@ def windowed_counts(events: DataFrame, edges: list[float], length: str = "1 day"
 
 
 def sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 day", key: str = "user_id", value: str = "value", ts: str = "ts") -> DataFrame:
-    """(key, start, n, total): runs of a key's events with less than ``gap`` between neighbours. start: microseconds since 1970."""
+    """(key, start, n, total): runs of a key's events with at most ``gap`` between neighbours. start: microseconds since 1970."""
     kept = events.withWatermark(ts, delay).where(F.col(key).isNotNull())
     found = kept.groupBy(key, F.session_window(ts, gap)).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
     return found.select(key, F.unix_micros("session_window.start").alias("start"), "n", "total")
