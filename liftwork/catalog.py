@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLANS = ("features", "splits", "metrics", "tables", "funnels", "selections", "monitoring", "models", "artifacts")
+PLANS = ("features", "splits", "metrics", "tables", "funnels", "selections", "monitoring", "models", "artifacts", "families")
 
 
 def _all(name: str) -> dict:

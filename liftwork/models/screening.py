@@ -26,6 +26,16 @@ def train_edges(train: DataFrame, features: list[str], n_bins: int = 10) -> dict
     return {f: found[f] for f in features}
 
 
+def zero_as_missing(df: DataFrame, features: list[str], treat_zero: bool = True, sentinels: tuple = ()) -> DataFrame:
+    """``df`` as the probing model sees it: zeros count as missing if that is wanted, or else if 0 is among the sentinels.
+
+    For tables of counts, where 0 and no record say the same. Only the screen is concerned, not what is trained later.
+    """
+    if not treat_zero and 0 not in sentinels:
+        return df
+    return df.withColumns({f: F.when(F.col(f) != 0, F.col(f)) for f in features})
+
+
 def roles(split: Column) -> Column:
     """Train and valid rows learn and stop; those of oot and of no split do neither."""
     return F.when(split == "train", TRAIN).when(split == "valid", VALID).otherwise(0)

@@ -12,15 +12,15 @@ from liftwork.sources.intermediate import stored
 MISSING = -1
 
 
-def equal_frequency_edges(hist: DataFrame, n_bins: int = 10, least: int | None = None) -> DataFrame:
+def equal_frequency_edges(hist: DataFrame, n_bins: int = 10, least: int | None = None, placed: DataFrame | None = None) -> DataFrame:
     """(feature, n, n_unique, edges) of a histogram (feature, value, n, pos), small bins merged.
 
     At most ``n_bins`` distinct values: the least value, the midpoints between neighbours and the
     greatest; else the distinct interpolated quantiles. One distinct value v gives [v, v + 1e-12], none
     gives an empty array. Only NULL counts as missing. Bins under ``least`` rows, max(50, n // 100) by
-    default, are merged.
+    default, are merged. ``placed``: ``ordered(hist)``, if it is there already.
     """
-    placed = ordered(hist)
+    placed = ordered(hist) if placed is None else placed
     names = [f"q{i}" for i in range(n_bins + 1)]
     sums = placed.groupBy("feature").agg(
         F.sum("n").alias("n"), F.count("value").alias("n_unique"), *(quantile(i / n_bins).alias(c) for i, c in enumerate(names)),
@@ -79,8 +79,9 @@ def merge_small(counts: list[int], least: int) -> list[int]:
 def merged_edges(hist: DataFrame, edges: DataFrame, least: int | None = None, share: float = 0.01, floor: int = 50) -> DataFrame:
     """(feature, n, n_unique, edges) after bins under ``least`` rows, by default max(floor, n * share), have been merged.
 
-    Only bin counts are looked at, a row a bin.
+    A column ``least`` of ``edges`` goes before both. Only bin counts are looked at, a row a bin.
     """
+    own = "least" in edges.columns
     both = edges.join(counted(hist, edges).where("bin >= 0").select("feature", "bin", F.col("n").alias("c")), "feature", "left")
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -90,7 +91,8 @@ def merged_edges(hist: DataFrame, edges: DataFrame, least: int | None = None, sh
         for b, c in zip(frame["bin"], frame["c"], strict=True):
             if pd.notna(b):
                 bins[int(b)] = int(c)
-        stay = merge_small(bins, max(floor, int(share * first["n"])) if least is None else least) if bins else []
+        few = first["least"] if own else max(floor, int(share * first["n"])) if least is None else least
+        stay = merge_small(bins, int(few)) if bins else []
         return pd.DataFrame({"feature": [first["feature"]], "n": [first["n"]], "n_unique": [first["n_unique"]], "edges": [[cuts[i] for i in stay]]})
 
     return both.groupBy("feature").applyInPandas(merge, "feature string, n long, n_unique long, edges array<double>")

@@ -19,7 +19,7 @@ def _products(centred: DataFrame, features: list[str]) -> DataFrame:
     """(i, j, c, n) for i < j: sums of products of two features and the number of rows that have both.
 
     One pass: every task adds up its matrix, whose blocks are added up again by block. A task holds
-    features x features numbers, whatever the rows.
+    features x features numbers, whatever the rows; there are as many tasks as cores, so that no more matrices are sent.
     """
     size = len(features)
     starts = list(range(0, size, BLOCK))
@@ -49,7 +49,8 @@ def _products(centred: DataFrame, features: list[str]) -> DataFrame:
             some = i < j
             yield pa.RecordBatch.from_arrays([pa.array(i[some], pa.int32()), pa.array(j[some], pa.int32()), pa.array(both[0][some]), pa.array(both[1][some].astype(np.int64))], names=["i", "j", "c", "n"])
 
-    blocks = centred.mapInArrow(local, "a int, b int, c array<double>, n array<double>")
+    cores = centred.sparkSession.sparkContext.defaultParallelism
+    blocks = centred.coalesce(max(1, cores)).mapInArrow(local, "a int, b int, c array<double>, n array<double>")
     return blocks.repartition("a", "b").mapInArrow(added, "i int, j int, c double, n long")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from liftwork.operators.histogram import histogram, ordered
 from liftwork.operators.ranking import by_score, top_size
 from liftwork.sources.intermediate import stored
+from liftwork.sources.positions import numbered
 
 FLOOR = 1e-12
 GRID = [round(i * 0.05, 2) for i in range(21)]
@@ -114,11 +115,22 @@ def _pooled(rows) -> list[tuple[float, float, float, float]]:
     return [tuple(p) for p in pools]
 
 
+#: Pools that are pooled together in one task.
+POOLS = 20_000
+
+
+def _violators(pools: DataFrame) -> int:
+    """How many neighbours, by ``_row``, have rates out of order."""
+    after = pools.select((F.col("_row") - 1).alias("_row"), F.col("p").alias("_p"), F.col("n").alias("_n"))
+    return pools.join(after, "_row").where(F.col("p") * F.col("_n") >= F.col("_p") * F.col("n")).count()
+
+
 def isotonic_table(df: DataFrame, score: str = "score", label: str = "y", min_rows: int = 200, min_pos: int = 10) -> DataFrame:
     """(x, y): an isotonic calibration table by pooling adjacent violators; empty if the data do not carry one.
 
-    Rows are pooled by ranges of the score, then the pools are: only these, of which the table consists,
-    come together. Each pool gives its ends.
+    Distinct scores are pooled by ranges of ``POOLS``, and the pools again by ranges that lie across the borders of the
+    ones before, until no neighbours are out of order: in whatever order violators are pooled, the pools are the same.
+    No task has more than a range. Each pool gives its ends.
     """
     hist = histogram(df.select(F.lit("score").alias("feature"), F.col(score).cast("double").alias("value"), F.col(label).alias("y")))
     total = hist.where("value is not null").agg(F.sum("n").alias("n"), F.sum("pos").alias("p"), F.count(F.lit(1)).alias("d")).first()
@@ -131,14 +143,18 @@ def isotonic_table(df: DataFrame, score: str = "score", label: str = "y", min_ro
         frame = frame.sort_values("low")
         return pd.DataFrame(_pooled(zip(frame["p"], frame["n"], frame["low"], frame["high"], strict=True)), columns=["p", "n", "low", "high"], dtype="float64")
 
-    def ends(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = pool(frame)
-        table = [(x, s / m) for s, m, low, high in frame.itertuples(index=False) for x in dict.fromkeys((low, high))]
-        return pd.DataFrame(table, columns=["x", "y"], dtype="float64")
-
-    rows = ordered(hist).select(F.floor(F.col("before") / 10_000).alias("range"), F.col("pos").cast("double").alias("p"), F.col("n").cast("double").alias("n"), F.col("value").alias("low"), F.col("value").alias("high"))
-    pools = rows.groupBy("range").applyInPandas(lambda f: pool(f.drop(columns="range")), schema)
-    return pools.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda f: ends(f.drop(columns="one")), "x double, y double")
+    value = F.col("value")
+    pools = numbered(hist.where("value is not null").select(F.col("pos").cast("double").alias("p"), F.col("n").cast("double").alias("n"), value.alias("low"), value.alias("high")), ["low"], "_row")
+    shift = 0
+    while True:
+        ranges = F.floor((F.col("_row") + shift) / POOLS).alias("_range")
+        pools = pools.select(ranges, "p", "n", "low", "high").groupBy("_range").applyInPandas(lambda f: pool(f.drop(columns="_range")), schema)
+        pools = stored(numbered(pools, ["low"], "_row"), "isotonic-pools")
+        if not _violators(pools):
+            break
+        shift = POOLS // 2 - shift
+    ends = F.explode(F.array_distinct(F.array("low", "high")))
+    return pools.select(ends.alias("x"), (F.col("p") / F.col("n")).alias("y"))
 
 
 def interpolated(score: Column, table: list[tuple[float, float]]) -> Column:

@@ -7,32 +7,38 @@ import logging
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftwork.operators.splitting import split_rows
+from liftwork.operators.histogram import histogram, quantiles
+from liftwork.operators.splitting import calibration_carve, split_rows
 from liftwork.sources.intermediate import stored
 
 log = logging.getLogger(__name__)
 
 
 def fit_fill(train: DataFrame, strategies: dict[str, str | float]) -> dict[str, float | None]:
-    """The fill of each column, fitted on ``train`` in one pass: median, mean, zero, keep_nan or a constant.
+    """The fill of each column, fitted on ``train``: median, mean, zero, keep_nan or a constant.
 
     A column without known values gets -999 instead of a median or mean. A constant that lies within
     the range [p01, max] of the known values is an error: it could not be told from a value.
     """
-    aggs = []
-    for c in strategies:
-        aggs += [F.expr(f"percentile(`{c}`, 0.5)").alias(f"{c}_median"), F.avg(c).alias(f"{c}_mean"), F.expr(f"percentile(`{c}`, 0.01)").alias(f"{c}_low"), F.max(c).alias(f"{c}_high")]
-    found = train.agg(*aggs).first()
+    ranked = [c for c, strategy in strategies.items() if strategy not in ("mean", "keep_nan")]
+    found: dict[str, float | None] = {}
+    if "mean" in strategies.values():
+        means = train.agg(*(F.avg(c).alias(c) for c, strategy in strategies.items() if strategy == "mean")).first()
+        found |= {f"{c}_mean": v for c, v in means.asDict().items()}
+    if ranked:
+        values = train.select(*(F.col(c).cast("double").alias(c) for c in ranked)).unpivot([], ranked, "feature", "value")
+        for r in quantiles(histogram(values, None), {"median": 0.5, "low": 0.01, "high": 1.0}).collect():  # a row a column
+            found |= {f"{r['feature']}_{k}": r[k] for k in ("median", "low", "high")}
     fills: dict[str, float | None] = {}
     for c, strategy in strategies.items():
         if strategy in ("median", "mean"):
-            value = found[f"{c}_{strategy}"]
+            value = found.get(f"{c}_{strategy}")
             fills[c] = -999.0 if value is None else float(value)
         elif strategy == "keep_nan":
             fills[c] = None
         else:
             fills[c] = 0.0 if strategy == "zero" else float(strategy)
-            if found[f"{c}_low"] is not None and found[f"{c}_low"] <= fills[c] <= found[f"{c}_high"]:
+            if f"{c}_low" in found and found[f"{c}_low"] <= fills[c] <= found[f"{c}_high"]:
                 raise ValueError(f"fill {fills[c]} of {c} lies within its values [{found[f'{c}_low']}, {found[f'{c}_high']}]")
     return fills
 
@@ -88,20 +94,24 @@ def require_binary(df: DataFrame, label: str = "y") -> DataFrame:
     return df
 
 
-def build_dataset(df: DataFrame, features: dict[str, str | float], ties: list[str], exclude: dict[str, list[float]] | None = None, day: str = "day", label: str = "y", weight: Column | None = None, indicator: float = 0.10) -> DataFrame:
+def build_dataset(df: DataFrame, features: dict[str, str | float], ties: list[str], exclude: dict[str, list[float]] | None = None, day: str = "day", label: str = "y", weight: Column | None = None, indicator: float = 0.10, carve: float | None = None) -> DataFrame:
     """A table to learn from: label, ties, split, weight, filled features and indicators of missing values.
 
     ``features``: column -> fill strategy. Labels are checked, excluded rows go, the rest is split, rows
-    without any value go from train and valid; fills and indicators are fitted on train alone.
+    without any value go from train and valid; fills and indicators are fitted on train alone. ``carve``: the later part of
+    valid that is held out for calibration, told by the column calibration.
     """
     rows = without_values(require_binary(df, label), exclude or {})
     split = stored(split_rows(rows, ties, day=day, label=label).where("split is not null"), "dataset-split")
     there = drop_empty_rows(split, list(features))
+    if carve is not None:
+        there = stored(calibration_carve(there, [c for c in (day, *ties) if c in there.columns], carve, label), "dataset-carved")
     train = there.where("split = 'train'")
     marked = with_indicators(there, indicator_columns(train, list(features), indicator))
     filled = apply_fill(marked, fit_fill(train, features))
     marks = [c for c in filled.columns if c.endswith("__isnan")]
-    return filled.select(*ties, label, "split", (F.lit(1.0) if weight is None else weight).alias("weight"), *(F.col(c).cast("float").alias(c) for c in features), *marks)
+    held = ["calibration"] if carve is not None else []
+    return filled.select(*ties, label, "split", *held, (F.lit(1.0) if weight is None else weight).alias("weight"), *(F.col(c).cast("float").alias(c) for c in features), *marks)
 
 
 def without_values(df: DataFrame, rules: dict[str, list[float]]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+import re
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +14,42 @@ from pyspark.sql import functions as F
 WINDOWS = ("7d", "30d", "90d", "180d", "360d", "all", "life", "hist")
 PENALTY = {"7d": 0.0, "30d": 0.0, "90d": 0.1, "180d": 0.2, "360d": 0.3, "all": 0.4, "life": 0.4, "hist": 0.4}
 
+log = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class FamilyRule:
+    """A pattern of feature names with the named groups base and window, and what a window found by it is called.
+
+    A window is renamed by ``alias`` if that lists it, else by ``template`` with {window} in it, else kept.
+    """
+
+    name: str
+    pattern: str
+    alias: dict[str, str] = field(default_factory=dict)
+    template: str = "{window}"
+
+
+# Patterns of common ways to name windows, and the names that stand for them.
+RULES = {
+    r.name: r
+    for r in (
+        FamilyRule("suffix_day", r"^(?P<base>.+?)_(?P<window>7d|30d|90d|180d|360d|all|life|hist)$"),
+        FamilyRule("prefix_d", r"^(?P<base>.+?)_d(?P<window>7|30|90|180|360)$", template="{window}d"),
+        FamilyRule("chinese_jin_days", r"^(?P<base>.+?)_近(?P<window>\d+)天$", template="{window}d"),
+        FamilyRule("english_last_days", r"^(?P<base>.+?)_last(?P<window>\d+)days$", template="{window}d"),
+        FamilyRule("number_only", r"^(?P<base>.+?)_(?P<window>7|14|30|60|90|180|360)$", template="{window}d"),
+        FamilyRule("suffix_mon", r"^(?P<base>.+?)_(?P<window>1mon|3mon|6mon|12mon|24mon|all|life|hist)$"),
+        FamilyRule("chinese_jin_months", r"^(?P<base>.+?)_近(?P<window>\d+)月$", template="{window}mon"),
+        FamilyRule("english_last_months", r"^(?P<base>.+?)_last(?P<window>\d+)months$", template="{window}mon"),
+        FamilyRule("suffix_mon_to_days", r"^(?P<base>.+?)_(?P<window>\d+)mon$", {"1": "30d", "3": "90d", "6": "180d", "12": "360d", "24": "720d"}),
+        FamilyRule("suffix_year", r"^(?P<base>.+?)_(?P<window>1y|2y|3y|5y|10y|all|life|hist)$"),
+        FamilyRule("chinese_jin_years", r"^(?P<base>.+?)_近(?P<window>\d+)年$", template="{window}y"),
+        FamilyRule("english_last_years", r"^(?P<base>.+?)_last(?P<window>\d+)years$", template="{window}y"),
+        FamilyRule("suffix_year_to_days", r"^(?P<base>.+?)_(?P<window>\d+)y$", {"1": "360d", "2": "720d", "3": "1080d", "5": "1800d", "10": "3600d"}),
+    )
+}
+
 
 def _lookup(c: Column, table: dict, other) -> Column:
     out = F
@@ -27,6 +66,76 @@ def parse_families(features: DataFrame, windows=WINDOWS) -> DataFrame:
     return out.withColumn("window_rank", _lookup(F.col("window"), {w: i for i, w in enumerate(windows)}, len(windows)))
 
 
+def families_by_rules(features: DataFrame, rules: list[str | FamilyRule], windows=WINDOWS, enabled: bool = True) -> DataFrame:
+    """``features`` with family, window, window_rank and rule, by the first of the rules that a name matches.
+
+    Rules are names of ``RULES`` or rules of one's own. Windows that ``windows`` lacks rank last, with a warning. A name that
+    no rule matches is a family of its own without a window, as are all names if ``enabled`` is false.
+    """
+    none = F.lit(None).cast("string")
+    base, window, by = none, none, none
+    for rule in reversed([RULES[r] if isinstance(r, str) else r for r in rules] if enabled else []):
+        places = re.compile(rule.pattern).groupindex
+        pattern = rule.pattern.replace("(?P<", "(?<")
+        hit = F.col("feature").rlike(pattern)
+        raw = F.regexp_extract("feature", pattern, places["window"])
+        before, _, behind = rule.template.partition("{window}")
+        named = _lookup(raw, rule.alias, None) if rule.alias else none
+        base = F.when(hit, F.regexp_extract("feature", pattern, places["base"])).otherwise(base)
+        window = F.when(hit, F.coalesce(named, F.concat(F.lit(before), raw, F.lit(behind)))).otherwise(window)
+        by = F.when(hit, F.lit(rule.name)).otherwise(by)
+    out = features.withColumns({"family": F.coalesce(base, F.col("feature")), "window": window, "rule": by})
+    rank = _lookup(F.col("window"), {w: i for i, w in enumerate(windows)}, len(windows))
+    out = out.withColumn("window_rank", F.when(F.col("window").isNotNull(), rank))
+    unknown = [r["window"] for r in out.where(F.col("window").isNotNull() & ~F.col("window").isin(list(windows))).select("window").distinct().limit(20).collect()]
+    if unknown:
+        log.warning("windows without a rank stand last: %s", ", ".join(sorted(unknown)))
+    return out
+
+
+def group_members(features: DataFrame, groups: dict[str, dict]) -> DataFrame:
+    """``parse_groups`` with the rules of each feature's group: group_prefer (best_iv), group_max_keep (2) and group_corr_cutoff (0.85)."""
+    out = parse_groups(features, groups)
+    for name, key, default in (("group_prefer", "prefer", "best_iv"), ("group_max_keep", "keep", 2), ("group_corr_cutoff", "corr_cutoff", 0.85)):
+        out = out.withColumn(name, _lookup(F.col("group"), {g: type(default)(rule.get(key, default)) for g, rule in groups.items()}, None))
+    return out
+
+
+def missing_members(features: DataFrame, groups: dict[str, dict]) -> DataFrame:
+    """(group, feature) of features that a group lists by name and that are not there."""
+    listed = features.sparkSession.createDataFrame([(g, f) for g, rule in groups.items() for f in rule.get("features", [])], "`group` string, feature string")
+    return listed.join(features.select("feature"), "feature", "left_anti").select("group", "feature")
+
+
+def rank_by_group_rules(report: DataFrame, position: str = "position") -> DataFrame:
+    """``report`` (group_members) with group_size, in_group_rank and group_kept by the rules of each group.
+
+    best_iv, and any preference that is not known, ranks by value; first by ``position``. Features without a group have 0, 0
+    and true.
+    """
+    whole = Window.partitionBy("group")
+    grouped = F.col("group").isNotNull()
+    first = F.col("group_prefer") == "first"
+    order = whole.orderBy(F.when(first, F.col(position)), F.when(~first, -F.col("iv")).asc_nulls_last(), "feature")
+    out = report.withColumns({"group_size": F.when(grouped, F.count(F.lit(1)).over(whole)).otherwise(0), "in_group_rank": F.when(grouped, F.row_number().over(order)).otherwise(0)})
+    return out.withColumn("group_kept", ~grouped | (F.col("in_group_rank") <= F.col("group_max_keep")))
+
+
+def family_gain_audit(gains: DataFrame, families: DataFrame, most: float = 0.40) -> DataFrame:
+    """(family, total_gain, kept_count, gain_share) of (feature, gain), greatest share first; a feature without a family is its own.
+
+    A family of several features with more than ``most`` of all gain is warned of. Without any gain there is no row.
+    """
+    joined = gains.join(families.select("feature", "family"), "feature", "left").withColumn("family", F.coalesce("family", "feature"))
+    total = gains.agg(F.sum("gain")).first()[0] or 0.0
+    if total <= 0:
+        return joined.limit(0).select("family", F.col("gain").alias("total_gain"), F.lit(0).cast("long").alias("kept_count"), F.col("gain").alias("gain_share"))
+    out = joined.groupBy("family").agg(F.sum("gain").alias("total_gain"), F.count("feature").alias("kept_count")).withColumn("gain_share", F.col("total_gain") / total)
+    for r in out.where((F.col("gain_share") > most) & (F.col("kept_count") > 1)).limit(20).collect():
+        log.warning("%s has %.1f %% of all gain with %s features", r["family"], r["gain_share"] * 100, r["kept_count"])
+    return out.orderBy(F.desc("gain_share"), "family")
+
+
 def parse_groups(features: DataFrame, groups: dict[str, dict]) -> DataFrame:
     """``features`` with group: the first that lists the feature or one of its prefixes, else NULL."""
     out = F

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftwork.operators.histogram import ordered, quantile, quantiles
-from liftwork.sources.intermediate import stored
 
 EPSILON = 1e-6
 
@@ -68,12 +67,13 @@ def lift_at_k(counts: DataFrame, k: float = 0.10) -> DataFrame:
     return both.select("feature", lift.alias("lift"), F.coalesce(F.try_divide(F.col("top").cast("double"), F.col("positives")), F.lit(0.0)).alias("concentration"))
 
 
-def gini(hist: DataFrame) -> DataFrame:
+def gini(hist: DataFrame, placed: DataFrame | None = None) -> DataFrame:
     """(feature, gini): |2 AUC - 1| with missing values at the feature's median; 0 without two known values or two classes among them.
 
-    Ranks follow from the counts of smaller values; rows without a value stand among those of the median.
+    Ranks follow from the counts of smaller values; rows without a value stand among those of the median. ``placed``:
+    ``ordered(hist)``, if it is there already.
     """
-    placed = stored(ordered(hist), "gini-values")
+    placed = ordered(hist) if placed is None else placed
     missing = hist.where("value is null").select("feature", F.col("n").alias("mn"), F.col("pos").alias("mp"))
     middle = placed.groupBy("feature").agg(quantile(0.5).alias("median"), F.sum("n").alias("known"), F.sum("pos").alias("kp"))
     middle = middle.join(missing, "feature", "left").fillna(0, ["mn", "mp"])  # a row a feature
@@ -98,6 +98,12 @@ def missing_stats(hist: DataFrame) -> DataFrame:
     )
 
 
+def missing_report(hist: DataFrame, types: dict[str, str]) -> DataFrame:
+    """``missing_stats`` with the type that each feature had before it was cleaned, most missing first."""
+    names = hist.sparkSession.createDataFrame(list(types.items()), "feature string, dtype string")
+    return missing_stats(hist).join(F.broadcast(names), "feature", "left").select("feature", "missing_rate", "n_unique", "dtype", "n_total").orderBy(F.desc("missing_rate"), "feature")
+
+
 def profile(hist: DataFrame, by: list[str] = ["feature"]) -> DataFrame:  # noqa: B006
     """(by..., n, missing_rate, mean, median, p10, p90) of the known values."""
     sums = hist.groupBy(*by).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liftwork.operators import binning, signals
-from liftwork.operators.histogram import histogram, quantiles
+from liftwork.operators.histogram import histogram, ordered, quantiles
 from liftwork.sources.intermediate import stored
 from liftwork.sources.products import LINE_SQL, line_values, lines
 
@@ -213,10 +213,9 @@ def cum_lift_curve(spark, sf_dir):
 def merge_small_bins(spark, sf_dir):
     """Edges after bins under 10.5 per cent of the rows have been merged."""
     hist = _hist(spark, sf_dir)
-    least = F.greatest(F.lit(50), F.floor(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))) * 105 / 1000))
     plain = binning.equal_frequency_edges(hist, least=0)
-    merged = [binning.merged_edges(hist.where(F.col("feature") == r["feature"]), plain.where(F.col("feature") == r["feature"]), r["least"]) for r in hist.groupBy("feature").agg(least.cast("int").alias("least")).collect()]
-    return reduce(DataFrame.unionByName, merged).select("feature", F.size("edges").alias("n_edges"), F.round(F.aggregate("edges", F.lit(0.0), lambda a, e: a + e), 4).alias("edge_sum"))
+    merged = binning.merged_edges(hist, plain.withColumn("least", F.greatest(F.lit(50), F.floor(F.col("n") * 105 / 1000))))
+    return merged.select("feature", F.size("edges").alias("n_edges"), F.round(F.aggregate("edges", F.lit(0.0), lambda a, e: a + e), 4).alias("edge_sum"))
 
 
 @query()
@@ -239,9 +238,10 @@ select feature, round(iv, 6) as iv, n_bins, monotonic, round((t.n / total) / 1,
 def scan_all(spark, sf_dir):
     """Every signal of a feature in one report, best value first: all but the stability are read from one histogram."""
     hist = _hist(spark, sf_dir)
-    counts = stored(binning.counted(hist, binning.equal_frequency_edges(hist)), "scan-counts")
+    placed = ordered(hist)
+    counts = stored(binning.counted(hist, binning.equal_frequency_edges(hist, placed=placed)), "scan-counts")
     woe = signals.woe_table(counts)
-    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(hist), signals.missing_stats(hist), _psi(spark, sf_dir)]
+    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(hist, placed), signals.missing_stats(hist), _psi(spark, sf_dir)]
     out = reduce(lambda a, b: a.join(b, "feature", "full"), parts)
     out = out.fillna({"iv": 0.0, "lift": 1.0, "gini": 0.0, "concentration": 0.0, "psi": 0.0, "missing_rate": 0.0, "n_unique": 0})
     rounded = ("iv", "lift", "concentration", "gini", "missing_rate", "psi")

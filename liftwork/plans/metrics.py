@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from liftwork.operators import ranking, splitting
+from liftwork.operators.histogram import histogram, quantiles
 from liftwork.plans.splits import CUTS_SQL
 from liftwork.sources.products import ORDER_SQL, orders
 
@@ -106,8 +107,15 @@ QUANTS = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 
 @query(f"with {ORDER_SQL} select o_orderpriority as seed, count(*) as n, round(avg(score), 6) as mean, round(stddev_pop(score), 6) as std, min(score)::double as least, max(score)::double as most, {', '.join(f'round(quantile_cont(score, {q})::double, 6) as p{int(q * 100)}' for q in QUANTS)} from ord group by 1")
 def score_quantiles(spark, sf_dir):
-    f = [F.round(F.expr(f"percentile(score, {q})"), 6).alias(f"p{int(q * 100)}") for q in QUANTS]
-    return orders(spark, sf_dir).groupBy(F.col("o_orderpriority").alias("seed")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.stddev_pop("score"), 6).alias("std"), F.min("score").alias("least"), F.max("score").alias("most"), *f)
+    o = orders(spark, sf_dir).withColumnRenamed("o_orderpriority", "seed")
+    sums = o.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.stddev_pop("score"), 6).alias("std"), F.min("score").alias("least"), F.max("score").alias("most"))
+    f = _score_quantiles(o, {f"p{int(q * 100)}": q for q in QUANTS}, ["seed"])
+    return sums.join(f.select("seed", *(F.round(c, 6).alias(c) for c in f.columns if c != "seed")), "seed")
+
+
+def _score_quantiles(df, shares, by):
+    """(by..., names...): quantiles of the score, by a histogram of its values."""
+    return quantiles(histogram(df.select(*by, F.col("score").cast("double").alias("value")), None, by), shares, by)
 
 
 SCORED = f"{CUTS_SQL}, s as (select *, case when day <= cut1 then 'train' when day <= cut2 then 'valid' else 'oot' end as split from ord, cuts)"
@@ -117,8 +125,10 @@ SCORED = f"{CUTS_SQL}, s as (select *, case when day <= cut1 then 'train' when d
 select o_orderpriority as seed, round(avg(score), 6) as mean, round(median(score)::double, 6) as median, round(avg((score >= p90)::int), 6) as share from s, cut group by 1""")
 def score_summary(spark, sf_dir):
     s = splitting.split_by_day(orders(spark, sf_dir))
-    cut = s.where("split = 'oot'").agg(F.expr("percentile(score, 0.9)").alias("p90"))
-    return s.crossJoin(F.broadcast(cut)).groupBy(F.col("o_orderpriority").alias("seed")).agg(F.round(F.avg("score"), 6).alias("mean"), F.round(F.expr("percentile(score, 0.5)"), 6).alias("median"), F.round(F.avg((F.col("score") >= F.col("p90")).cast("int")), 6).alias("share"))  # one row
+    s = s.withColumnRenamed("o_orderpriority", "seed")
+    cut = _score_quantiles(s.where("split = 'oot'"), {"p90": 0.9}, ["split"]).select("p90")
+    sums = s.crossJoin(F.broadcast(cut)).groupBy("seed").agg(F.round(F.avg("score"), 6).alias("mean"), F.round(F.avg((F.col("score") >= F.col("p90")).cast("int")), 6).alias("share"))  # one row
+    return sums.join(_score_quantiles(s, {"median": 0.5}, ["seed"]), "seed").select("seed", "mean", F.round("median", 6).alias("median"), "share")
 
 
 DECILES = f"""{SCORED}, e as (select quantile_cont(score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])::double[] as e from s where split = 'oot'),
@@ -127,7 +137,8 @@ d as (select o_orderpriority as seed, len(list_filter(e, lambda x: x <= score))
 
 def _deciles(spark, sf_dir):
     s = splitting.split_by_day(orders(spark, sf_dir))
-    edges = s.where("split = 'oot'").agg(F.expr("percentile(score, array(0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9))").alias("e"))
+    names = {f"e{k}": k / 10 for k in range(1, 10)}
+    edges = _score_quantiles(s.where("split = 'oot'"), names, ["split"]).select(F.array(*names).alias("e"))
     placed = s.crossJoin(F.broadcast(edges)).withColumn("decile", F.size(F.filter("e", lambda x: x <= F.col("score"))) + 1)  # one row
     return placed.withColumnRenamed("o_orderpriority", "seed").groupBy("seed", "decile").agg(F.count(F.lit(1)).alias("n"))
 
