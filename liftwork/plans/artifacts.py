@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from liftwork.functions.cleaning import MissingRules
-from liftwork.models import replay, screening
-from liftwork.models.boosting import Run
+from liftwork.models import replay, screening, serving
+from liftwork.models.boosting import Model, Run, Tree
 from liftwork.operators import fusion, preparation, splitting
 from liftwork.operators.binning import digit, equal_frequency_edges
 from liftwork.operators.histogram import histogram
@@ -17,7 +17,7 @@ from liftwork.plans.models import FEATURES, KEY, ordered_goods
 from liftwork.plans.tables import CHAIN
 from liftwork.sources import buckets, positions, sinks
 from liftwork.sources.intermediate import shared_dir, stored
-from liftwork.sources.products import LINE_FEATURES, lines, table
+from liftwork.sources.products import LINE_FEATURES, ORDER_SQL, lines, orders, table
 from liftwork.streaming import drift
 
 QUERIES, SQL = {}, {}
@@ -161,3 +161,27 @@ def overwritten_partitions(spark, sf_dir):
     sinks.overwrite_partitions(o, folder, ["status"])
     sinks.overwrite_partitions(o.where("status = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2), folder, ["status"])
     return spark.read.parquet(folder).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+# -- served models
+
+_EDGES = {"price": [0.0, 100000.0, 250000.0, 600000.0], "score": [0.0, 0.5, 1.0]}
+
+
+def _stump(feature: int, cut: int, missing_left: bool, left: float, right: float) -> Tree:
+    tree = Tree.empty(1)
+    tree.feature[0], tree.bin[0], tree.missing_left[0], tree.value[1], tree.value[2] = feature, cut, missing_left, left, right
+    return tree
+
+
+@query(f"""with {ORDER_SQL}, scored as (select o_custkey as entity, case when o_orderpriority = '1-URGENT' then -1.0
+  else 1 / (1 + exp(-(case when o_totalprice < 250000 then -0.8 else 0.6 end + case when o_orderkey % 7 = 0 or score < 0.5 then 0.3 else -0.4 end))) end as score from ord)
+select entity, round(max(score)::double, 6) as score, count(*) as n, count(*) filter (where score = -1) as failed from scored group by entity""")
+def served_entities(spark, sf_dir):
+    """Customers' best scores from vectors written as text; those that cannot be read score -1."""
+    o = orders(spark, sf_dir)
+    fields = F.struct(F.col("o_totalprice").alias("price"), F.when(F.col("o_orderkey") % 7 != 0, F.col("score")).alias("score"))
+    vector = F.when(F.col("o_orderpriority") == "1-URGENT", "{broken").otherwise(F.to_json(fields))
+    model = Model(Run("stumps"), [_stump(0, 1, True, -0.8, 0.6), _stump(1, 0, True, 0.3, -0.4)])
+    found = serving.entity_scores(o.select(F.col("o_custkey").alias("entity"), vector.alias("vector")), model, _EDGES, "stumps-1")
+    return found.select("entity", F.round("score", 6).alias("score"), "n", "failed")

@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftwork.operators import binning, signals
+from liftwork.functions.cleaning import clean
+from liftwork.operators import binning, scan, signals
 from liftwork.operators.histogram import histogram, ordered, quantiles
 from liftwork.sources.intermediate import stored
-from liftwork.sources.products import LINE_SQL, line_values, lines
+from liftwork.sources.products import LINE_FEATURES, LINE_SQL, RULES, line_values, lines
 
 QUERIES, SQL = {}, {}
 
@@ -246,3 +247,32 @@ def scan_all(spark, sf_dir):
     out = out.fillna({"iv": 0.0, "lift": 1.0, "gini": 0.0, "concentration": 0.0, "psi": 0.0, "missing_rate": 0.0, "n_unique": 0})
     rounded = ("iv", "lift", "concentration", "gini", "missing_rate", "psi")
     return out.select(*(F.round(c, 6).alias(c) if c in rounded else c for c in out.columns)).orderBy(F.desc("iv"), "feature")
+
+
+_MASKS = {"supervised": "flag <> 'A'", "unsupervised": "day < 20000101", "expected": "day < 19970101", "actual": "day >= 19990101"}
+_MASKED_SQL = f"""with recursive {LINE_SQL},
+sup as (select feature, value, y from values_ where {_MASKS["supervised"]}), ref as (select feature, value from values_ where {_MASKS["expected"]}),
+{edges_sql("sup", "sedges")},
+{edges_sql("ref", "pedges")},
+sbins as (select s.feature, s.y, {BIN_SQL} from sup s join sedges using (feature)), counts as (select feature, bin, count(*) as n, sum(y) as pos from sbins group by feature, bin),
+woe as (select feature, bin, n, pos, ln(((pos + 1e-6) / (sum(pos) over w + 1e-6)) / ((n - pos + 1e-6) / (sum(n - pos) over w + 1e-6))) as woe, pos / sum(pos) over w - (n - pos) / sum(n - pos) over w as gap from counts window w as (partition by feature)),
+ivs as (select feature, sum(gap * woe) as iv, count(*) filter (where bin >= 0) as n_bins from woe group by feature),
+miss as (select feature, count(*) filter (where value is null) / count(*) as missing_rate, count(distinct value) as n_unique, count(*) as n_total from values_ where {_MASKS["unsupervised"]} group by feature),
+pbins as (select v.feature, {_MASKS["expected"]} as e, {BIN_SQL} from values_ v join pedges using (feature) where {_MASKS["expected"]} or {_MASKS["actual"]}),
+psides as (select feature, bin, count(*) filter (where e) as e, count(*) filter (where not e) as a from pbins group by feature, bin),
+pshares as (select feature, case when e = 0 then 1e-6 else e / sum(e) over (partition by feature) end as e, case when a = 0 then 1e-6 else a / sum(a) over (partition by feature) end as a from psides),
+stable as (select feature, sum((a - e) * ln(a / e)) as psi from pshares group by feature),
+wide as (select {", ".join(f"case when {f} <= 0 then null else {f} end as {f}" for f in LINE_FEATURES)} from line where l_returnflag <> 'A'),
+pairs as ({" union all ".join(f"select '{a}' as f1, '{b}' as f2, count(*) filter (where {a} is not null and {b} is not null) as n, (select avg({a}) from wide) as ma, (select avg({b}) from wide) as mb, sum(({a} - (select avg({a}) from wide)) * ({b} - (select avg({b}) from wide))) as c, stddev_pop({a}) as sa, stddev_pop({b}) as sb from wide" for k, a in enumerate(LINE_FEATURES) for b in LINE_FEATURES[k + 1:])}),
+near as (select unnest([f1, f2]) as feature from pairs where abs(c / (n * sa * sb)) >= 0.002), partners as (select feature, count(*) as n_corr from near group by feature)
+select feature, round(iv, 6) as iv, n_bins, round(missing_rate, 6) as missing_rate, n_unique, n_total, round(psi, 6) as psi, coalesce(n_corr, 0) as n_corr from ivs join miss using (feature) join stable using (feature) left join partners using (feature)"""
+
+
+@query(_MASKED_SQL)
+def scan_masked(spark, sf_dir):
+    """Every signal over rows of its own: labelled ones, early ones, two periods; with the number of correlated partners."""
+    cleaned = lines(spark, sf_dir)
+    types = dict(cleaned.dtypes)
+    wide = cleaned.select("y", "day", F.col("l_returnflag").alias("flag"), *(clean(f, types[f], RULES).alias(f) for f in LINE_FEATURES))
+    found = scan.scan_masked(wide, LINE_FEATURES, *(F.expr(m) for m in _MASKS.values()), threshold=0.002)
+    return found.select("feature", _r("iv"), "n_bins", _r("missing_rate"), "n_unique", "n_total", _r("psi"), "n_corr")

@@ -196,3 +196,86 @@ def test_companion_rows_of_metrics(spark):
     df = spark.createDataFrame(rows, "k int, y int, score double, split string, calibration boolean, all_missing boolean")
     got = {r["split"]: r["n"] for r in ranking.evaluated(ranking.with_companions(df), ["k"]).collect()}
     assert got == {"oot": 50, "oot_excl_all_na": 40, "valid": 30, "valid_calib": 20}
+
+
+def test_naming_rules_and_presets(spark):
+    from liftwork.operators import selection
+
+    names = ["bal_30d", "bal_d90", "bal_last30days", "bal_近7天", "bal_3mon", "bal_2y", "bal", "n_60", "x_W5_y", "all"]
+    frame = spark.createDataFrame([(n,) for n in names], "feature string")
+    own = selection.FamilyRule("own", r"^(?P<base>.+)_W(?P<window>\d)_y$", alias={"5": "30d"})
+    rules = ["suffix_day", "prefix_d", "english_last_days", "chinese_jin_days", "suffix_mon_to_days", "suffix_year_to_days", "number_only", own]
+    got = {r["feature"]: (r["family"], r["window"], r["window_rank"], r["rule"]) for r in selection.families_by_rules(frame, rules).collect()}
+    assert got["bal_30d"] == ("bal", "30d", 1, "suffix_day") and got["bal_d90"] == ("bal", "90d", 2, "prefix_d")
+    assert got["bal_last30days"][:3] == ("bal", "30d", 1) and got["bal_近7天"][:3] == ("bal", "7d", 0)
+    assert got["bal_3mon"][:3] == ("bal", "90d", 2) and got["bal_2y"][:3] == ("bal", "720d", 8)
+    assert got["n_60"][:3] == ("n", "60d", 8) and got["x_W5_y"] == ("x", "30d", 1, "own")
+    assert got["bal"] == ("bal", None, None, None) and got["all"] == ("all", None, None, None)
+    off = selection.families_by_rules(frame, rules, enabled=False).collect()
+    assert all(r["family"] == r["feature"] and r["window"] is None for r in off)
+    for name, rule in selection.RULES.items():
+        assert {"base", "window"} <= set(__import__("re").compile(rule.pattern).groupindex), name
+
+
+def test_family_audit_warns_and_joins(spark, caplog):
+    import logging
+
+    from liftwork.operators import selection
+
+    gains = spark.createDataFrame([("a_30d", 6.0), ("a_90d", 1.0), ("b", 2.0), ("c", 1.0)], "feature string, gain double")
+    families = selection.families_by_rules(gains.where("feature <> 'c'").select("feature"), ["suffix_day"])
+    with caplog.at_level(logging.WARNING):
+        got = [(r["family"], r["total_gain"], r["kept_count"]) for r in selection.family_gain_audit(gains, families).collect()]
+    assert got == [("a", 7.0, 2), ("b", 2.0, 1), ("c", 1.0, 1)] and "a has 70.0 %" in caplog.text
+    assert selection.family_gain_audit(gains.withColumn("gain", gains["gain"] * 0), families).count() == 0
+
+
+def test_isotonic_tables_across_ranges(spark, monkeypatch):
+    """Ranges of three pools give the table of all scores at once, also where violators cross many ranges."""
+    r = random.Random(12)
+    rows = [(round(r.random(), 3), int(r.random() < 0.2 + 0.5 * (k % 2) * r.random())) for k in range(900)] + [(0.99 + k / 10_000, 0) for k in range(60)]
+    df = spark.createDataFrame(rows, "score double, y int")
+    whole = sorted((x["x"], x["y"]) for x in fusion.isotonic_table(df).collect())
+    monkeypatch.setattr(fusion, "POOLS", 6)
+    cut = sorted((x["x"], x["y"]) for x in fusion.isotonic_table(df).collect())
+    assert [x for x, _ in cut] == [x for x, _ in whole] and [y for _, y in cut] == pytest.approx([y for _, y in whole])
+    by = {}
+    for s, y in rows:
+        by.setdefault(s, []).append(y)
+    pools = fusion._pooled((float(sum(by[s])), float(len(by[s])), s, s) for s in sorted(by))
+    want = [(x, p / n) for p, n, low, high in pools for x in dict.fromkeys((low, high))]
+    assert [x for x, _ in whole] == [x for x, _ in want] and [y for _, y in whole] == pytest.approx([y for _, y in want])
+
+
+def test_dataset_with_a_calibration_part(spark):
+    rows = [(k, 20240101 + k // 40, k % 2, None if k % 9 == 0 else float(k % 17)) for k in range(400)]
+    df = spark.createDataFrame(rows, "k long, day int, y int, v double")
+    out = preparation.build_dataset(df, {"v": "median"}, ["k"], carve=0.5)
+    held = out.where("calibration").agg({"k": "min", "*": "count"}).first()
+    valid = out.where("split = 'valid'")
+    assert "calibration" in out.columns and out.where("calibration and split <> 'valid'").count() == 0
+    assert held["count(1)"] in (0, valid.count() // 2)  # none where the part is too small
+
+
+def test_zeros_as_missing(spark):
+    from liftwork.models import screening
+
+    df = spark.createDataFrame([(0.0, 1.0), (2.0, 0.0)], "a double, b double")
+    seen = lambda **o: [tuple(r) for r in screening.zero_as_missing(df, ["a", "b"], **o).collect()]
+    assert seen() == [(None, 1.0), (2.0, None)] == seen(treat_zero=False, sentinels=(0,))
+    assert seen(treat_zero=False) == [(0.0, 1.0), (2.0, 0.0)]
+
+
+def test_one_parse_of_a_model_per_worker(spark):
+    from liftwork.models import serving
+    from liftwork.models.boosting import Model, Run, Tree
+
+    tree = Tree.empty(1)
+    tree.feature[0], tree.value[1], tree.value[2] = 0, -1.0, 1.0
+    rows = [(k % 7, '{"a": %d}' % (k % 3)) for k in range(400)] + [(9, "no vector"), (9, '{"a": "x"}'), (10, None), (None, '{"b": 1}')]
+    frame = spark.createDataFrame(rows, "entity long, vector string").repartition(16)
+    loads = spark.sparkContext.accumulator(0)
+    for version in ("one", "one", "two"):
+        got = {r["entity"]: (round(r["score"], 4), r["failed"]) for r in serving.entity_scores(frame, Model(Run("m"), [tree]), {"a": [0.0, 1.0, 2.0]}, f"{version}-{id(loads)}", loads=loads).collect()}
+        assert got[0] == (0.7311, 0) and got[9] == (-1.0, 2) and got[10] == (-1.0, 1)
+    assert 2 <= loads.value <= 2 * 4  # four workers, two versions, sixteen tasks a run
