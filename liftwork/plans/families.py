@@ -1,10 +1,10 @@
-"""Queries of naming rules, group rules and family audits, and their SQL."""
+"""Queries of naming rules, group rules, family audits and entity tables, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from liftwork.operators import selection, signals
+from liftwork.operators import entities, selection, signals
 from liftwork.operators.histogram import histogram
 from liftwork.sources.products import LINE_FEATURES, LINE_SQL, line_values, lines, table
 
@@ -97,3 +97,42 @@ def missing_report(spark, sf_dir):
     types = {c: t for c, t in lines(spark, sf_dir).dtypes if c in LINE_FEATURES}
     found = signals.missing_report(histogram(line_values(spark, sf_dir, ("y",))), types)
     return found.withColumn("missing_rate", F.round("missing_rate", 6))
+
+
+# -- entity tables: (prefix, entity column, date column, day counted back from, values, codes, none)
+_WINDOWS = {"90d": 90, "360d": 360, "all": None}
+_RELATED = (
+    ("ord", "o_custkey", "o_orderdate", "1998-01-01", {"price": "o_totalprice", "seventh": "o_totalprice / 7"}, (), {}),
+    ("line", "o_custkey", "l_shipdate", "1998-01-01", {"qty": "l_quantity", "net": "(l_extendedprice - l_extendedprice * l_discount) / 7"}, (), {}),
+    ("ev", "user_id", "ts", "2024-01-31", {"value": "value"}, (), {}),
+    ("prio", "o_custkey", "o_orderdate", "1998-01-01", {"code": "o_orderpriority__code"}, ("o_orderpriority",), {}),
+    ("tax", "o_custkey", "l_shipdate", "1998-01-01", {"tax": "l_tax"}, (), {"tax": 0.05}),
+)
+_FROM = {"ord": "orders", "line": "orders join lineitem on o_orderkey = l_orderkey", "ev": "events", "prio": "(select *, dense_rank() over (order by o_orderpriority) - 1 as o_orderpriority__code from orders)", "tax": "orders join lineitem on o_orderkey = l_orderkey"}
+
+
+def _part_sql(prefix: str, entity: str, date: str, day: str, values: dict, none: dict) -> str:
+    cells = []
+    for w, cap in _WINDOWS.items():
+        inside = "true" if cap is None else f"abs(days) <= {cap}"
+        for v in values:
+            cells += [f"round(avg({v}) filter (where {inside}), 8) as {prefix}_{v}_mean_{w}", f"round(max({v}) filter (where {inside}), 8) as {prefix}_{v}_max_{w}",
+                      f"case when count(*) filter (where {inside}) > 0 then round(coalesce(sum({v}) filter (where {inside}), 0), 6) end as {prefix}_{v}_sum_{w}"]
+        cells.append(f"nullif(count(*) filter (where {inside}), 0) as {prefix}_cnt_{w}")
+    columns = ", ".join(f"nullif(({e})::double, {none[v]}) as {v}" if v in none else f"({e})::double as {v}" for v, e in values.items())
+    return f"{prefix} as (select k, {', '.join(cells)} from (select {entity} as k, date_diff('day', {date}::date, date '{day}') as days, {columns} from {_FROM[prefix]}) where k is not null group by k)"
+
+
+@query(
+    "with " + ", ".join(_part_sql(p, e, d, day, v, n) for p, e, d, day, v, _, n in _RELATED)
+    + " select c_custkey as k, " + ", ".join(f"{p}.* exclude (k)" for p, *_ in _RELATED) + " from customer " + " ".join(f"left join {p} on {p}.k = c_custkey" for p, *_ in _RELATED)
+)
+def entity_builders(spark, sf_dir):
+    """A wide row a customer from five related tables, by one configuration of windowed aggregates."""
+    o = table(spark, sf_dir, "orders")
+    bought = o.join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    tables = {"ord": o, "line": bought, "ev": table(spark, sf_dir, "events"), "prio": o, "tax": bought}
+    specs = [entities.Related(p, e, f"datediff(date'{day}', cast({d} as date))", v, c, n) for p, e, d, day, v, c, n in _RELATED]
+    out = entities.entity_table(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k", tables, specs, _WINDOWS)
+    places = lambda c: 8 if "_mean_" in c or "_max_" in c else 6 if "_sum_" in c else None
+    return out.select(*(F.round(c, places(c)).alias(c) if places(c) is not None else c for c in out.columns))
