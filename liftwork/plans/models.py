@@ -107,7 +107,11 @@ def stability_ranks(spark, sf_dir):
     return screening.stability(split, KEY, FEATURES, seeds=3, rounds=3, patience=0)
 
 
-SCORE = F.coalesce(F.col("hint"), F.lit(0.0)) + F.coalesce(F.col("qty"), F.lit(0.0)) / 500 - F.coalesce(F.col("price"), F.lit(0.0)) / 1000000
+def _score():
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return zero("hint") + zero("qty") / 500 - zero("price") / 1000000
+
+
 _SCORED = ["price", "qty", "hint"]
 _SCORE_SQL = "round(coalesce({hint}, 0) + coalesce({qty}, 0) / 500 - coalesce({price}, 0) / 1000000, 9)"
 _DEALT = {f: f"case when feature = '{f}' then given else b.{f} end" for f in _SCORED}
@@ -124,7 +128,7 @@ losses as (select feature, s as seed, (select area from areas where feature = ''
 
 
 def _losses(spark, sf_dir):
-    return screening.permutation_losses(ordered_goods(spark, sf_dir), KEY, _SCORED, SCORE, [1, 2, 3])
+    return screening.permutation_losses(ordered_goods(spark, sf_dir), KEY, _SCORED, _score(), [1, 2, 3])
 
 
 @query(f"{LOSS_SQL} select feature, seed, round(loss, 6) as loss from losses")
