@@ -180,7 +180,7 @@ def own_licences(files: DataFrame) -> DataFrame:
     found = best.groupBy("file").agg(*(F.max(F.when(F.col("mode") == m, F.col("b"))).alias(n) for m, n in ((LINE, "line"), (BLOCK, "block"))))
     other = a["licence"].isNull() | ((b["template"] >= len(TEMPLATES)) & (a["licence"] != b["licence"])) | ((a["licence"] == RESERVED) & (b["licence"] != RESERVED))
     identifier = F.regexp_replace(F.regexp_extract(text, _SPDX, 1), r"(-only|-or-later|\+)$", "")
-    spdx = files.dropDuplicates(["file"]).where(text.contains("SPDX-")).select("file", identifier.alias("spdx"), F.size(F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")).alias("lines")).where("spdx <> ''")
+    spdx = files.where(text.contains("SPDX-")).select("file", identifier.alias("spdx"), F.size(F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")).alias("lines")).where("spdx <> ''").dropDuplicates(["file"])
     chosen = F.when(b.isNotNull() & other, b).otherwise(a)
     return found.join(spdx, "file", "full").select(
         "file", F.coalesce("spdx", chosen["licence"]).alias("licence"), F.when(F.col("spdx").isNotNull(), 1.0).otherwise(-chosen["s"]).alias("score"),
