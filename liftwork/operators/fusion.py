@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from liftwork.operators.histogram import histogram, ordered
 from liftwork.operators.ranking import by_score, top_size
+from liftwork.operators.splitting import ranked_within
 from liftwork.sources.intermediate import stored
 from liftwork.sources.positions import numbered
 
@@ -21,24 +22,63 @@ def fuse(r: Column, q: Column, alpha: Column | float) -> Column:
     return F.pow(F.greatest(r, F.lit(FLOOR)), a) * F.pow(F.greatest(q, F.lit(FLOOR)), 1 - a)
 
 
+#: Accuracy of the sketches that tell where about the top k ends: all but some 4 / SKETCH of the rows are counted without their score.
+SKETCH = 1000
+#: More than rounding moves a score.
+MARGIN = 1e-11
+
+
+def _brackets(cells: DataFrame, share: float) -> dict[float, tuple[float, float]]:
+    """For each alpha two values that are likely to have the quantile ``share`` between them."""
+    ends = F.percentile_approx("value", [max(share - 2 / SKETCH, 0.0), min(share + 2 / SKETCH, 1.0)], SKETCH)
+    return {f["alpha"]: tuple(f["ends"]) for f in cells.groupBy("alpha").agg(ends.alias("ends")).collect()}  # a row an alpha
+
+
+def _cuts(cells: DataFrame, brackets: dict[float, tuple[float, float]], size: int) -> list[tuple]:
+    """(alpha, cut, sure, wanted, n, pos): the last of the top ``size`` scores of each alpha, how many of the ``n`` rows with it come in, the positives before and of them.
+
+    Rows outside an alpha's bracket count as one value on either side. If the last score turns out to be there, the alpha is counted
+    again without a bracket.
+    """
+    ends = cells.sparkSession.createDataFrame([(a, *e) for a, e in brackets.items()], "alpha double, low double, high double")
+    value = F.when(F.col("value") < F.col("low") - MARGIN, float("-inf")).when(F.col("value") > F.col("high") + MARGIN, float("inf")).otherwise(F.round("value", 12))
+    ties = cells.join(F.broadcast(ends), "alpha").groupBy("alpha", value.alias("value")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("y").cast("long")), F.lit(0)).alias("pos"))
+    last = ordered(stored(ties, "fusion-ties"), ["alpha"]).where((F.col("before") < size) & (F.col("before") + F.col("n") >= size))
+    found, missed = [], {}
+    for row in last.collect():  # a row an alpha
+        low, high = brackets[row["alpha"]]
+        if (row["value"] == float("-inf") < low) or (row["value"] == float("inf") > high):
+            missed[row["alpha"]] = (float("-inf"), float("inf"))
+        else:
+            found.append((row["alpha"], row["value"], row["pos_before"], size - row["before"], row["n"], row["pos"]))
+    return found + (_cuts(cells, missed, size) if missed else [])
+
+
 def alpha_lifts(df: DataFrame, r: str, q: str, label: str, key: str, k: float = 0.10) -> DataFrame:
-    """(alpha, lift) for every alpha of the grid: lift of the label in the top k by the fused score.
+    """(alpha, lift) for every alpha of the grid: lift of the label in the top k by the fused score; no rows for an empty table.
 
-    The score at which the top k of an alpha ends follows from its histogram; of the rows with that score
-    those first by key come in, and only they are ordered.
+    Only the four columns are written, once. The fused scores of all alphas are counted as they are made: sketches bracket
+    the score at which the top k of an alpha ends, the scores within the bracket are counted one by one, and of the rows
+    with the last score those first by ``key`` come in. Rows are ordered only where such a tie is split.
     """
-    cells = df.select(key, label, r, q, F.explode(F.array(*(F.lit(a) for a in GRID))).alias("alpha"))
-    fused = stored(cells.select("alpha", key, label, (-F.round(fuse(F.col(r), F.col(q), F.col("alpha")), 12)).alias("value")), "fused")
-    placed = ordered(stored(fused.groupBy("alpha", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")), "fused-ties"), ["alpha"])
-    size = top_size(F.col("total"), k)
-    last = placed.where((F.col("before") < size) & (F.col("before") + F.col("n") >= size))
-    last = last.select(F.col("alpha").alias("of"), F.col("value").alias("cut"), F.col("pos_before").alias("sure"), "total", size.alias("size"), (size - F.col("before")).alias("wanted"))  # a row an alpha
-    base = df.agg(F.avg(label).alias("base"))
-    tied = fused.join(F.broadcast(last), (F.col("alpha") == F.col("of")) & (F.col("value") == F.col("cut"))).select("alpha", key, label, "wanted")
-    order = Window.partitionBy("alpha").orderBy(key)
-    hits = tied.withColumn("_r", F.row_number().over(order)).where("_r <= wanted").groupBy("alpha").agg(F.sum(label).alias("tied"))
-    both = last.withColumnRenamed("of", "alpha").join(hits, "alpha", "left").crossJoin(F.broadcast(base))  # one row
-    return both.select("alpha", F.coalesce(F.try_divide((F.col("sure") + F.coalesce("tied", F.lit(0))) / F.col("size"), F.col("base")), F.lit(0.0)).alias("lift"))
+    spark = df.sparkSession
+    rows = stored(df.select(F.col(key).alias("key"), F.col(label).alias("y"), F.col(r).alias("r"), F.col(q).alias("q")), "fusion-rows")
+    n, size, base = rows.agg(F.count(F.lit(1)), top_size(F.count(F.lit(1)), k), F.avg("y")).first()
+    if not n:
+        return spark.createDataFrame([], "alpha double, lift double")
+    exploded = rows.withColumn("alpha", F.explode(F.array(*(F.lit(a) for a in GRID))))
+    cells = exploded.select("alpha", "key", "y", F.nanvl(-fuse(F.col("r"), F.col("q"), F.col("alpha")), F.lit(float("inf"))).alias("value"))
+    cuts = _cuts(cells, _brackets(cells, size / n), size)
+    last = spark.createDataFrame(cuts, "alpha double, cut double, sure long, wanted long, n long, pos long")
+    won, split = F.col("pos"), [c for c in cuts if c[3] < c[4]]
+    if split:
+        near = F.broadcast(last.where("wanted < n").select("alpha", "cut", "wanted"))
+        tied = cells.join(near, "alpha").where((F.abs(F.col("value") - F.col("cut")) < MARGIN) | (F.col("value") == F.col("cut"))).where(F.round("value", 12) == F.col("cut"))
+        placed = ranked_within(tied.select("alpha", "key", "y", "wanted", F.lit(0).alias("one")), ["alpha"], "one", ["key"], "_rank", "_n")
+        hits = placed.where("_rank <= wanted").groupBy("alpha").agg(F.sum("y").alias("tied"))
+        last = last.join(F.broadcast(hits), "alpha", "left")  # a row an alpha
+        won = F.when(F.col("wanted") == F.col("n"), F.col("pos")).otherwise(F.coalesce("tied", F.lit(0)))
+    return last.select("alpha", F.coalesce(F.try_divide((F.col("sure") + won) / size, F.lit(base)), F.lit(0.0)).alias("lift"))
 
 
 def best_alpha(lifts: DataFrame) -> DataFrame:

@@ -140,6 +140,30 @@ def test_alpha_falls_back_on_few_rows(spark):
     assert fusion.fit_alpha(df, "r", "q", "y", "k").first()["origin"] == "grid"
 
 
+@pytest.mark.parametrize(("k", "sketch"), [(0.1, 1000), (0.013, 40), (777, 40), (1, 1000), (5200, 1000)])
+def test_alpha_lifts_with_split_ties(spark, monkeypatch, k, sketch):
+    r = random.Random(11)
+    rows = [(i, r.choice([0.2, 0.5, 0.5, 0.9, r.random()]), None if i % 31 == 0 else r.choice([0.3, 0.5, 0.5, r.random()]), int(r.random() < 0.2)) for i in range(4000)]
+    rows += [(4000 + i, 0.95, 0.95, i % 2) for i in range(1200)]  # a tie across the top tenth, whatever the alpha
+    monkeypatch.setattr(fusion, "SKETCH", sketch)
+    df = spark.createDataFrame(rows, "key int, r double, q double, value int").repartition(7)
+    got = {row.alpha: row.lift for row in fusion.alpha_lifts(df, "r", "q", "value", "key", k).collect()}
+    size = max(1, math.ceil(len(rows) * k)) if isinstance(k, float) else min(k, len(rows))
+    base = sum(row[3] for row in rows) / len(rows)
+    for alpha in fusion.GRID:
+        best = sorted(rows, key=lambda x: (-round(max(x[1], 1e-12) ** alpha * max(x[2] or 0, 1e-12) ** (1 - alpha), 12), x[0]))[:size]
+        assert math.isclose(got[alpha], sum(x[3] for x in best) / size / base, rel_tol=1e-9)
+    assert fusion.alpha_lifts(df.limit(0), "r", "q", "value", "key", k).count() == 0
+
+
+def test_alpha_lifts_where_the_sketch_misses(spark, monkeypatch):
+    rows = [(i, (i * 37 % 101) / 101, (i * 53 % 97) / 97, int(i % 7 == 0)) for i in range(500)]
+    df = spark.createDataFrame(rows, "key int, r double, q double, y int")
+    right = sorted(map(tuple, fusion.alpha_lifts(df, "r", "q", "y", "key").collect()))
+    monkeypatch.setattr(fusion, "_brackets", lambda cells, share: {a: (-0.02, -0.01) if a < 0.5 else (-0.99, -0.98) for a in fusion.GRID})
+    assert sorted(map(tuple, fusion.alpha_lifts(df, "r", "q", "y", "key").collect())) == right
+
+
 def test_correlated_features_form_clusters(spark):
     r = random.Random(2)
     rows = []
