@@ -50,6 +50,42 @@ def test_language_with_clashing_names(spark):
     assert sorted((r.doc_id, r.lang_pred, r["_body"], r["_letters"]) for r in got) == [(1, "en", 1, 2), (1, "en", 1, 2), (2, "de", 1, 2)]
 
 
+def model_of(counts: dict[str, np.ndarray]) -> language_id.Model:
+    """The model of n-gram counts, from the whole table of rates."""
+    languages = sorted(counts)
+    code = language_id.codewords(len(languages))
+    rates = np.stack([(counts[x] + 0.5) / (counts[x].sum() + 0.5 * language_id.BUCKETS) for x in languages])
+    side = lambda some: rates[some].mean(axis=0) if some.any() else np.full(language_id.BUCKETS, 1 / language_id.BUCKETS)
+    weights = np.stack([np.log(side(b > 0) / side(b == 0)) for b in code.T], axis=1).astype(np.float32)
+    means = rates @ weights
+    scale = np.abs(means).mean(axis=0) + 1e-9
+    trust = np.clip((means * np.where(code > 0, 1, -1)).min(axis=0) / scale, 0.05, None)
+    return language_id.Model(languages, code, weights, scale, trust / trust.sum())
+
+
+@pytest.mark.parametrize("languages", [1, 2, 4, 70])
+def test_learned_weights_are_those_of_the_whole_table(spark, languages):
+    r = np.random.default_rng(languages)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz  "))
+    rows = [(f"l{k % languages:02d}", "".join(r.choice(np.roll(letters, k % languages)[:20], 60))) for k in range(3 * languages)] + [("l00", None), (None, "abc"), ("none", "")]
+    counts = {}
+    for lang, text in rows:
+        for found in language_id.grams(pa.array([text]))[1] if lang and text else ():
+            counts[lang] = counts.get(lang, 0) + np.bincount(found, minlength=language_id.BUCKETS + 1)[: language_id.BUCKETS]
+    want, got = model_of(counts), language_id.learn(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    assert got.languages == want.languages and (got.code == want.code).all()
+    for name in ("weights", "scale", "trust"):
+        assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-4, atol=1e-6), name
+    docs = spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate(rows) if lang and text], "doc_id long, lang string, text string")
+    right = [p.lang_pred == p.lang for p in language_id.predict(docs, got).collect()]
+    assert np.mean(right) > (0.95 if languages <= 4 else 0.5)
+
+
+def test_a_thousand_languages_and_more_have_codewords():
+    code = language_id.codewords(1500)
+    assert language_id._least_distance(code) == min(int((code[i] != code[i + 1 :]).sum(axis=1).min()) for i in range(len(code) - 1)) > 0
+
+
 def test_language_grams_and_decoding_by_hand():
     fold = lambda t: " ".join("".join(chr(b) if b >= 128 or chr(b).isalpha() else " " for b in t.encode()).lower().split(" ")) if t else ""
     texts = ["Ab, ab! x", "é é", "", "a1b22c"]
@@ -67,10 +103,10 @@ def test_language_grams_and_decoding_by_hand():
             assert (mine < language_id.BUCKETS).sum() == len(whole)
             of = {}
             assert all(of.setdefault(g, b) == b for g, b in zip(whole, mine.tolist(), strict=False))
-    counts = {x: np.zeros(language_id.BUCKETS, np.int64) for x in ("p", "q", "r")}
+    counts = {x: np.zeros(language_id.BUCKETS, np.int64) for x in ("p", "q", "r")}  # of the model's languages, in this order
     for i, x in enumerate(counts):
         counts[x][i * 10 : i * 10 + 10] = 100
-    model = language_id.Model(counts)
+    model = model_of(counts)
     margins = np.stack([model.weights[[i * 10, i * 10 + 3]].sum(axis=0) for i in range(3)])
     best, score, ambiguous = model.decode(margins, np.full(3, 2))
     sign = np.where(model.code > 0, 1.0, -1.0)
