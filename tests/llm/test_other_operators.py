@@ -63,8 +63,9 @@ def model_of(counts: dict[str, np.ndarray]) -> language_id.Model:
     return language_id.Model(languages, code, weights, scale, trust / trust.sum())
 
 
-@pytest.mark.parametrize("languages", [1, 2, 4, 70])
-def test_learned_weights_are_those_of_the_whole_table(spark, languages):
+@pytest.mark.parametrize(("languages", "batch", "parts"), [(1, 10_000, 3), (2, 10_000, 3), (4, 10_000, 3), (70, 10_000, 1), (70, 20, 1)])
+def test_learned_weights_are_those_of_the_whole_table(spark, languages, batch, parts):
+    """Among others with more languages in a batch, and in a task, than are added up together."""
     r = np.random.default_rng(languages)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz  "))
     rows = [(f"l{k % languages:02d}", "".join(r.choice(np.roll(letters, k % languages)[:20], 60))) for k in range(3 * languages)] + [("l00", None), (None, "abc"), ("none", "")]
@@ -72,7 +73,11 @@ def test_learned_weights_are_those_of_the_whole_table(spark, languages):
     for lang, text in rows:
         for found in language_id.grams(pa.array([text]))[1] if lang and text else ():
             counts[lang] = counts.get(lang, 0) + np.bincount(found, minlength=language_id.BUCKETS + 1)[: language_id.BUCKETS]
-    want, got = model_of(counts), language_id.learn(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        want, got = model_of(counts), language_id.learn(spark.createDataFrame(rows, "lang string, text string").repartition(parts))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got.languages == want.languages and (got.code == want.code).all()
     for name in ("weights", "scale", "trust"):
         assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-4, atol=1e-6), name
