@@ -41,6 +41,14 @@ def test_quantiles_are_those_of_all_rows(spark):
             assert math.isclose(got[f][name], low + (known[math.ceil(place)] - low) * (place - math.floor(place)), abs_tol=1e-12)
 
 
+def test_quantile_between_equal_values_is_the_value(spark):
+    """0.2 of the way from 42519.71 to 42519.71 would be rounded to more than that, and rows with the value go to the bin below."""
+    values = {f"f{k}": v for k, v in enumerate((42519.71, 11331.59, 63287.07, 94602.47))}
+    hist = histogram(long(spark, {f: [(v, 0)] * 25 for f, v in values.items()}))
+    for i in range(1, 10):
+        assert {r["feature"]: r["q"] for r in quantiles(hist, {"q": i / 10}).collect()} == values
+
+
 def test_edges_of_few_values_and_sparse_features(spark):
     rows = {"one": [(2.0, 1)] * 60, "none": [(None, 0)] * 5, "two": [(1.0, 0)] * 80 + [(3.0, 1)] * 70, "thin": [(1.0, 0)] * 200 + [(2.0, 1)] * 3}
     got = {x["feature"]: list(x["edges"]) for x in binning.equal_frequency_edges(histogram(long(spark, rows))).collect()}
