@@ -131,7 +131,11 @@ def halves(values: DataFrame, days: DataFrame) -> DataFrame:
 
 def side_counts(sided: DataFrame, n_bins: int = 10) -> DataFrame:
     """(feature, bin, expected, actual): counts with edges from the expected side."""
-    hist = histogram(sided.withColumn("early", F.col("expected").cast("int")), "early")  # pos: rows of the expected side
+    return side_bins(histogram(sided.withColumn("early", F.col("expected").cast("int")), "early"), n_bins)
+
+
+def side_bins(hist: DataFrame, n_bins: int = 10) -> DataFrame:
+    """``side_counts`` of a histogram (feature, value, n, pos) whose pos are the rows of the expected side."""
     early = hist.where("pos > 0").select("feature", "value", F.col("pos").alias("n"), F.lit(0).cast("long").alias("pos"))
     edges = binning.equal_frequency_edges(early, n_bins)
     return binning.counted(hist, edges).select("feature", "bin", F.col("pos").alias("expected"), (F.col("n") - F.col("pos")).alias("actual"))
@@ -237,12 +241,16 @@ miss as (select feature, count(*) filter (where value is null) / count(*) as mis
 select feature, round(iv, 6) as iv, n_bins, monotonic, round((t.n / total) / 1, 6) * 0 + round((t.pos / t.n) / (positives / total), 6) as lift, round(top / positives, 6) as concentration, round(abs(2 * (s - p * (p + 1) / 2.0) / (p * q) - 1), 6) as gini,
   round(missing_rate, 6) as missing_rate, n_unique, n_total, round(psi, 6) as psi from ivs join mono using (feature) join taken t using (feature) join gsums using (feature) join miss using (feature) join psi using (feature)""".replace("round((t.n / total) / 1, 6) * 0 + ", ""))
 def scan_all(spark, sf_dir):
-    """Every signal of a feature in one report, best value first: all but the stability are read from one histogram."""
-    hist = _hist(spark, sf_dir)
+    """Every signal of a feature in one report, best value first: all are read from one table with a row a distinct value."""
+    sided = halves(line_values(spark, sf_dir), lines(spark, sf_dir))
+    cells = sided.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("y", F.lit(0)).cast("long")).alias("pos"), F.count_if("expected").alias("early"))
+    cells = stored(cells, "scan-cells")
+    hist = cells.select("feature", "value", "n", "pos")
+    stable = signals.psi(side_bins(cells.select("feature", "value", "n", F.col("early").alias("pos"))))
     placed = ordered(hist)
     counts = stored(binning.counted(hist, binning.equal_frequency_edges(hist, placed=placed)), "scan-counts")
     woe = signals.woe_table(counts)
-    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(hist, placed), signals.missing_stats(hist), _psi(spark, sf_dir)]
+    parts = [signals.information_value(woe), signals.monotonic(woe), signals.lift_at_k(counts), signals.gini(hist, placed), signals.missing_stats(hist), stable]
     out = reduce(lambda a, b: a.join(b, "feature", "full"), parts)
     out = out.fillna({"iv": 0.0, "lift": 1.0, "gini": 0.0, "concentration": 0.0, "psi": 0.0, "missing_rate": 0.0, "n_unique": 0})
     rounded = ("iv", "lift", "concentration", "gini", "missing_rate", "psi")
