@@ -12,16 +12,25 @@ from liftwork.sources.intermediate import stored
 _IN_TASK = (1 << 33) - 1  # the part of monotonically_increasing_id that counts within a task
 
 
-def numbered(rows: DataFrame, order: list[str | Column], name: str = "row_id") -> DataFrame:
+def numbered(rows: DataFrame, order: list[str | Column], name: str = "row_id", share: Column | None = None) -> DataFrame:
     """``rows`` with ``name``, their dense position in ``order``; nulls stand first unless ``order`` says otherwise.
 
     Range partitions are sorted and written once; the driver sees one count a partition, and a position is
     the place in the partition plus the rows before it. ``order`` ought to tell different rows apart: rows it
     leaves equal are told apart by where they were read. No task holds more than its range, however many
     rows are equal. An empty table gives an empty result.
+
+    ``share``: a number in [0, 1) that never falls along ``order`` and is spread evenly; rows are then dealt by it, and
+    not read beforehand for the borders of ranges.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = rows.withColumn("_read", F.monotonically_increasing_id()).repartitionByRange(*order, "_read").sortWithinPartitions(*order, "_read")
+    ranged = rows.withColumn("_read", F.monotonically_increasing_id())
+    if share is None:
+        ranged = ranged.repartitionByRange(*order, "_read")
+    else:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = ranged.repartitionById(parts, F.least(F.floor(share * parts), F.lit(parts - 1)).cast("int"))
+    ranged = ranged.sortWithinPartitions(*order, "_read")
     placed = stored(ranged.drop("_read").select("*", F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_TASK)).alias("_place")), "row-ids")
     counts = sorted((r["_task"], r["count"]) for r in placed.groupBy("_task").count().collect())  # a row a partition
     if not counts:
