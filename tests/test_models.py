@@ -144,6 +144,21 @@ def test_null_importance_keeps_the_signal(spark):
         assert kept["good"] and not (kept["noise"] and kept["few"])
 
 
+@pytest.mark.parametrize("metric", ["logloss", "aucpr"])
+def test_equal_rows_are_one_row_of_the_fit(spark, metric):
+    """What a level reads is bound by bins, labels and roles; trees and metrics are those of all rows."""
+    rows = [(k, float(k % 5), float(k % 7), int(k % 5 + k % 7 > 5 and k % 11 > 2), 1 + k // 35 % 2, 1.0 + k % 2) for k in range(1540)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, y int, role int, w double")
+    table = boosting.fit_table(df, "k", {"a": [0.0, 2.0, 3.0, 4.0], "b": [0.0, 3.0, 6.0]}, [F.col("y")], [F.col("role")], F.col("w"))
+    few = boosting.merged_rows(table)
+    assert few.count() <= 3 * 2 * 2 * 2 and few.agg(F.sum("n"), F.sum("weight")).first() == table.agg(F.sum("n"), F.sum("weight")).first()
+    # a run that draws (nearly) all rows is grown on the rows themselves
+    (merged,), (plain,) = (boosting.fit(table, [Run("r", eta=0.3, depth=2, subsample=s)], 2, rounds=4, patience=2, metric=metric) for s in (1.0, 1 - 1e-12))
+    assert merged.scores == pytest.approx(plain.scores, abs=1e-9)
+    for x, y in zip(merged.trees, plain.trees, strict=True):
+        assert x.feature.tolist() == y.feature.tolist() and x.bin.tolist() == y.bin.tolist() and x.value.tolist() == pytest.approx(y.value.tolist(), abs=1e-9)
+
+
 def test_permutation_losses_name_the_signal(spark):
     df = signal(spark)
     losses = screening.permutation_losses(df, "k", ["good", "noise"], F.col("good") + 0.01 * F.col("noise"), [1, 2])
