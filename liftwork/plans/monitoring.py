@@ -52,7 +52,7 @@ def values(spark, sf_dir) -> DataFrame:
 def histograms(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Histograms of all rows, of the late ones and of each population, from one pass."""
     whole = histogram(values(spark, sf_dir), None, ["population", "late", "feature"])
-    merged = lambda d, *by: d.groupBy(*by, "value").agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("pos"))
+    merged = lambda d, *by: stored(d.groupBy(*by, "value").agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("pos")), "merged-histogram")
     seeds = whole.where("not (population = '5-LOW' and feature = 'score_all')")
     return merged(whole, "feature"), merged(whole.where("late"), "feature"), merged(seeds, "population", "feature")
 
