@@ -69,7 +69,7 @@ def cross_psi(seeds: DataFrame, names: list[str]) -> DataFrame:
     """(expected, actual, psi): mean PSI over the features of every pair of populations, with bins of the first; 0 with itself."""
     key = lambda p: F.concat_ws("\x1f", p, F.col("feature"))
     bases = seeds.select(key(F.col("population")).alias("feature"), "value", "n", F.lit(0).cast("long").alias("pos"))
-    # each histogram is read with the bins of every population: few
+    # each histogram is read with the bins of every population, few, and counted where it is read
     each = seeds.select("population", "feature", "value", "n", F.explode(F.array(*(F.lit(n) for n in names))).alias("base"))
     psi = population_psi(bases, each.select("population", key(F.col("base")).alias("feature"), "value", "n"))
     expected = F.substring_index("feature", "\x1f", 1)

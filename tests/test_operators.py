@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from liftwork.operators import binning, correlation, fusion, preparation, ranking, splitting
+from liftwork.operators import binning, correlation, fusion, preparation, ranking, signals, splitting
 from liftwork.operators.histogram import histogram, quantiles
 from liftwork.sources import files
 
@@ -41,6 +41,49 @@ def test_quantiles_are_those_of_all_rows(spark):
             assert math.isclose(got[f][name], low + (known[math.ceil(place)] - low) * (place - math.floor(place)), abs_tol=1e-12)
 
 
+@pytest.mark.parametrize("joined", ["bins", "widths"])
+def test_values_are_not_dealt_by_feature(spark, joined):
+    """A feature's values are no single task, and the few edges go to the values, not the values to the driver."""
+    values = long(spark, {f: [(float(k % 40), k % 2) for k in range(400)] for f in "ab"})
+    edges = spark.createDataFrame([(f, [0.0, 10.0, 39.0]) for f in "ab"], "feature string, edges array<double>")
+    # no side is small enough for a broadcast, so only a stated one is
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = binning.digitized(values, edges) if joined == "bins" else signals.histogram(values, 4)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert len(rows) == 800 if joined == "bins" else sum(r["n"] for r in rows) == 800
+
+
+def test_histograms_of_a_drift_report_are_written_once(spark):
+    from liftwork.plans import monitoring
+
+    for frame in monitoring.histograms(spark, "/root/testdata/sf0.001"):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_dealt_by_an_even_share_have_the_same_numbers(spark):
+    from liftwork.sources.positions import numbered
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(k * 7919 % 1000, k % 3) for k in range(1000)] + [(5, 9), (999, 9)], "place int, x int").repartition(5)
+    want = {(r["place"], r["x"]): r["row_id"] for r in numbered(rows, ["place", "x"]).collect()}
+    got = {(r["place"], r["x"]): r["row_id"] for r in numbered(rows, ["place", "x"], share=F.col("place") / 1000.0).collect()}
+    assert got == want and sorted(got.values()) == list(range(1002))
+
+
+def test_a_day_is_a_number_without_a_text(spark):
+    from liftwork.functions.cleaning import yyyymmdd
+
+    days = spark.sql("select timestamp'1998-02-03 23:59:59' as d union all select timestamp'0007-12-31 00:00:00' union all select null").select(yyyymmdd("d").alias("day"))
+    assert {r["day"] for r in days.collect()} == {19980203, 71231, None}
+    assert "date_format" not in days._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_quantile_between_equal_values_is_the_value(spark):
     """0.2 of the way from 42519.71 to 42519.71 would be rounded to more than that, and rows with the value go to the bin below."""
     values = {f"f{k}": v for k, v in enumerate((42519.71, 11331.59, 63287.07, 94602.47))}
