@@ -21,6 +21,10 @@ trees miss it with a chance below 1e-4. ``LEAF``, ``DENSE``, ``MANY``, ``CHUNK``
 how pairs are compared, not which; nodes of very many members are dealt over several tasks wherever rows
 meet by node.
 
+What is shuffled is kept small. Nodes are built from ids alone, and signatures join the members of nodes that have
+several. Texts are shuffled rather than their sets, which are several times as large and are made again where they
+are compared, and only texts of classes with candidates are: ``likely`` leaves out nearly all others as the documents are read.
+
 Null or blank texts have an empty set and are linked with nothing. Rows with a null doc_id are kept,
 with a null component, and take no part. Rows that repeat a doc_id are documents of their own, each with
 the component of its text. Equal rows are copies of each other. Other columns of the input do not matter,
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from liftwork.llm import staging
 from liftwork.llm.components import Spread, connected, shares
-from liftwork.llm.groups import batched, grouped
+from liftwork.llm.groups import batched, tables
 from liftwork.llm.textbuf import LOWER, RollingHash, mix, slices, text_bytes, word_spans
 
 COORDINATES = 64
@@ -58,6 +62,8 @@ DEPTH = 16
 FINE = 128
 #: Candidate pairs a member beyond which a small node counts as dense.
 MANY = 3
+#: Bits for each wanted key of ``likely``, and the most words of 64 bits; with fewer bits more other rows stay.
+BITS, BIT_WORDS = 16, 1 << 19
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -141,39 +147,49 @@ def signatures(docs: DataFrame, width: int = 2) -> DataFrame:
     return given.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the classes (id, first, h1, h2), as sorted 64-bit values.
+def sets(batches: Iterator[pa.RecordBatch], column: str, width: int) -> list[np.ndarray]:
+    """The shingle set of each row, as sorted 64-bit values."""
+    out: list[np.ndarray] = []
+    for batch in slices(batches, column):
+        value, of, rows = shingle_sets(batch.column(column), width)
+        out += np.split(value, np.cumsum(np.bincount(of, minlength=rows))[:-1])
+    return out
+
 
-    The text is that of the document ``first``; of rows that repeat this doc_id, one whose set is that of the class.
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among those of ``wanted``, and a few others, without a shuffle of ``rows``.
+
+    Wanted keys are marked in a table of bits, one bit each; rows at a bit that is not set are left out.
     """
+    words = max(1, min(BIT_WORDS, wanted.count() * BITS // 64))
+    hashed = F.xxhash64(key)
+    word, bit = F.pmod(hashed, F.lit(words)), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int"))
+    marks = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_marks"))
+    kept = rows.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.col("_marks").bitwiseAND(bit) != 0)
+    return kept.drop("_word", "_marks")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            value, of, rows = shingle_sets(batch.column("text"), width)
-            prints = _fingerprint(value, of, rows)
-            own = (prints[0] == batch.column("h1").to_numpy()) & (prints[1] == batch.column("h2").to_numpy())
-            ends = np.cumsum(np.bincount(of, minlength=rows)) * 8
-            yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(value, ends)], names=["id", "shingles"]).filter(pa.array(own))
 
+def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, text) of the classes (id, doc_id, text_hash), which name the document and the hash of its text."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = given.join(classes.hint("merge"), F.col("doc_id") == F.col("first")).select("id", "h1", "h2", "text")
-    return wanted.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
+    some = likely(given, "doc_id", classes).withColumn("text_hash", F.xxhash64("text"))
+    once = some.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    return once.join(classes.hint("merge"), ["doc_id", "text_hash"]).select("id", "text")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "ta"):
             hit = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for i, (x, y) in enumerate(zip(sets([batch], "ta", width), sets([batch], "tb", width), strict=True)):
                 common = int(_common(x, [y])[0])
                 hit[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(hit))
 
-    left, right = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def _least_agreement(percent: int, coordinates: int = COORDINATES) -> int:
@@ -187,11 +203,11 @@ def _at(sig: Column, coordinate: Column) -> Column:
 
 
 def _branch(nodes: DataFrame, count: int) -> DataFrame:
-    """The children of all members: one row a chosen pair of coordinates."""
+    """The children (path, id) of all members: one row a chosen pair of coordinates."""
     chosen = nodes.withColumn("k", F.explode(F.array(*(F.lit(k) for k in range(count)))))
     first = F.pmod(F.xxhash64("path", "k"), F.lit(COORDINATES)).cast("int")
     second = F.pmod(first + 1 + F.pmod(F.xxhash64("k", "path"), F.lit(COORDINATES - 1)).cast("int"), F.lit(COORDINATES))
-    return chosen.select(F.xxhash64("path", "k", _at(F.col("sig"), first), _at(F.col("sig"), second)).alias("path"), "id", "n", "sig")
+    return chosen.select(F.xxhash64("path", "k", _at(F.col("sig"), first), _at(F.col("sig"), second)).alias("path"), "id")
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
@@ -204,11 +220,14 @@ def _agreement(x: Column, y: Column) -> Column:
     return sum((F.substring(x, 2 * c + 1, 2) == F.substring(y, 2 * c + 1, 2)).cast("int") for c in range(COORDINATES))
 
 
-def _with_sizes(nodes: DataFrame) -> DataFrame:
-    """``nodes`` of several members with size, first member, and salt and spread, their share of a hot node and the number of shares."""
+def _with_sizes(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """``nodes`` (path, id) of several members with size, first member, and salt and spread, their share of a hot node and the number of shares.
+
+    The set size n and the signature of ``classes`` join last: most nodes have a single member.
+    """
     sizes = staging.stored(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first")).where("size > 1"), "near-sizes")
     spread = Spread(sizes, "path", "size")
-    return spread.dealt(nodes, "path", F.col("id")).join(spread.copied(sizes, "path"), ["path", "salt"])
+    return spread.dealt(nodes, "path", F.col("id")).join(spread.copied(sizes, "path"), ["path", "salt"]).join(classes, "id")
 
 
 def _leaf_pairs(leaves: DataFrame, percent: int) -> DataFrame:
@@ -318,7 +337,7 @@ _LINKS = "a long, b long"
 _LINK_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _chunk_links(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """(path, a, b): links of members b of dense nodes (path, id, size, salt, spread) with a member a of their component in a chunk.
 
     Every chunk holds the node's representatives too; ``a`` is the first of them if one is in the component.
@@ -329,13 +348,13 @@ def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     every = chosen.select("path", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id")
     dealt = members.select("path", F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"), "id", F.lit(False).alias("rep")).unionByName(every.withColumn("rep", F.lit(True)))
     dealt = dealt.groupBy("path", "chunk", "id").agg(F.max("rep").alias("rep"))
-    whole = dealt.join(sets, "id").select("path", "chunk", "id", "rep", "shingles")
+    whole = dealt.join(texts, "id").select("path", "chunk", "id", "rep", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for (path, _), rows in grouped(batches, 2):
-                ids = np.array([r[2] for r in rows])
-                for a, b in _star(ids, spanning(ids, [np.frombuffer(r[4], np.uint64) for r in rows], percent), np.array([r[3] for r in rows])):
+            for rows in tables(batches, 2):
+                path, ids, rep = rows["path"][0].as_py(), rows["id"].to_numpy(), rows["rep"].to_numpy()
+                for a, b in _star(ids, spanning(ids, sets(rows.to_batches(), "text", width), percent), rep):
                     yield path, a, b
 
         yield from batched(found(), pa.schema([("path", pa.int64()), *_LINK_SCHEMA]))
@@ -343,7 +362,7 @@ def _chunk_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return whole.repartition("path", "chunk").sortWithinPartitions("path", "chunk", "id").mapInArrow(run, "path long, " + _LINKS)
 
 
-def _rest_links(members: DataFrame, sets: DataFrame, chunked: DataFrame, percent: int) -> DataFrame | None:
+def _rest_links(members: DataFrame, texts: DataFrame, chunked: DataFrame, percent: int, width: int) -> DataFrame | None:
     """Links that members of dense nodes have with others of their node, if they are not joined to its most frequent representative.
 
     ``chunked``: the links of chunks. Only nodes of several chunks are looked at. None without such members.
@@ -368,14 +387,13 @@ def _rest_links(members: DataFrame, sets: DataFrame, chunked: DataFrame, percent
     asking = left.where("asks").select(*kept, F.pmod(hashed, rows).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("column"), F.lit(True).alias("asks"))
     asked = left.select(*kept, F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"), F.pmod(hashed, columns).cast("int").alias("column"), F.lit(False).alias("asks"))
     both = asking.unionByName(asked).groupBy(*kept, "row", "column").agg(F.max("asks").alias("asks"))
-    whole = both.join(sets, "id").select("path", "row", "column", "id", "component", "asks", "shingles")
+    whole = both.join(texts, "id").select("path", "row", "column", "id", "component", "asks", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            for _, group in grouped(batches, 3):
-                ids, asks = np.array([r[3] for r in group]), np.array([r[5] for r in group])
-                names, labels = np.unique([r[4] for r in group], return_inverse=True)
-                joined = spanning(ids, [np.frombuffer(r[6], np.uint64) for r in group], percent, labels, asks)
+            for rows in tables(batches, 3):
+                names, labels = np.unique(rows["component"].to_numpy(), return_inverse=True)
+                joined = spanning(rows["id"].to_numpy(), sets(rows.to_batches(), "text", width), percent, labels, rows["asks"].to_numpy())
                 # a link for each component that was joined with another one
                 lead = np.unique(labels, return_index=True)[1]
                 yield from _star(names, joined[lead], np.zeros(len(names), bool))
@@ -387,13 +405,13 @@ def _rest_links(members: DataFrame, sets: DataFrame, chunked: DataFrame, percent
 
 def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b) of classes, and the members (path, id, size, salt, spread) of dense nodes."""
-    roots = classes.select(F.explode(F.array(*(F.lit(t) for t in range(TREES)))).alias("tree"), "id", F.col("n_shingles").alias("n"), "sig")
-    level = _branch(roots.select(F.xxhash64("tree").alias("path"), "id", "n", "sig"), BRANCHES)
-    candidates, dense = [], []
+    signed = classes.select("id", F.col("n_shingles").alias("n"), "sig")
+    roots = signed.select(F.explode(F.array(*(F.lit(t) for t in range(TREES)))).alias("tree"), "id", "sig")
+    level = _branch(roots.select(F.xxhash64("tree").alias("path"), "id", "sig"), BRANCHES)
+    candidates, dense, done = [], [], []
     member = ("path", "id", "size", "salt", "spread")
-    before = None
     for depth in range(DEPTH):
-        nodes = staging.stored(_with_sizes(level), "near-nodes")
+        nodes = staging.stored(_with_sizes(level, signed), "near-nodes")
         large = nodes.where(F.col("size") > DENSE)
         pivot = shares(large.where("id = first").select("path", "spread", F.col("n").alias("pn"), F.col("sig").alias("psig"))).drop("spread")
         near = large.join(pivot, ["path", "salt"]).withColumn("close", (_agreement(F.col("sig"), F.col("psig")) >= _least_agreement(percent)) & _alike("n", "pn", percent))
@@ -407,14 +425,14 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
         candidates.append(told_pairs.where("path is null").select("a", "b"))
         dense.append(small.join(told_pairs.where("path is not null").select("path"), "path", "left_semi").select(*member))
         thin = staging.stored(told.where(~F.col("thick") & (F.col("size") > LEAF)).select("path", "id", "n", "sig"), "near-thin")
-        if before is not None:
-            staging.drop(before)
-        before = thin
+        done += [nodes, thin]
         if thin.isEmpty() or last:
             break
-        level = _branch(thin, DEEPER)
+        level, signed = _branch(thin, DEEPER), thin.select("id", "n", "sig").dropDuplicates(["id"])
     pairs, members = reduce(DataFrame.unionByName, candidates), reduce(DataFrame.unionByName, dense)
     pairs, members = staging.stored(pairs.distinct(), "near-pairs"), staging.stored(members, "near-dense")
+    staging.drop(*done)
+    staging.release(classes.sparkSession)
     # nodes with the same members are looked at once
     prints = members.groupBy("path", "size", "spread").agg(F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("h")).groupBy("size", "h").agg(F.min(F.struct("path", "spread")).alias("m"))
     once = shares(prints.select("m.path", "m.spread")).drop("spread")
@@ -425,17 +443,22 @@ def linked(docs: DataFrame, percent: int = 80, width: int = 2) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) for every row of ``docs``; text_hash: xxhash64 of the text."""
     table = staging.stored(signatures(docs, width), "near-signatures")
     some = table.where("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("first"), F.first("sig").alias("sig"))
+    classes = some.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("sig").alias("sig"))
     # ids are given once, as the table is written
-    classes = staging.stored(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    classes = classes.select("h1", "h2", "n_shingles", F.col("least.doc_id").alias("first"), "least.text_hash", "sig", F.monotonically_increasing_id().alias("id"))
+    classes = staging.stored(classes, "near-classes")
     pairs, members = _candidates(classes, percent)
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
-    sets = staging.stored(sets_of(docs, classes.join(needed, "id", "left_semi").select("id", "first", "h1", "h2"), width), "near-sets")
-    chunked = staging.stored(_chunk_links(members, sets, percent), "near-chunks")
-    links = confirmed(pairs, sets, percent).unionByName(chunked.select("a", "b"))
-    rest = _rest_links(members, sets, chunked, percent)
-    components = connected((links if rest is None else links.unionByName(rest)).distinct())
-    return _labelled(table, classes, components)
+    needed = staging.stored(classes.join(needed, "id", "left_semi").select("id", F.col("first").alias("doc_id"), "text_hash"), "near-needed")
+    texts = staging.stored(texts_of(docs, needed), "near-texts")
+    chunked = staging.stored(_chunk_links(members, texts, percent, width), "near-chunks")
+    staging.release(docs.sparkSession)
+    links = confirmed(pairs, texts, percent, width).unionByName(chunked.select("a", "b"))
+    rest = _rest_links(members, texts, chunked, percent, width)
+    links = staging.stored((links if rest is None else links.unionByName(rest)).distinct(), "near-links")
+    staging.drop(texts)
+    staging.release(docs.sparkSession)
+    return _labelled(table, classes, connected(links))
 
 
 def _labelled(table: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm.fixtures import DOCUMENTS, corpus, frame
+from pyspark.sql import functions as F
 
 from liftwork.llm import components as components_of
 from liftwork.llm import near_dedup, packing, quality_rules, secret_ledger, suffix_dedup, textbuf
@@ -100,6 +101,35 @@ def test_near_duplicates_with_repeated_ids(spark):
     assert got == [(5, 5, True), (5, 5, True), (9, 5, False), (11, 5, False), (11, 5, False)]
 
 
+def shuffled(spark) -> int:
+    """Bytes that all finished tasks have written to shuffles."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    found = context.statusStore().executorList(False)
+    return sum(found.apply(k).totalShuffleWrite() for k in range(found.size()))
+
+
+def test_near_duplicates_shuffle_few_texts_and_signatures(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(f"{r.randrange(10**6):x}" for _ in range(250)), None, None, 0) for i in range(1500)]
+    rows += [(1500 + i, f"{rows[i][1]} more", None, None, 0) for i in range(20)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    before = shuffled(spark)
+    got = {r.doc_id: r.component_id for r in near_dedup.linked(docs).collect()}
+    assert got == {i: i - 1500 if i >= 1500 else i for i in range(1520)}
+    assert shuffled(spark) - before < sum(len(t) for _, t, *_ in rows)  # 2.2 MB of text
+
+
+def test_likely_rows_hold_all_wanted(spark, monkeypatch):
+    rows = spark.range(20_000).select("id", (F.col("id") % 7).alias("x")).union(spark.createDataFrame([(None, 1)], "id long, x long"))
+    wanted = spark.range(0, 20_000, 40)
+    some = {r.id for r in near_dedup.likely(rows, "id", wanted).collect()}
+    assert some >= set(range(0, 20_000, 40)) and len(some) < 4_000
+    monkeypatch.setattr(near_dedup, "BIT_WORDS", 1)  # more wanted keys than bits: hardly any row is left out
+    assert {r.id for r in near_dedup.likely(rows, "id", wanted).collect()} >= set(range(0, 20_000, 40))
+    assert near_dedup.likely(rows, "id", wanted.where("id < 0")).count() == 0
+
+
 def test_links_are_those_of_an_exact_join(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = {r.doc_id: r.component_id for r in near_dedup.linked(docs, 80, 5).collect()}
