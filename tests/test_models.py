@@ -111,6 +111,38 @@ def test_training_ends_by_valid(table):
     assert len(other.trees) == other.scores.index(max(other.scores)) + 1
 
 
+def test_without_a_number_of_rounds_valid_alone_ends_a_run(table, monkeypatch):
+    monkeypatch.setattr(boosting, "KEEP", 2)  # early stop starts from written margins
+    specs = [Run("x", eta=1.5, depth=3, min_child=0.0), Run("y", eta=0.3, depth=2)]
+    together = boosting.fit(table, specs, 3, rounds=None, patience=2)
+    assert len({len(m.scores) for m in together}) == 2  # one run ends before the other
+    for spec, model in zip(specs, together, strict=True):
+        assert len(model.scores) == len(model.trees) + 2 and len(model.trees) == model.scores.index(min(model.scores)) + 1
+        parts = [boosting.Model(spec, model.trees[: k + 1]) for k in range(len(model.trees))]
+        found = boosting.evaluate(table, parts, "logloss")  # by all trees, without margins
+        assert [found[k] for k in range(len(parts))] == pytest.approx(model.scores[: len(parts)], abs=1e-12)
+    with pytest.raises(ValueError, match="patience"):
+        boosting.fit(table, specs, 3, rounds=None)
+
+
+def test_quadrants_ask_for_a_model_that_valid_ends(spark, monkeypatch):
+    """No number of rounds ends it, and the gains are those of its trees."""
+    from liftwork.plans import models as plans
+
+    asked = []
+
+    def fit(table, runs, n_features, rounds=50, patience=0, metric="logloss"):
+        asked.append((rounds, patience))
+        tree = boosting.Tree.empty(1)
+        tree.feature[0], tree.gain[0], tree.cover[0] = 2, 7.0, 3.0
+        return [boosting.Model(runs[0], [tree] * 40)]
+
+    monkeypatch.setattr(screening, "fit", fit)
+    gains = {r["feature"]: r["gain"] for r in plans.quadrants_probed(spark, "/root/testdata/sf0.001").collect()}
+    assert asked == [(None, 30)]
+    assert gains == {f: 7.0 if f == plans.FEATURES[2] else 0.0 for f in plans.FEATURES}
+
+
 def test_a_run_without_rows(spark, table):
     none = table.withColumn("roles", F.array(F.lit(0).cast("tinyint")))
     (model,) = boosting.fit(none, [Run("r")], 3, rounds=2)
